@@ -44,7 +44,7 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
 
     ``handle_unseen``: ``'error'`` fails the job on a value the vocabulary
     lacks (a fitted encoder's default), ``'keep'`` gives it the code
-    ``len(vocabulary)``, ``'null'`` gives null.
+    ``len(vocabulary)``, ``'null'`` gives null.  A null value stays null.
     """
     out = df
     sizes = None
@@ -62,7 +62,8 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
                           F.raise_error(F.concat(F.lit(f"unseen label in {a}: "),
                                                  F.col(f"_v_{a}"))).cast("int")).otherwise(code)
         elif handle_unseen == "keep":
-            code = F.coalesce(code, F.lit(int(sizes.get(a, 0))))
+            code = F.when(F.col(f"_v_{a}").isNotNull(),
+                          F.coalesce(code, F.lit(int(sizes.get(a, 0)))))
         elif handle_unseen != "null":
             raise ValueError(handle_unseen)
         out = out.withColumn(a + suffix, code).drop(f"_v_{a}", f"_c_{a}")

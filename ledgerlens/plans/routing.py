@@ -77,27 +77,46 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec
     return materialize(models.with_label(t)), materialize(s)
 
 
-def model_scorers(n_dated: int, n_undated: int) -> dict[str, list[Callable[[int], object]]]:
-    """Estimators per segment (the final choice of the original analysis)."""
+def model_scorers() -> dict[str, list[Callable[[int], object]]]:
+    """Estimators per segment (the final choice of the original analysis);
+    each factory takes the row count of the segment's training rows."""
     return {
         DATED: [lambda n: models.logistic(n_rows=n), lambda n: models.boosted_trees()],
         UNDATED: [lambda n: models.logistic(n_rows=n)],
     }
 
 
-def _segment_scores(train_seg: DataFrame, score_seg: DataFrame, features: Sequence[str],
-                    factories) -> DataFrame:
-    n = train_seg.count()
+def _segment_filter(seg: str):
+    return F.col("hearing_date").isNotNull() if seg == DATED else F.col("hearing_date").isNull()
+
+
+def _model_scores(t: DataFrame, s: DataFrame, spec: RouteSpec) -> list[DataFrame]:
+    """Fit every segment's estimators concurrently, then score each scoring
+    segment with a chain of transforms on one assembled frame (no join: the
+    models write differently named output columns)."""
+    feats = {DATED: list(spec.dated_features), UNDATED: list(spec.undated_features)}
+    train_seg = {seg: models.assembler(feats[seg]).transform(t.filter(_segment_filter(seg)))
+                 for seg in feats}
+    counts = {seg: df.count() for seg, df in train_seg.items()}
+    jobs, keys = [], []
+    for seg, factories in model_scorers().items():
+        for i, make in enumerate(factories):
+            est = make(counts[seg])
+            est = (est.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}")
+                   .setPredictionCol(f"_y{i}"))
+            jobs.append(lambda est=est, seg=seg: est.fit(train_seg[seg]))
+            keys.append((seg, i))
+    fitted = dict(zip(keys, models.run_concurrently(jobs, parallelism=len(jobs))))
     parts = []
-    for i, make in enumerate(factories):
-        model = models.fit(make(n), train_seg, features)
-        parts.append(models.score(model, score_seg, f"_s{i}").select("ticket_id", f"_s{i}"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, "ticket_id", "inner")  # same rows, keyed: a 1:1 join
-    cols = [F.col(f"_s{i}") for i in range(len(parts))]
-    mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
-    return out.select("ticket_id", mean.alias("compliance"))
+    for seg in feats:
+        scored = models.assembler(feats[seg]).transform(s.filter(_segment_filter(seg)))
+        idx = sorted(i for (g, i) in fitted if g == seg)
+        for i in idx:
+            scored = fitted[(seg, i)].transform(scored)
+        probs = [models.vector_to_array(F.col(f"_p{i}"))[1] for i in idx]
+        mean = sum(probs[1:], probs[0]) / F.lit(float(len(probs)))
+        parts.append(scored.select("ticket_id", mean.alias("compliance")))
+    return parts
 
 
 def routed_scores(train_raw: DataFrame, scoring_raw: DataFrame, spec: RouteSpec | None = None,
@@ -113,17 +132,15 @@ def routed_scores(train_raw: DataFrame, scoring_raw: DataFrame, spec: RouteSpec
     train = prepare_train(train_raw, spec)
     scoring = prepare_scoring(scoring_raw, spec)
     t, s = encoded_segments(train, scoring, spec)
-    waived = (scoring.filter(F.col("segment") == WAIVED)
-              .select("ticket_id", F.lit(1.0).alias("compliance")))
-    out = waived
-    for seg, feats in ((DATED, spec.dated_features), (UNDATED, spec.undated_features)):
-        t_seg = t.filter(F.col("hearing_date").isNotNull() if seg == DATED
-                         else F.col("hearing_date").isNull())
-        s_seg = s.filter(F.col("hearing_date").isNotNull() if seg == DATED
-                         else F.col("hearing_date").isNull())
-        if scorer is not None:
-            part = scorer(t_seg, s_seg, feats, seg)
-        else:
-            part = _segment_scores(t_seg, s_seg, feats, model_scorers(0, 0)[seg])
+    out = (scoring.filter(F.col("segment") == WAIVED)
+           .select("ticket_id", F.lit(1.0).alias("compliance")))
+    if scorer is None:
+        parts = _model_scores(t, s, spec)
+    else:
+        parts = [scorer(t.filter(_segment_filter(seg)), s.filter(_segment_filter(seg)),
+                        feats, seg)
+                 for seg, feats in ((DATED, spec.dated_features),
+                                    (UNDATED, spec.undated_features))]
+    for part in parts:
         out = out.unionByName(part.select("ticket_id", "compliance"))
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schema import ADDRESS_SCHEMA, LATLON_SCHEMA, SCORING_SCHEMA, TRAIN_SCHEMA
+from ..schema import ADDRESS_SCHEMA, LATLON_SCHEMA, SCORE_SCHEMA, SCORING_SCHEMA, TRAIN_SCHEMA  # noqa: F401
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,

@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import encode, filters, vocab
+from ledgerlens.sources.ticket_view import VIEW_FOLD_ATTRIBUTES, scoring_tickets, train_tickets
+
+from conftest import SF001
+
+
+def _tables(spark):
+    return filters.labelled_rows(train_tickets(spark, SF001)), scoring_tickets(spark, SF001)
+
+
+def test_fold_matches_brute_force_and_vocabularies_agree(spark):
+    t, s = _tables(spark)
+    attrs = ["violation_street_number", "violation_code", "city"]
+    ft, fs = vocab.mutual_vocab(t, s, attrs)
+    tp, sp = t.toPandas(), s.toPandas()
+    ftp = ft.toPandas().set_index("ticket_id")
+    fsp = fs.toPandas().set_index("ticket_id")
+    for a in attrs:
+        common = set(tp[a].dropna()) & set(sp[a].dropna())
+        want_t = {k: (v if v in common else "NaN") for k, v in zip(tp.ticket_id, tp[a])}
+        assert {k: ftp.loc[k, a] for k in want_t} == want_t
+        # after folding, both sides use the same vocabulary up to the sentinel
+        assert set(ftp[a]) - {"NaN"} == set(fsp[a]) - {"NaN"}
+    assert len(ftp) == len(tp) and len(fsp) == len(sp)
+
+
+def test_anti_and_intersect(spark):
+    t, s = _tables(spark)
+    v = vocab.vocabulary(t, s, ["violation_street_number"])
+    tp, sp = t.toPandas(), s.toPandas()
+    a, b = set(tp.violation_street_number), set(sp.violation_street_number)
+    assert {r["value"] for r in vocab.only_left(v).collect()} == a - b
+    assert {r["value"] for r in vocab.only_right(v).collect()} == b - a
+    assert {r["value"] for r in vocab.shared(v).collect()} == a & b
+
+
+def test_label_codes_are_sorted_ranks(spark):
+    t, _ = _tables(spark)
+    codes = encode.fit_label_codes(t, ["disposition", "violation_code"], always_include=["NaN"])
+    enc = encode.apply_label_codes(t, codes, ["disposition", "violation_code"])
+    tp, ep = t.toPandas().set_index("ticket_id"), enc.toPandas().set_index("ticket_id")
+    for a in ["disposition", "violation_code"]:
+        vocab_sorted = sorted(set(tp[a].dropna()) | {"NaN"})
+        index = {v: i for i, v in enumerate(vocab_sorted)}
+        for k, v in tp[a].items():
+            if isinstance(v, str):
+                assert ep.loc[k, a] == index[v]
+
+
+def test_unseen_label_policies(spark):
+    fit_df = spark.createDataFrame([("a",), ("b",)], "c string")
+    new = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
+    codes = encode.fit_label_codes(fit_df, ["c"])
+    keep = [r["c"] for r in encode.apply_label_codes(new, codes, ["c"], "keep").collect()]
+    assert sorted(keep, key=lambda x: (x is None, x)) == [0, 2, None]
+    null = [r["c"] for r in encode.apply_label_codes(new, codes, ["c"], "null").collect()]
+    assert sorted(null, key=lambda x: (x is None, x)) == [0, None, None]
+    with pytest.raises(Exception, match="unseen label"):
+        encode.apply_label_codes(new, codes, ["c"], "error").collect()
+
+
+def test_one_hot_and_alignment(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, d string")
+    oh = encode.one_hot(df, ["d"])
+    assert oh.columns == ["id", "d_x", "d_y"]
+    rows = {r["id"]: (r["d_x"], r["d_y"]) for r in oh.collect()}
+    assert rows == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
+    al = encode.align_dummies(oh, ["id", "d_xy", "d_q"], merges={"d_xy": ["d_x", "d_y"]})
+    assert al.columns == ["id", "d_xy", "d_q"]
+    assert {r["id"]: (r["d_xy"], r["d_q"]) for r in al.collect()} == {1: (1, 0), 2: (1, 0), 3: (0, 0)}
+
+
+def test_one_hot_refuses_high_cardinality(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        encode.dummy_vocabulary(df, "c", max_values=10)
+
+
+def test_fold_attributes_exist_in_view(spark):
+    t, s = _tables(spark)
+    assert set(VIEW_FOLD_ATTRIBUTES) <= set(t.columns) and set(VIEW_FOLD_ATTRIBUTES) <= set(s.columns)
