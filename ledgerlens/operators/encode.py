@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
 from ..plans.joins import lookup_join, row_count_at_most
+from ..plans.ranking import ordered_positions
 from ..session import materialize
 from .profile import unpivot_as_text
 
@@ -33,8 +34,10 @@ def fit_label_codes(df: DataFrame, attributes: Sequence[str],
                                       "attribute string, value string")
         values = values.unionByName(extra)
     distinct = values.distinct()
-    w = Window.partitionBy("attribute").orderBy("value")
-    codes = distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    # position in the sorted vocabulary, ranked across balanced range
+    # partitions (a vocabulary may be too big for one task)
+    codes = ordered_positions(distinct, ["attribute"], "value").select(
+        "attribute", "value", F.col("_start").cast("int").alias("code"))
     return materialize(codes) if persist else codes
 
 

@@ -8,10 +8,10 @@ Scale notes
   partial aggregate runs before the shuffle, so a hot value (one city with a
   third of the rows) is pre-summed on every mapper and crosses the network
   as one row per mapper.
-* Quantiles are exact without holding a group's rows in one task: rows are
-  first reduced to a ``(group, value, count)`` frequency table (distributed,
-  map-side combined); the running count per group is then a window over
-  distinct values only, which sorts and spills like any window.
+* Quantiles are exact without holding a group in one task: rows are first
+  reduced to a ``(group, value, count)`` frequency table (distributed,
+  map-side combined); running counts then come from a range-partitioned
+  ranking (``plans.ranking``), balanced even when one group is huge.
 * Money means are summed as decimals (see ``functions.numeric``), so they do
   not depend on the order rows arrive in.
 """
@@ -20,11 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import HISTOGRAM_BINS
 from ..functions.numeric import exact_mean
+from ..plans.ranking import ordered_positions
 
 ROUND = 4
 
@@ -85,18 +86,14 @@ def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
                       probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per group.
 
-    Returns groups + ``q0..qk`` columns.  Works on the frequency table, so a
-    group's raw rows never have to sit in one task.
+    Returns groups + ``q0..qk`` columns.  Works on the frequency table and
+    finds positions with a range-partitioned running count, so neither a
+    group's rows nor its distinct values have to sit in one task.
     """
     g = list(groups)
     freq = (df.filter(F.col(value).isNotNull())
             .groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt")))
-    run = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding,
-                                                            Window.currentRow)
-    whole = Window.partitionBy(*g)
-    freq = (freq.withColumn("_end", F.sum("_cnt").over(run) - 1)
-            .withColumn("_start", F.col("_end") - F.col("_cnt") + 1)
-            .withColumn("_n", F.sum("_cnt").over(whole)))
+    freq = ordered_positions(freq, g, value, weight="_cnt")
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
