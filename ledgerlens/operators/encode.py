@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import lookup_join, row_count_at_most
+from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
 from ..plans.ranking import ordered_positions
 from ..session import materialize
 from .profile import unpivot_as_text
@@ -38,7 +38,7 @@ def fit_label_codes(df: DataFrame, attributes: Sequence[str],
     # partitions (a vocabulary may be too big for one task)
     codes = ordered_positions(distinct, ["attribute"], "value").select(
         "attribute", "value", F.col("_start").cast("int").alias("code"))
-    return materialize(codes) if persist else codes
+    return materialize(codes, "label_codes") if persist else codes
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str],
@@ -54,11 +54,12 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
     if handle_unseen == "keep":
         sizes = {r["attribute"]: r["n"] for r in
                  codes.groupBy("attribute").agg(F.count("*").alias("n")).collect()}
+    whole_fits = row_count_at_most(codes, MAX_BROADCAST_ROWS)  # then every slice fits
     for a in attributes:
         part = (codes.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.col("code").alias(f"_c_{a}")))
         out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        out = lookup_join(out, part, f"_v_{a}", "left")
+        out = lookup_join(out, part, f"_v_{a}", "left", small_is_bounded=whole_fits)
         code = F.col(f"_c_{a}")
         if handle_unseen == "error":
             code = F.when(code.isNull() & F.col(f"_v_{a}").isNotNull(),

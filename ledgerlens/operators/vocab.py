@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import lookup_join
+from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
 from ..session import materialize
 from .profile import unpivot_as_text
 
@@ -34,7 +34,7 @@ def vocabulary(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     vocab = (both.filter(F.col("value").isNotNull())
              .groupBy("attribute", "value")
              .agg(F.sum(1 - F.col("_side")).alias("n_left"), F.sum("_side").alias("n_right")))
-    return materialize(vocab) if persist else vocab
+    return materialize(vocab, "vocabulary") if persist else vocab
 
 
 def only_left(vocab: DataFrame) -> DataFrame:
@@ -60,11 +60,14 @@ def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[
     (typical), a salted shuffle join otherwise.
     """
     out = df
+    # one size check for all slices: if the whole vocabulary is under the
+    # bound, so is every attribute's slice
+    whole_fits = row_count_at_most(shared_vocab, MAX_BROADCAST_ROWS)
     for a in attributes:
         keys = (shared_vocab.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.lit(True).alias(f"_hit_{a}")))
         out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        out = lookup_join(out, keys, f"_v_{a}", "left")
+        out = lookup_join(out, keys, f"_v_{a}", "left", small_is_bounded=whole_fits)
         out = (out.withColumn(a, F.when(F.col(f"_hit_{a}"), F.col(a).cast("string"))
                               .otherwise(F.lit(sentinel)))
                .drop(f"_v_{a}", f"_hit_{a}"))
@@ -74,7 +77,7 @@ def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[
 def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
                  sentinel: str = NULL_SENTINEL) -> tuple[DataFrame, DataFrame]:
     """Fold both tables to their shared vocabulary, both directions (61)."""
-    vocab = vocabulary(left, right, attributes, persist=True)
-    common = materialize(shared(vocab))
+    vocab = vocabulary(left, right, attributes)
+    common = materialize(shared(vocab), "shared_vocabulary")
     return (fold_to_shared(left, common, attributes, sentinel),
             fold_to_shared(right, common, attributes, sentinel))

@@ -158,7 +158,7 @@ def score_rff_svc(scaler, svc, df: DataFrame, features: Sequence[str], gamma: fl
 
 # --------------------------------------------------------------------------- 72, 73
 def grid_search(estimator, grid: dict, df: DataFrame, features: Sequence[str],
-                folds: int = CV_FOLDS, parallelism: int = 2, key: str = "ticket_id") -> DataFrame:
+                folds: int = CV_FOLDS, parallelism: int = 4, key: str = "ticket_id") -> DataFrame:
     """Exhaustive grid with k-fold AUC (exact: ``numBins=0``); folds come
     from the ticket key, so they are reproducible.  Returns one row per
     parameter combination with its mean AUC, best first."""

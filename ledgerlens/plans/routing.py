@@ -65,8 +65,9 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec
                      ) -> tuple[DataFrame, DataFrame]:
     """Fold, collapse, encode and add time to hearing for the non-waived
     rows of both tables (materialized: every model pass rereads them)."""
-    t = train.filter(F.col("segment") != WAIVED)
-    s = scoring.filter(F.col("segment") != WAIVED)
+    # prepared once: the vocabulary, the codes and both folds read them
+    t = materialize(train.filter(F.col("segment") != WAIVED), "train_prepared", wide=True)
+    s = materialize(scoring.filter(F.col("segment") != WAIVED), "scoring_prepared", wide=True)
     t, s = vocab.mutual_vocab(t, s, spec.fold_attributes)
     s = clean.collapse_categories(s, "disposition", spec.collapse_rules)
     codes = encode.fit_label_codes(t, spec.encoded_attributes, always_include=[NULL_SENTINEL])
@@ -74,7 +75,8 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec
     s = encode.apply_label_codes(s, codes, spec.encoded_attributes, handle_unseen="error")
     t = filters.with_time_to_hearing(t)
     s = filters.with_time_to_hearing(s)
-    return materialize(models.with_label(t)), materialize(s)
+    return (materialize(models.with_label(t), "train_encoded", wide=True),
+            materialize(s, "scoring_encoded", wide=True))
 
 
 def model_scorers() -> dict[str, list[Callable[[int], object]]]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,12 +62,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataFrame:
+    """Cut lineage; the result lives in the shared checkpoint folder.
 
-    Used for small derived tables (vocabularies, model inputs) that are read
-    several times: the result survives executor loss, and its exact size is
-    known afterwards, which the join helpers use to pick a strategy.
+    * ``wide=False`` (small derived tables: vocabularies, codes, rankings):
+      reliable ``checkpoint()`` — cheapest to write, keeps the plan's
+      partitioning.
+    * ``wide=True`` (prepared model inputs, wide and large): written as a
+      parquet table in the same folder and read back, so later reads prune
+      columns and push filters, and its file sizes give the planner real
+      statistics for join strategies.
+
+    Either survives executor loss (unlike a local checkpoint).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    if not wide:
+        return df.checkpoint(eager=True)
+    path = f"{root}/ledgerlens/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
