@@ -79,8 +79,12 @@ def boosted_trees(n_trees: int = GBT_PARAMS["n_trees"],
 
 
 def forest(n_trees: int = 100, max_depth: int | None = None, seed: int = 0) -> RandomForestClassifier:
+    """Deep trees: node ids are cached on the executors (``cacheNodeIds``)
+    instead of shipping the growing trees every level, and a larger node
+    batch per pass (``maxMemoryInMB``) means fewer passes over the data."""
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, numTrees=n_trees,
-                                  maxDepth=30 if max_depth is None else max_depth, seed=seed)
+                                  maxDepth=30 if max_depth is None else max_depth, seed=seed,
+                                  cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
 
 
 def linear_svc(c: float = 1.0, n_rows: int = 1, max_iter: int = 100) -> LinearSVC:
