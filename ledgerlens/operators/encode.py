@@ -74,6 +74,19 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
     return out
 
 
+def decode_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Inverse of ``apply_label_codes``: codes back to their values."""
+    whole_fits = row_count_at_most(codes, MAX_BROADCAST_ROWS)
+    out = df
+    for a in attributes:
+        part = (codes.filter(F.col("attribute") == F.lit(a))
+                .select(F.col("code").alias(f"_c_{a}"), F.col("value").alias(f"_v_{a}")))
+        out = lookup_join(out.withColumn(f"_c_{a}", F.col(a)), part, f"_c_{a}", "left",
+                          small_is_bounded=whole_fits)
+        out = out.withColumn(a, F.col(f"_v_{a}")).drop(f"_c_{a}", f"_v_{a}")
+    return out
+
+
 def label_encode(df: DataFrame, attributes: Sequence[str],
                  always_include: Sequence[str] = (NULL_SENTINEL,)) -> tuple[DataFrame, DataFrame]:
     """Fit on ``df`` and encode it; returns (encoded, vocabulary)."""

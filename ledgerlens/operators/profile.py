@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..constants import HISTOGRAM_BINS
 from ..functions.numeric import exact_mean
+from ..plans.joins import lookup_join
 from ..plans.ranking import ordered_positions
 
 ROUND = 4
@@ -166,7 +167,8 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str] = (),
     """Equal-width bins over [min, max] of each group, last bin closed.
 
     The bounds come from a grouped aggregate joined back by group key (one
-    row per group, so the bounds side is as small as the number of groups).
+    row per group, so the bounds side is as small as the number of groups
+    and is broadcast after a size check).
     """
     g = list(groups)
     data = df.filter(F.col(value).isNotNull())
@@ -174,7 +176,9 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str] = (),
         data = data.withColumn("_all", F.lit(1))
         g = ["_all"]
     bounds = data.groupBy(*g).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    joined = data.select(*g, value).join(bounds, g, "inner")
+    # one row per group: broadcast after a size check, so a hot group never
+    # lands in one sort-merge task
+    joined = lookup_join(data.select(*g, value), bounds, g, "inner")
     width = F.col("_mx") - F.col("_mn")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("_mn")) * F.lit(float(bins)) / width),

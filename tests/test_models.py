@@ -59,3 +59,15 @@ def test_routed_scores_one_per_ticket(spark, train_df, scoring_df):
     out = {r["ticket_id"]: r["compliance"] for r in
            routed_scores(train_df, scoring_df, spec, scorer=fixed).collect()}
     assert out == {101: 0.5, 102: 1.0, 103: 1.0, 104: 0.25, 105: 0.5, 106: 0.5}
+
+
+def test_routed_scores_with_models_on_driver_view(spark):
+    from ledgerlens.plans.catalog import _view_spec
+    from ledgerlens.sources.ticket_view import scoring_tickets, train_tickets
+    from conftest import SF001
+    scoring = scoring_tickets(spark, SF001)
+    out = routed_scores(train_tickets(spark, SF001), scoring, _view_spec())
+    rows = out.collect()
+    ids = [r["ticket_id"] for r in rows]
+    assert len(ids) == len(set(ids)) == scoring.count()          # one score per ticket
+    assert all(0.0 <= r["compliance"] <= 1.0 for r in rows)

@@ -82,3 +82,13 @@ def test_one_hot_refuses_high_cardinality(spark):
 def test_fold_attributes_exist_in_view(spark):
     t, s = _tables(spark)
     assert set(VIEW_FOLD_ATTRIBUTES) <= set(t.columns) and set(VIEW_FOLD_ATTRIBUTES) <= set(s.columns)
+
+
+def test_encode_decode_round_trip(spark):
+    t, _ = _tables(spark)
+    attrs = ["disposition", "violation_code", "city"]
+    codes = encode.fit_label_codes(t, attrs, always_include=["NaN"])
+    back = encode.decode_label_codes(encode.apply_label_codes(t, codes, attrs), codes, attrs)
+    a = sorted(t.select("ticket_id", *attrs).collect())
+    b = sorted(back.select("ticket_id", *attrs).collect())
+    assert a == b
