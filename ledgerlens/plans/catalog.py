@@ -310,7 +310,7 @@ def _describe_cat_sql(attrs):
     longs = "\nUNION ALL\n".join(
         f"SELECT '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM scoring_tickets "
         f"WHERE {a} IS NOT NULL" for a in attrs)
-    return f"""SELECT attribute, sum(cnt) AS count, count(value) AS unique,
+    return f"""SELECT attribute, CAST(sum(cnt) AS BIGINT) AS count, count(value) AS unique,
   arg_min(value, rk) AS top, max(cnt) AS freq
 FROM (SELECT attribute, value, cnt,
         row_number() OVER (PARTITION BY attribute ORDER BY cnt DESC, value) AS rk
@@ -521,7 +521,8 @@ def q_seconds_between(spark, sf):
 
 
 @query("calendar_parts", """
-SELECT event_id, year(ts) AS year, month(ts) AS month, isodow(ts) - 1 AS weekday, hour(ts) AS hour
+SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour
 FROM events""")
 def q_calendar_parts(spark, sf):
     return read_table(spark, sf, "events").select("event_id", *calendar_parts("ts"))
@@ -641,7 +642,7 @@ S2_SQL = "late_fee / (late_fee + 20000.0)"
 
 
 @query("score_union", with_tickets(f"""
-SELECT ticket_id, 'waived' AS part, 1.0 AS compliance FROM scoring_tickets
+SELECT ticket_id, 'waived' AS part, CAST(1.0 AS DOUBLE) AS compliance FROM scoring_tickets
   WHERE coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false)
 UNION ALL
 SELECT ticket_id, 'dated', {S1_SQL} FROM scoring_tickets
@@ -689,7 +690,7 @@ def _fixed_scorer(t_seg, s_seg, feats, seg):
 
 
 @query("routed_score", with_tickets(f"""
-SELECT ticket_id, 1.0 AS compliance FROM scoring_tickets
+SELECT ticket_id, CAST(1.0 AS DOUBLE) AS compliance FROM scoring_tickets
   WHERE coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false)
 UNION ALL
 SELECT ticket_id, (({S1_SQL}) + ({S2_SQL})) / 2.0 FROM scoring_tickets

@@ -186,8 +186,8 @@ tickets AS (
          CASE WHEN c.c_acctbal < 0 THEN -c.c_acctbal ELSE 0.0 END AS discount_amount,
          o.o_totalprice AS judgment_amount,
          o.o_orderstatus AS payment_status,
-         CASE WHEN o.o_orderstatus = 'F' THEN 1.0 WHEN o.o_orderstatus = 'O' THEN 0.0 END
-           AS compliance
+         CASE WHEN o.o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE)
+              WHEN o.o_orderstatus = 'O' THEN CAST(0.0 AS DOUBLE) END AS compliance
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
