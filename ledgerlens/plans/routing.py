@@ -146,3 +146,15 @@ def routed_scores(train_raw: DataFrame, scoring_raw: DataFrame, spec: RouteSpec
     for part in parts:
         out = out.unionByName(part.select("ticket_id", "compliance"))
     return out
+
+
+def score_ticket_files(spark, train_csv: str, scoring_csv: str, out_csv: str,
+                       spec: RouteSpec | None = None) -> DataFrame:
+    """Read the two ticket CSVs (training in Latin-1), score every scoring
+    ticket with the routed plan, write ``ticket_id, compliance`` as CSV and
+    return the scores."""
+    from ..sources.csv_io import read_scoring, read_train, write_scores_csv
+    scores = routed_scores(read_train(spark, train_csv), read_scoring(spark, scoring_csv), spec)
+    scores = materialize(scores, "scores", wide=True)
+    write_scores_csv(scores, out_csv)
+    return scores

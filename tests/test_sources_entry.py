@@ -61,3 +61,42 @@ def test_stream_cleaning(spark, scoring_df):
     got = {r["ticket_id"]: (r["segment"], r["city"]) for r in spark.sql("SELECT * FROM ll_clean_stream").collect()}
     assert got[102][0] == "waived" and got[104] == ("undated", "DETROIT")
     assert got[105][1] == "DETROIT" and got[106][1] == "NEWYORK"
+
+
+def test_attach_coordinates_two_hops(spark, scoring_df):
+    from ledgerlens.operators.geo import attach_coordinates
+    addresses = spark.createDataFrame([(101, "2900 tyler"), (102, "4311 central"), (104, "1 nowhere")],
+                                      "ticket_id long, address string")
+    latlons = spark.createDataFrame([("2900 tyler", 42.39, -83.12), ("4311 central", 42.32, -83.14)],
+                                    "address string, lat double, lon double")
+    out = {r["ticket_id"]: (r["address"], r["lat"]) for r in
+           attach_coordinates(scoring_df.select("ticket_id"), addresses, latlons).collect()}
+    assert out[101] == ("2900 tyler", 42.39) and out[102] == ("4311 central", 42.32)
+    assert out[104] == ("1 nowhere", None) and out[103] == (None, None)
+    assert len(out) == 6
+
+
+def test_score_ticket_files_end_to_end(spark, train_df, scoring_df):
+    from ledgerlens.plans.routing import RouteSpec, score_ticket_files
+    folder = tempfile.mkdtemp(prefix="ll-e2e-")
+
+    def to_csv(df, name, enc):
+        pdf = df.toPandas()
+        for c in ("ticket_issued_date", "hearing_date", "payment_date"):
+            if c in pdf:
+                pdf[c] = pdf[c].dt.strftime("%Y-%m-%d %H:%M:%S")
+        path = os.path.join(folder, name)
+        pdf.to_csv(path, index=False, encoding=enc)
+        return path
+
+    train_csv = to_csv(train_df, "train.csv", "latin-1")
+    test_csv = to_csv(scoring_df, "test.csv", "utf-8")
+    spec = RouteSpec(dated_features=["city", "violation_code", "disposition", "judgment_amount",
+                                     "time_to_hearing"],
+                     undated_features=["city", "disposition", "judgment_amount"])
+    scores = score_ticket_files(spark, train_csv, test_csv, os.path.join(folder, "out"), spec)
+    rows = {r["ticket_id"]: r["compliance"] for r in scores.collect()}
+    assert sorted(rows) == [101, 102, 103, 104, 105, 106]
+    assert rows[102] == rows[103] == 1.0 and all(0 <= v <= 1 for v in rows.values())
+    written = spark.read.option("header", "true").csv(os.path.join(folder, "out")).count()
+    assert written == 6
