@@ -155,18 +155,16 @@ def q_distinct_values(spark, sf):
 
 
 # ===================================================================== vocabularies
-def _fold_sql(attrs, src, other):
+def _fold_sql(attrs, src, other, side):
     cols = ",\n  ".join(
         f"CASE WHEN {a} IN (SELECT {a} FROM {other} WHERE {a} IS NOT NULL) THEN {a} ELSE 'NaN' END AS {a}"
         for a in attrs)
-    return f"SELECT ticket_id, '{src}' AS side,\n  {cols}\nFROM {src}"
+    return f"SELECT ticket_id, '{side}' AS side,\n  {cols}\nFROM {src}"
 
 
 @query("oov_fold", with_tickets(
-    _fold_sql(VIEW_FOLD_ATTRIBUTES, "t", "s").replace("'t' AS side", "'train' AS side")
-    + "\nUNION ALL\n"
-    + _fold_sql(VIEW_FOLD_ATTRIBUTES, "s", "t").replace("'s' AS side", "'scoring' AS side"),
-    NW_CTE))
+    _fold_sql(VIEW_FOLD_ATTRIBUTES, "t", "s", "train") + "\nUNION ALL\n"
+    + _fold_sql(VIEW_FOLD_ATTRIBUTES, "s", "t", "scoring"), NW_CTE))
 def q_oov_fold(spark, sf):
     t = _not_waived(_labelled(spark, sf))
     s = _not_waived(scoring_tickets(spark, sf))

@@ -14,7 +14,7 @@ union           -> (ticket_id, compliance), one row per scoring ticket
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +27,6 @@ from ..operators.segment import DATED, UNDATED, WAIVED, with_segment
 from ..session import materialize
 from . import models
 
-Scorer = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
-
-
 @dataclass
 class RouteSpec:
     """What to fold, encode and feed to each segment's models."""
@@ -41,7 +38,6 @@ class RouteSpec:
     scoring_waived: Sequence[str] = tuple(SCORING_WAIVED_PATTERNS)
     collapse_rules: Sequence[tuple[str, str]] = tuple(DISPOSITION_COLLAPSE)
     city_rules: bool = True
-    extra: dict = field(default_factory=dict)
 
 
 def prepare_train(df: DataFrame, spec: RouteSpec) -> DataFrame:
