@@ -26,8 +26,9 @@ def exact_sum(c: str | Column, scale: int = 2) -> Column:
 
 def exact_mean(c: str | Column, scale: int = 2) -> Column:
     """Mean of amounts with at most ``scale`` decimals, as a double, equal
-    on every run and engine: exact decimal sum / count."""
-    return (exact_sum(c, scale).cast("double") / F.count(_col(c)).cast("double"))
+    on every run and engine: exact decimal sum / count (null when there are
+    no values, also under ANSI mode)."""
+    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(_col(c)).cast("double"))
 
 
 def unit_hash(key: str | Column, seed: int = 0) -> Column:

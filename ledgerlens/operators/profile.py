@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..constants import HISTOGRAM_BINS
 from ..functions.numeric import exact_mean
+from ..session import materialize
 from ..plans.joins import lookup_join
 from ..plans.ranking import ordered_positions
 
@@ -83,18 +84,20 @@ def frequency_by(df: DataFrame, attribute: str, measure: str, scale: int = 2) ->
 
 
 # --------------------------------------------------------------------------- 28, 30, 32
-def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
-                      probs: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``value`` per group.
+def value_frequencies(df: DataFrame, value: str, groups: Sequence[str]) -> DataFrame:
+    """``(groups..., value, _cnt)``: the only pass over the raw rows that
+    describe / quantiles need (partial aggregation before the shuffle),
+    materialized because everything after reads it several times."""
+    freq = (df.filter(F.col(value).isNotNull())
+            .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
+    return materialize(freq, "value_frequencies")
 
-    Returns groups + ``q0..qk`` columns.  Works on the frequency table and
-    finds positions with a range-partitioned running count, so neither a
-    group's rows nor its distinct values have to sit in one task.
-    """
+
+def quantiles_from_frequencies(freq: DataFrame, value: str, groups: Sequence[str],
+                               probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles from a frequency table."""
     g = list(groups)
-    freq = (df.filter(F.col(value).isNotNull())
-            .groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt")))
-    freq = ordered_positions(freq, g, value, weight="_cnt")
+    ranked = ordered_positions(freq, g, value, weight="_cnt", input_materialized=True)
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
@@ -104,33 +107,54 @@ def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
             F.max(F.when((F.col("_start") <= hi) & (hi <= F.col("_end")), F.col(value))).alias(f"_hi{i}"),
             F.max(pos - lo).alias(f"_fr{i}"),
         ]
-    out = freq.groupBy(*g).agg(*aggs)
+    out = ranked.groupBy(*g).agg(*aggs)
     return out.select(*g, *[
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(f"q{i}")
         for i in range(len(probs))])
 
 
+def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
+                      probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles of ``value`` per group.
+
+    Returns groups + ``q0..qk`` columns.  Works on the frequency table and
+    finds positions with a range-partitioned running count, so neither a
+    group's rows nor its distinct values have to sit in one task.
+    """
+    return quantiles_from_frequencies(value_frequencies(df, value, groups), value, groups, probs)
+
+
 def describe_numeric(df: DataFrame, value: str, groups: Sequence[str] = (),
                      scale: int = 2) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max — per group.
 
-    ``mean`` is exact for amounts with ``scale`` decimals; spread and
+    Everything comes from one frequency table (one pass over the rows):
+    ``mean`` is exact for amounts with ``scale`` decimals (decimal sum), the
+    standard deviation is the two-pass centred form, and spread and
     quantiles are rounded to 4 decimals.
     """
     g = list(groups)
     if not g:
         df = df.withColumn("_all", F.lit(1))
         g = ["_all"]
-    moments = (df.filter(F.col(value).isNotNull()).groupBy(*g)
-               .agg(F.count(F.col(value)).alias("count"),
-                    exact_mean(value, scale).alias("mean"),
-                    F.round(F.stddev_samp(F.col(value)), ROUND).alias("std"),
-                    F.min(value).alias("min"), F.max(value).alias("max")))
-    qs = grouped_quantiles(df, value, g, [0.25, 0.5, 0.75])
-    out = moments.join(qs, g, "inner").select(
-        *g, "count", "mean", "std", "min",
-        F.round("q0", ROUND).alias("p25"), F.round("q1", ROUND).alias("p50"),
-        F.round("q2", ROUND).alias("p75"), "max")
+    freq = value_frequencies(df, value, g)
+    dec = F.col(value).cast(f"decimal(18,{scale})") * F.col("_cnt")
+    moments = freq.groupBy(*g).agg(
+        F.sum("_cnt").alias("count"),
+        F.try_divide(F.sum(dec).cast("double"), F.sum("_cnt").cast("double")).alias("mean"),
+        F.min(value).alias("min"), F.max(value).alias("max"))
+    centred = lookup_join(freq, moments.select(*g, F.col("mean").alias("_mean")), g, "inner")
+    spread = centred.groupBy(*g).agg(
+        F.sum(F.col("_cnt") * (F.col(value) - F.col("_mean")) * (F.col(value) - F.col("_mean")))
+        .alias("_ss"))
+    qs = quantiles_from_frequencies(freq, value, g, [0.25, 0.5, 0.75])
+    out = (moments.join(spread, g, "inner").join(qs, g, "inner")
+           .select(*g, "count", "mean",
+                   F.round(F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))),
+                           ROUND).alias("std"),
+                   "min",
+                   F.round("q0", ROUND).alias("p25"), F.round("q1", ROUND).alias("p50"),
+                   F.round("q2", ROUND).alias("p75"), "max"))
     return out.drop("_all") if "_all" in out.columns else out
 
 
@@ -209,10 +233,10 @@ def category_drift(left: DataFrame, right: DataFrame, attributes: Sequence[str])
     per_value = both.groupBy("attribute", "value").agg(
         F.sum(1 - F.col("_side")).alias("n_left"), F.sum("_side").alias("n_right"))
     return per_value.groupBy("attribute").agg(
-        (F.sum(F.when(F.col("n_right") == 0, F.col("n_left")).otherwise(0)).cast("double")
-         / F.sum("n_left").cast("double")).alias("left_only_ratio"),
-        (F.sum(F.when(F.col("n_left") == 0, F.col("n_right")).otherwise(0)).cast("double")
-         / F.sum("n_right").cast("double")).alias("right_only_ratio"))
+        F.try_divide(F.sum(F.when(F.col("n_right") == 0, F.col("n_left")).otherwise(0)).cast("double"),
+                     F.sum("n_left").cast("double")).alias("left_only_ratio"),
+        F.try_divide(F.sum(F.when(F.col("n_left") == 0, F.col("n_right")).otherwise(0)).cast("double"),
+                     F.sum("n_right").cast("double")).alias("right_only_ratio"))
 
 
 # --------------------------------------------------------------------------- 35

@@ -26,15 +26,22 @@ from .joins import lookup_join
 
 
 def ordered_positions(df: DataFrame, groups: Sequence[str], order: str,
-                      weight: str | None = None, partitions: int | None = None) -> DataFrame:
+                      weight: str | None = None, partitions: int | None = None,
+                      input_materialized: bool = False) -> DataFrame:
     """Add ``_start`` / ``_end`` (0-based first and last position of the row
     in its group's ascending ``order``; a row of weight w spans w positions)
-    and ``_n`` (the group's total weight)."""
+    and ``_n`` (the group's total weight).
+
+    The input (a reduced table: distinct values or value counts) is
+    materialized first unless the caller already did, so the range
+    partitioner's sampling pass does not recompute it from raw data."""
     g = list(groups)
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = F.col(weight) if weight else F.lit(1)
     data = df.withColumn("_w", w.cast("bigint"))
+    if not input_materialized:
+        data = materialize(data, "rank_input")
     ranged = materialize(data.repartitionByRange(n_parts, *g, order)
                          .withColumn("_pid", F.spark_partition_id()))
 

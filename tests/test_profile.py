@@ -105,3 +105,15 @@ def test_conditional_rate_and_prior(spark, train_df):
     assert r["rate"] == 1.0 and r["n"] == 1
     p = profile.target_prior(lab).first()
     assert math.isclose(p["prior"], 4 / 8) and p["n"] == 8
+
+
+def test_degenerate_groups_give_null_not_errors(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 1.0), (3, 2.0)], "g int, x double")
+    d = {r["g"]: r for r in profile.describe_numeric(df, "x", ["g"]).collect()}
+    assert d[1]["count"] == 1 and d[1]["std"] is None and d[1]["p50"] == 5.0
+    assert 2 not in d and d[3]["std"] == round(2 ** 0.5 / 2, 4)
+    f = {r["g"]: r["mean"] for r in profile.frequency_by(df, "g", "x").collect()}
+    assert f[2] is None and f[3] == 1.5
+    empty = df.filter("g = 99")
+    r = profile.category_drift(df, empty, ["g"]).first()
+    assert r["left_only_ratio"] == 1.0 and r["right_only_ratio"] is None
