@@ -133,3 +133,47 @@ def align_dummies(df: DataFrame, reference_columns: Sequence[str],
             out = out.withColumn(target, F.greatest(*[F.col(s) for s in present] + [F.lit(0)]))
     cols = [F.col(c) if c in out.columns else F.lit(0).alias(c) for c in reference_columns]
     return out.select(*cols)
+
+
+def fit_folded_codes(vocab: DataFrame, fold_attributes: Sequence[str],
+                     encoded_attributes: Sequence[str],
+                     sentinel: str = NULL_SENTINEL) -> tuple[DataFrame, dict[str, int]]:
+    """Label codes of the folded training table, fitted from a vocabulary
+    table ``(attribute, value, n_left, n_right)`` alone (no pass over rows).
+
+    After folding, a folded attribute's training values are the shared
+    values plus the sentinel; another encoded attribute keeps its training
+    values (plus the sentinel).  Returns the lookup ``(attribute, value,
+    code)`` covering EVERY observed value — for folded attributes an
+    unshared value already carries the sentinel's code — and the sentinel
+    code per folded attribute (for nulls)."""
+    fold = set(fold_attributes)
+    spark = vocab.sparkSession
+    is_fold = F.col("attribute").isin(list(fold)) if fold else F.lit(False)
+    kept = vocab.filter(F.col("attribute").isin(list(encoded_attributes)) & F.when(
+        is_fold, (F.col("n_left") > 0) & (F.col("n_right") > 0)).otherwise(F.col("n_left") > 0))
+    extra = spark.createDataFrame([(a, sentinel) for a in encoded_attributes],
+                                  "attribute string, value string")
+    code_vocab = kept.select("attribute", "value").unionByName(extra).distinct()
+    codes = materialize(ordered_positions(code_vocab, ["attribute"], "value").select(
+        "attribute", "value", F.col("_start").cast("int").alias("code")), "label_codes")
+    sentinel_codes = {r["attribute"]: int(r["code"]) for r in
+                      codes.filter(F.col("value") == F.lit(sentinel)).collect()}
+    folded_enc = [a for a in encoded_attributes if a in fold]
+    if folded_enc:
+        nan_code = F.create_map(*[x for a in folded_enc for x in (F.lit(a), F.lit(sentinel_codes[a]))])
+        unshared = (vocab.filter(F.col("attribute").isin(folded_enc))
+                    .join(codes, ["attribute", "value"], "left_anti")
+                    .select("attribute", "value",
+                            F.element_at(nan_code, F.col("attribute")).alias("code")))
+        codes = materialize(codes.unionByName(unshared), "folded_codes")
+    return codes, {a: sentinel_codes[a] for a in folded_enc}
+
+
+def apply_folded_codes(df: DataFrame, codes: DataFrame, encoded_attributes: Sequence[str],
+                       sentinel_codes: dict[str, int]) -> DataFrame:
+    """One lookup join per attribute: folded attributes map any value (and
+    null) to its folded code; other attributes fail on an unseen value."""
+    out = apply_label_codes(df, codes, encoded_attributes, handle_unseen="error")
+    fixes = {a: F.coalesce(F.col(a), F.lit(code)) for a, code in sentinel_codes.items()}
+    return out.withColumns(fixes) if fixes else out

@@ -75,8 +75,16 @@ def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[
 
 
 def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
-                 sentinel: str = NULL_SENTINEL) -> tuple[DataFrame, DataFrame]:
-    """Fold both tables to their shared vocabulary, both directions (61)."""
+                 sentinel: str = NULL_SENTINEL, materialize_inputs: bool = True
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Fold both tables to their shared vocabulary, both directions (61).
+
+    Each table is read twice (vocabulary, then fold); unless the caller has
+    already materialized them, they are written once so an expensive input
+    plan (joins, aggregates) is not computed twice."""
+    if materialize_inputs:
+        left = materialize(left, "fold_left", wide=True)
+        right = materialize(right, "fold_right", wide=True)
     vocab = vocabulary(left, right, attributes)
     common = materialize(shared(vocab), "shared_vocabulary")
     return (fold_to_shared(left, common, attributes, sentinel),

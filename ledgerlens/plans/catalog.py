@@ -22,8 +22,9 @@ from ..functions.numeric import unit_hash_sql
 from ..functions.temporal import calendar_parts, day_part_flags
 from ..operators import clean, encode, filters, profile, segment, vocab
 from ..sources.tables import read_table
-from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, geo_lookup,
-                                   scoring_tickets, tickets, train_tickets, with_tickets)
+from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
+                                   geo_lookup, scoring_tickets, tickets, train_tickets,
+                                   with_tickets)
 from . import metrics, models
 from .routing import RouteSpec, encoded_segments, prepare_scoring, prepare_train, routed_scores
 
@@ -166,9 +167,10 @@ def _fold_sql(attrs, src, other, side):
     _fold_sql(VIEW_FOLD_ATTRIBUTES, "t", "s", "train") + "\nUNION ALL\n"
     + _fold_sql(VIEW_FOLD_ATTRIBUTES, "s", "t", "scoring"), NW_CTE))
 def q_oov_fold(spark, sf):
-    t = _not_waived(_labelled(spark, sf))
-    s = _not_waived(scoring_tickets(spark, sf))
-    ft, fs = vocab.mutual_vocab(t, s, VIEW_FOLD_ATTRIBUTES)
+    tr, sc = both_periods(spark, sf)
+    t = _not_waived(filters.labelled_rows(tr))
+    s = _not_waived(sc)
+    ft, fs = vocab.mutual_vocab(t, s, VIEW_FOLD_ATTRIBUTES, materialize_inputs=False)
     cols = ["ticket_id", *VIEW_FOLD_ATTRIBUTES]
     return (ft.select(cols[0], F.lit("train").alias("side"), *cols[1:])
             .unionByName(fs.select(cols[0], F.lit("scoring").alias("side"), *cols[1:])))
@@ -697,17 +699,18 @@ UNION ALL
 SELECT ticket_id, {S1_SQL} FROM scoring_tickets
   WHERE NOT coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false) AND hearing_date IS NULL"""))
 def q_routed_score(spark, sf):
-    return routed_scores(train_tickets(spark, sf), scoring_tickets(spark, sf), _view_spec(),
-                         scorer=_fixed_scorer)
+    tr, sc = both_periods(spark, sf)
+    return routed_scores(tr, sc, _view_spec(), scorer=_fixed_scorer, inputs_materialized=True)
 
 
 # ===================================================================== models (rows-only checks)
 def model_frames(spark, sf):
     """Encoded training / scoring rows of the not-waived segment."""
     spec = _view_spec()
-    train = prepare_train(train_tickets(spark, sf), spec)
-    scoring = prepare_scoring(scoring_tickets(spark, sf), spec)
-    return encoded_segments(train, scoring, spec) + (spec,)
+    tr, sc = both_periods(spark, sf)
+    train = prepare_train(tr, spec)
+    scoring = prepare_scoring(sc, spec)
+    return encoded_segments(train, scoring, spec, materialize_inputs=False) + (spec,)
 
 
 def _dated(spark, sf):
@@ -789,4 +792,5 @@ def q_score_tickets(spark, sf):
 
 @query("final_scores")
 def q_final_scores(spark, sf):
-    return routed_scores(train_tickets(spark, sf), scoring_tickets(spark, sf), _view_spec())
+    tr, sc = both_periods(spark, sf)
+    return routed_scores(tr, sc, _view_spec(), inputs_materialized=True)

@@ -57,18 +57,33 @@ def prepare_scoring(df: DataFrame, spec: RouteSpec) -> DataFrame:
     return with_segment(out, spec.scoring_waived)
 
 
-def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec
-                     ) -> tuple[DataFrame, DataFrame]:
+def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec,
+                     materialize_inputs: bool = True) -> tuple[DataFrame, DataFrame]:
     """Fold, collapse, encode and add time to hearing for the non-waived
-    rows of both tables (materialized: every model pass rereads them)."""
-    # prepared once: the vocabulary, the codes and both folds read them
-    t = materialize(train.filter(F.col("segment") != WAIVED), "train_prepared", wide=True)
-    s = materialize(scoring.filter(F.col("segment") != WAIVED), "scoring_prepared", wide=True)
-    t, s = vocab.mutual_vocab(t, s, spec.fold_attributes)
+    rows of both tables (materialized: every model pass rereads them).
+
+    The prepared inputs are read several times (vocabulary, codes, folds);
+    they are materialized first unless they already come from a
+    materialized table (then the preparation is a cheap projection)."""
+    t = train.filter(F.col("segment") != WAIVED)
+    s = scoring.filter(F.col("segment") != WAIVED)
     s = clean.collapse_categories(s, "disposition", spec.collapse_rules)
-    codes = encode.fit_label_codes(t, spec.encoded_attributes, always_include=[NULL_SENTINEL])
-    t = encode.apply_label_codes(t, codes, spec.encoded_attributes, handle_unseen="error")
-    s = encode.apply_label_codes(s, codes, spec.encoded_attributes, handle_unseen="error")
+    if materialize_inputs:
+        t = materialize(t, "train_prepared", wide=True)
+        s = materialize(s, "scoring_prepared", wide=True)
+    # fold + encode fused: one vocabulary aggregate over both tables gives
+    # the shared values and the codes; then one lookup join per attribute
+    attrs = list(dict.fromkeys([*spec.fold_attributes, *spec.encoded_attributes]))
+    voc = vocab.vocabulary(t, s, attrs, persist=True)
+    codes, nan_codes = encode.fit_folded_codes(voc, spec.fold_attributes,
+                                               spec.encoded_attributes, NULL_SENTINEL)
+    t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes)
+    s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes)
+    fold_only = [a for a in spec.fold_attributes if a not in set(spec.encoded_attributes)]
+    if fold_only:
+        common = vocab.shared(voc)
+        t = vocab.fold_to_shared(t, common, fold_only)
+        s = vocab.fold_to_shared(s, common, fold_only)
     t = filters.with_time_to_hearing(t)
     s = filters.with_time_to_hearing(s)
     return (materialize(models.with_label(t), "train_encoded", wide=True),
@@ -118,8 +133,8 @@ def _model_scores(t: DataFrame, s: DataFrame, spec: RouteSpec) -> list[DataFrame
 
 
 def routed_scores(train_raw: DataFrame, scoring_raw: DataFrame, spec: RouteSpec | None = None,
-                  scorer: Callable[[DataFrame, DataFrame, Sequence[str], str], DataFrame] | None = None
-                  ) -> DataFrame:
+                  scorer: Callable[[DataFrame, DataFrame, Sequence[str], str], DataFrame] | None = None,
+                  inputs_materialized: bool = False) -> DataFrame:
     """One probability per scoring ticket.
 
     ``scorer(train_seg, score_seg, features, segment)`` may replace the
@@ -129,7 +144,7 @@ def routed_scores(train_raw: DataFrame, scoring_raw: DataFrame, spec: RouteSpec
     spec = spec or RouteSpec()
     train = prepare_train(train_raw, spec)
     scoring = prepare_scoring(scoring_raw, spec)
-    t, s = encoded_segments(train, scoring, spec)
+    t, s = encoded_segments(train, scoring, spec, materialize_inputs=not inputs_materialized)
     out = (scoring.filter(F.col("segment") == WAIVED)
            .select("ticket_id", F.lit(1.0).alias("compliance")))
     if scorer is None:

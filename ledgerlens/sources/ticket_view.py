@@ -47,7 +47,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import lookup_join
+from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
 from .tables import read_table
 
 SPLIT_DATE = "1999-01-01 00:00:00"
@@ -86,11 +86,25 @@ def _line_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.withColumn("violation_description", F.chr("_flag")).drop("_flag")
 
 
+_DIMENSIONS_FIT: dict[str, bool] = {}
+
+
+def _dimensions_fit(spark: SparkSession, sf_dir: str) -> bool:
+    """Size check of the nation and region tables, done once per folder
+    (they are dimensions: a handful of rows whatever the scale)."""
+    if sf_dir not in _DIMENSIONS_FIT:
+        _DIMENSIONS_FIT[sf_dir] = all(
+            row_count_at_most(read_table(spark, sf_dir, t), MAX_BROADCAST_ROWS)
+            for t in ("nation", "region"))
+    return _DIMENSIONS_FIT[sf_dir]
+
+
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     return lookup_join(nation, region.withColumnRenamed("r_regionkey", "n_regionkey"),
-                       "n_regionkey", "left").select("n_nationkey", "n_name", "r_name")
+                       "n_regionkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir)
+                       ).select("n_nationkey", "n_name", "r_name")
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +114,7 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     base = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     base = lookup_join(base, _geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
-                       "c_nationkey", "left")
+                       "c_nationkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir))
     base = base.join(_line_summary(spark, sf_dir),
                      base.o_orderkey == F.col("ticket_id"), "left")
     return base.select(
@@ -129,25 +143,42 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def train_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = tickets(spark, sf_dir)
+def train_part(t: DataFrame) -> DataFrame:
     return t.filter(F.col("ticket_issued_date") < F.lit(SPLIT_DATE).cast("timestamp_ntz"))
 
 
-def scoring_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scoring_part(t: DataFrame) -> DataFrame:
     """Scoring period, without the columns only the training table has."""
-    t = tickets(spark, sf_dir)
     return (t.filter(F.col("ticket_issued_date") >= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
             .drop(*TRAIN_EXTRA))
 
 
+def train_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train_part(tickets(spark, sf_dir))
+
+
+def scoring_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring_part(tickets(spark, sf_dir))
+
+
+def both_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(training, scoring) tickets from ONE computation of the view.
+
+    For work that reads both periods more than once: the view (and its
+    lineitem aggregate) is built once and materialized in the checkpoint
+    folder, instead of once per period and per read."""
+    from ..session import materialize
+    t = materialize(tickets(spark, sf_dir), "tickets", wide=True)
+    return train_part(t), scoring_part(t)
+
+
 def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-hop lookup: ticket -> address (customer nation) -> place (region)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     step1 = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     step2 = lookup_join(step1, _geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
-                        "c_nationkey", "left")
+                        "c_nationkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir))
     return step2.select(F.col("o_orderkey").alias("ticket_id"),
                         F.col("n_name").alias("address"),
                         F.col("r_name").alias("place"))

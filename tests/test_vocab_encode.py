@@ -92,3 +92,24 @@ def test_encode_decode_round_trip(spark):
     a = sorted(t.select("ticket_id", *attrs).collect())
     b = sorted(back.select("ticket_id", *attrs).collect())
     assert a == b
+
+
+def test_fused_fold_encode_equals_fold_then_encode(spark):
+    from ledgerlens.plans.catalog import _view_spec
+    from ledgerlens.plans.routing import encoded_segments, prepare_scoring, prepare_train
+    from ledgerlens.operators import clean
+    spec = _view_spec()
+    tr = prepare_train(train_tickets(spark, SF001), spec)
+    sc = prepare_scoring(scoring_tickets(spark, SF001), spec)
+    fused_t, fused_s = encoded_segments(tr, sc, spec)
+    # reference path: fold, collapse, fit codes on the folded training rows, apply
+    t = tr.filter(F.col("segment") != "waived")
+    s = clean.collapse_categories(sc.filter(F.col("segment") != "waived"), "disposition",
+                                  spec.collapse_rules)
+    ft, fs = vocab.mutual_vocab(t, s, spec.fold_attributes)
+    codes = encode.fit_label_codes(ft, spec.encoded_attributes, always_include=["NaN"])
+    et = encode.apply_label_codes(ft, codes, spec.encoded_attributes)
+    es = encode.apply_label_codes(fs, codes, spec.encoded_attributes)
+    cols = ["ticket_id", *spec.encoded_attributes]
+    assert sorted(fused_t.select(cols).collect()) == sorted(et.select(cols).collect())
+    assert sorted(fused_s.select(cols).collect()) == sorted(es.select(cols).collect())
