@@ -37,23 +37,59 @@ def salt_of(df: DataFrame, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
 
 
+def hot_keys(big: DataFrame, keys: list[str], partitions: int | None = None,
+             max_keys: int | None = None) -> list[tuple]:
+    """Keys holding more than half a task's share of ``big``'s rows.
+
+    Exact counts by a grouped aggregate (partial aggregation first, so the
+    hot keys themselves are pre-summed on every mapper).  At most
+    ``2 * partitions`` keys can pass the threshold, so the list collected to
+    the driver is bounded by the partition count, not by the data.
+    """
+    spark = big.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = max_keys or 2 * parts
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    threshold = max(total // (2 * parts), 1)
+    top = (counts.filter(F.col("_n") > threshold).orderBy(F.desc("_n")).limit(limit)
+           .select(*keys).collect())
+    return [tuple(r) for r in top]
+
+
+def _is_hot(keys: list[str], hot: list[tuple]) -> Column:
+    if not hot:
+        return F.lit(False)
+    if len(keys) == 1:
+        return F.col(keys[0]).isin([h[0] for h in hot])
+    return F.struct(*keys).isin([F.struct(*[F.lit(v) for v in h]) for h in hot])
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "left",
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                 salt_buckets: int = SALT_BUCKETS,
-                small_is_bounded: bool = False) -> DataFrame:
+                small_is_bounded: bool = False,
+                hot: list[tuple] | None = None) -> DataFrame:
     """Join ``big`` to a unique-keyed ``small`` table.
 
     * ``small_is_bounded`` (a literal table, a fixed dimension) or a checked
       row count under ``max_broadcast_rows``: broadcast hash join, no shuffle
       of ``big`` at all.
-    * otherwise: salted shuffle join.  ``big`` gets a deterministic salt in
-      ``[0, salt_buckets)``; ``small`` is replicated once per salt value, so
-      a hot key is spread over ``salt_buckets`` tasks instead of one.
+    * otherwise: shuffle join with hot keys salted.  Rows of ``big`` whose
+      key is hot (``hot``, or found by ``hot_keys``) get a deterministic
+      salt in ``[0, salt_buckets)``; the matching ``small`` rows are
+      replicated once per salt value, all other rows keep salt 0.  A key
+      with a third of the rows is spread over ``salt_buckets`` tasks, and
+      only the few hot rows of ``small`` are copied.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if small_is_bounded or row_count_at_most(small, max_broadcast_rows):
         return big.join(F.broadcast(small), keys, how)
-    salted_big = big.withColumn("_salt", salt_of(big, salt_buckets))
-    salted_small = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    hot = hot_keys(big, keys) if hot is None else hot
+    is_hot = _is_hot(keys, hot)
+    salted_big = big.withColumn(
+        "_salt", F.when(is_hot, salt_of(big, salt_buckets)).otherwise(F.lit(0)).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(
+        F.array(F.lit(0)))
+    salted_small = small.withColumn("_salt", F.explode(copies))
     return salted_big.join(salted_small, keys + ["_salt"], how).drop("_salt")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.constants import SCORING_WAIVED_PATTERNS
 from ledgerlens.operators import segment
 from ledgerlens.plans import metrics
-from ledgerlens.plans.joins import lookup_join
+from ledgerlens.plans.joins import hot_keys, lookup_join
 
 
 def test_segments_disjoint_and_cover(spark, scoring_df):
@@ -57,3 +57,10 @@ def test_lookup_join_salted_path_equals_broadcast(spark):
     a = lookup_join(big, small, "key", "left").orderBy("id").collect()
     b = lookup_join(big, small, "key", "left", max_broadcast_rows=0, salt_buckets=8).orderBy("id").collect()
     assert a == b and len(a) == 3000
+    # the key holding two thirds of the rows is the (only) hot key
+    assert hot_keys(big, ["key"], partitions=8) == [("HOT",)]
+    # composite keys take the same path
+    big2 = big.withColumn("k2", F.lit(1))
+    small2 = small.withColumn("k2", F.lit(1))
+    c = lookup_join(big2, small2, ["key", "k2"], "inner", max_broadcast_rows=0).count()
+    assert c == sum(1 for r in a if r["code"] is not None)
