@@ -16,6 +16,7 @@ partition ids stay fixed when it is read twice (and survive executor loss).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .joins import lookup_join
 
+ROWS_PER_TASK = 1_000_000
+
 
 def ordered_positions(df: DataFrame, groups: Sequence[str], order: str,
                       weight: str | None = None, partitions: int | None = None,
@@ -36,12 +39,13 @@ def ordered_positions(df: DataFrame, groups: Sequence[str], order: str,
     materialized first unless the caller already did, so the range
     partitioner's sampling pass does not recompute it from raw data."""
     g = list(groups)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = F.col(weight) if weight else F.lit(1)
     data = df.withColumn("_w", w.cast("bigint"))
     if not input_materialized:
         data = materialize(data, "rank_input")
+    # about ROWS_PER_TASK rows per range task (counting a materialized table
+    # is cheap): tiny inputs use one task, huge ones as many as they need
+    n_parts = partitions or max(1, math.ceil(data.count() / ROWS_PER_TASK))
     ranged = materialize(data.repartitionByRange(n_parts, *g, order)
                          .withColumn("_pid", F.spark_partition_id()))
 

@@ -117,3 +117,20 @@ def test_degenerate_groups_give_null_not_errors(spark):
     empty = df.filter("g = 99")
     r = profile.category_drift(df, empty, ["g"]).first()
     assert r["left_only_ratio"] == 1.0 and r["right_only_ratio"] is None
+
+
+def test_ranking_is_independent_of_range_partition_count(spark):
+    from ledgerlens.plans.ranking import ordered_positions
+    df = spark.createDataFrame([(i % 3, float(i % 17), 1 + i % 4) for i in range(500)],
+                               "g int, v double, w int")
+    freq = df.groupBy("g", "v").agg(F.sum("w").alias("w"))
+    one = sorted(ordered_positions(freq, ["g"], "v", "w", partitions=1)
+                 .select("g", "v", "_start", "_end", "_n").collect())
+    many = sorted(ordered_positions(freq, ["g"], "v", "w", partitions=7)
+                  .select("g", "v", "_start", "_end", "_n").collect())
+    assert one == many
+    # positions are contiguous within each group
+    for gid in range(3):
+        rows = [r for r in one if r["g"] == gid]
+        assert rows[0]["_start"] == 0 and rows[-1]["_end"] == rows[-1]["_n"] - 1
+        assert all(a["_end"] + 1 == b["_start"] for a, b in zip(rows, rows[1:]))
