@@ -15,12 +15,24 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
 def any_pattern(c: str | Column, patterns: Sequence[str]) -> Column:
-    """True when any regex matches anywhere in the text (one alternation,
-    one regex evaluation per row instead of one scan per pattern)."""
-    # (?d): only "\n" ends a line, so "." matches "\r" as Python's re does.
-    alternation = "|".join(f"(?:{p})" for p in patterns)
-    return _col(c).rlike("(?d)" + alternation)
+    """True when any regex matches anywhere in the text.
+
+    Patterns without regex syntax are plain substring tests (a fast literal
+    search); the others are ``rlike`` with ``(?d)`` so that only ``\n``
+    ends a line and ``.`` matches ``\r`` as Python's ``re`` does.  The tests
+    are OR-ed in one expression, which stops at the first hit.
+    """
+    text = _col(c)
+    tests = [text.contains(p) if not (set(p) & _REGEX_META) else text.rlike("(?d)" + p)
+             for p in patterns]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
 
 
 def pattern_flag(c: str | Column, pattern: str) -> Column:
