@@ -49,7 +49,8 @@ def hot_keys(big: DataFrame, keys: list[str], partitions: int | None = None,
     spark = big.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = max_keys or 2 * parts
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    from ..session import materialize  # late import: session has no plan deps
+    counts = materialize(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(total // (2 * parts), 1)
     top = (counts.filter(F.col("_n") > threshold).orderBy(F.desc("_n")).limit(limit)
