@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from ..constants import (MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
                          SCORING_CITY_ALIASES, SCORING_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES,
-                         TRAIN_CITY_REPLACEMENTS, COUNTRY_FROM_CITY, DAY_PARTS)
+                         TRAIN_CITY_REPLACEMENTS, COUNTRY_FROM_CITY, DAY_PARTS, SENTINEL_DATE)
 from ..functions import text as TX
 from ..functions.numeric import unit_hash_sql
-from ..functions.temporal import calendar_parts, day_part_flags
+from ..functions.temporal import calendar_parts, day_part_flags, parse_timestamp, sentinel_date
 from ..operators import clean, encode, filters, profile, segment, vocab
 from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
@@ -520,6 +520,29 @@ def q_seconds_between(spark, sf):
     return filters.with_time_to_hearing(tickets(spark, sf)).select("ticket_id", "time_to_hearing")
 
 
+@query("parse_timestamp", """
+SELECT event_id, strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS ts_parsed,
+       CAST(try_strptime(props, '%Y-%m-%d') AS TIMESTAMP) AS bad_parsed
+FROM events""")
+def q_parse_timestamp(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return ev.select(
+        "event_id",
+        parse_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss")
+        .alias("ts_parsed"),
+        # JSON text is not a date: ANSI-safe parsing gives null instead of failing
+        parse_timestamp(F.col("props"), "yyyy-MM-dd").alias("bad_parsed"))
+
+
+@query("sentinel_date", with_tickets(f"""
+SELECT ticket_id, coalesce(hearing_date, TIMESTAMP '{SENTINEL_DATE}') AS hearing_date,
+       coalesce(hearing_date, TIMESTAMP '{SENTINEL_DATE}') = TIMESTAMP '{SENTINEL_DATE}' AS undated
+FROM tickets"""))
+def q_sentinel_date(spark, sf):
+    t = tickets(spark, sf).select("ticket_id", sentinel_date("hearing_date").alias("hearing_date"))
+    return t.withColumn("undated", F.col("hearing_date") == F.lit(SENTINEL_DATE).cast("timestamp_ntz"))
+
+
 @query("calendar_parts", """
 SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour
