@@ -339,6 +339,20 @@ def q_histogram10(spark, sf):
     return profile.histogram(_labelled(spark, sf), "judgment_amount", ["compliance"])
 
 
+@query("histogram_all", with_tickets("""
+SELECT bin, round(mn + (mx - mn) * bin / 10.0, 4) AS lower,
+       round(mn + (mx - mn) * (bin + 1) / 10.0, 4) AS upper, count(*) AS n
+FROM (SELECT b.mn, b.mx,
+        CAST(CASE WHEN b.mx - b.mn = 0 THEN 0
+             ELSE least(floor((t.fine_amount - b.mn) * 10.0 / (b.mx - b.mn)), 9) END AS INTEGER) AS bin
+      FROM lt t, (SELECT min(fine_amount) AS mn, max(fine_amount) AS mx FROM lt) b
+      WHERE t.fine_amount IS NOT NULL)
+GROUP BY bin, mn, mx""", LABELLED_CTE))
+def q_histogram_all(spark, sf):
+    """All labelled training rows, one amount with negative values."""
+    return profile.histogram(_labelled(spark, sf), "fine_amount")
+
+
 def _slices(df: DataFrame):
     is_train = F.col("ticket_issued_date") < F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
     return [
