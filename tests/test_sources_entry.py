@@ -100,3 +100,20 @@ def test_score_ticket_files_end_to_end(spark, train_df, scoring_df):
     assert rows[102] == rows[103] == 1.0 and all(0 <= v <= 1 for v in rows.values())
     written = spark.read.option("header", "true").csv(os.path.join(folder, "out")).count()
     assert written == 6
+
+
+def test_stream_to_files_with_checkpoint(spark, scoring_df):
+    from ledgerlens.streaming.tickets import start_clean_stream
+    folder = tempfile.mkdtemp(prefix="ll-stream-files-")
+    src, out = os.path.join(folder, "in"), os.path.join(folder, "out")
+    scoring_df.limit(3).write.parquet(os.path.join(src, "batch1"))
+    q = start_clean_stream(spark, os.path.join(src, "*"), out,
+                           checkpoint_location=os.path.join(folder, "ckpt"), trigger_once=True)
+    q.awaitTermination(120)
+    first = spark.read.parquet(out).count()
+    # a restart with the same checkpoint only processes new files
+    scoring_df.write.parquet(os.path.join(src, "batch2"))
+    q = start_clean_stream(spark, os.path.join(src, "*"), out,
+                           checkpoint_location=os.path.join(folder, "ckpt"), trigger_once=True)
+    q.awaitTermination(120)
+    assert first == 3 and spark.read.parquet(out).count() == 3 + 6
