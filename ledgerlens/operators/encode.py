@@ -8,7 +8,7 @@ lookup join, so a vocabulary larger than driver memory still works.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,12 +42,15 @@ def fit_label_codes(df: DataFrame, attributes: Sequence[str],
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str],
-                      handle_unseen: str = "error", suffix: str = "") -> DataFrame:
+                      handle_unseen: str = "error", suffix: str = "",
+                      hot_for: Callable[[str], list[tuple]] | None = None) -> DataFrame:
     """Replace each attribute by its code (or add ``attribute+suffix``).
 
     ``handle_unseen``: ``'error'`` fails the job on a value the vocabulary
     lacks (a fitted encoder's default), ``'keep'`` gives it the code
     ``len(vocabulary)``, ``'null'`` gives null.  A null value stays null.
+    ``hot_for(attribute)`` may supply the hot values for the salted join
+    path (only called when a vocabulary is too big to broadcast).
     """
     out = df
     sizes = None
@@ -59,7 +62,8 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
         part = (codes.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.col("code").alias(f"_c_{a}")))
         out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        out = lookup_join(out, part, f"_v_{a}", "left", small_is_bounded=whole_fits)
+        hot = (lambda a=a: hot_for(a)) if hot_for else None
+        out = lookup_join(out, part, f"_v_{a}", "left", small_is_bounded=whole_fits, hot=hot)
         code = F.col(f"_c_{a}")
         if handle_unseen == "error":
             code = F.when(code.isNull() & F.col(f"_v_{a}").isNotNull(),
@@ -171,9 +175,11 @@ def fit_folded_codes(vocab: DataFrame, fold_attributes: Sequence[str],
 
 
 def apply_folded_codes(df: DataFrame, codes: DataFrame, encoded_attributes: Sequence[str],
-                       sentinel_codes: dict[str, int]) -> DataFrame:
+                       sentinel_codes: dict[str, int],
+                       hot_for: Callable[[str], list[tuple]] | None = None) -> DataFrame:
     """One lookup join per attribute: folded attributes map any value (and
     null) to its folded code; other attributes fail on an unseen value."""
-    out = apply_label_codes(df, codes, encoded_attributes, handle_unseen="error")
+    out = apply_label_codes(df, codes, encoded_attributes, handle_unseen="error",
+                            hot_for=hot_for)
     fixes = {a: F.coalesce(F.col(a), F.lit(code)) for a, code in sentinel_codes.items()}
     return out.withColumns(fixes) if fixes else out

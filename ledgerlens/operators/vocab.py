@@ -89,3 +89,18 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     common = materialize(shared(vocab), "shared_vocabulary")
     return (fold_to_shared(left, common, attributes, sentinel),
             fold_to_shared(right, common, attributes, sentinel))
+
+
+def hot_values(vocab: DataFrame, attribute: str, side: str = "n_left",
+               partitions: int | None = None) -> list[tuple]:
+    """Values of ``attribute`` holding more than half a task's share of one
+    table's rows, read from the vocabulary's counts (no pass over the rows).
+    At most ``2 * partitions`` values qualify, so the list is bounded."""
+    spark = vocab.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sub = vocab.filter(F.col("attribute") == F.lit(attribute))
+    total = sub.agg(F.sum(side)).first()[0] or 0
+    threshold = max(total // (2 * parts), 1)
+    rows = (sub.filter(F.col(side) > threshold).orderBy(F.desc(side)).limit(2 * parts)
+            .select("value").collect())
+    return [(r["value"],) for r in rows]

@@ -9,6 +9,8 @@ value (``DETROIT``) may hold a third of all rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,14 +73,15 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                 salt_buckets: int = SALT_BUCKETS,
                 small_is_bounded: bool = False,
-                hot: list[tuple] | None = None) -> DataFrame:
+                hot: list[tuple] | Callable[[], list[tuple]] | None = None) -> DataFrame:
     """Join ``big`` to a unique-keyed ``small`` table.
 
     * ``small_is_bounded`` (a literal table, a fixed dimension) or a checked
       row count under ``max_broadcast_rows``: broadcast hash join, no shuffle
       of ``big`` at all.
     * otherwise: shuffle join with hot keys salted.  Rows of ``big`` whose
-      key is hot (``hot``, or found by ``hot_keys``) get a deterministic
+      key is hot (``hot`` — a list, or a function giving it only when this
+      path is taken — or found by ``hot_keys``) get a deterministic
       salt in ``[0, salt_buckets)``; the matching ``small`` rows are
       replicated once per salt value, all other rows keep salt 0.  A key
       with a third of the rows is spread over ``salt_buckets`` tasks, and
@@ -87,7 +90,7 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str
     keys = [on] if isinstance(on, str) else list(on)
     if small_is_bounded or row_count_at_most(small, max_broadcast_rows):
         return big.join(F.broadcast(small), keys, how)
-    hot = hot_keys(big, keys) if hot is None else hot
+    hot = hot_keys(big, keys) if hot is None else (hot() if callable(hot) else hot)
     is_hot = _is_hot(keys, hot)
     salted_big = big.withColumn(
         "_salt", F.when(is_hot, salt_of(big, salt_buckets)).otherwise(F.lit(0)).cast("int"))

@@ -77,8 +77,12 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec,
     voc = vocab.vocabulary(t, s, attrs, persist=True)
     codes, nan_codes = encode.fit_folded_codes(voc, spec.fold_attributes,
                                                spec.encoded_attributes, NULL_SENTINEL)
-    t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes)
-    s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes)
+    # hot values for the (rare) salted join path come from the vocabulary's
+    # per-table counts, not from another pass over the rows
+    t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes,
+                                  hot_for=lambda a: vocab.hot_values(voc, a, "n_left"))
+    s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes,
+                                  hot_for=lambda a: vocab.hot_values(voc, a, "n_right"))
     fold_only = [a for a in spec.fold_attributes if a not in set(spec.encoded_attributes)]
     if fold_only:
         common = vocab.shared(voc)

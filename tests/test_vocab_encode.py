@@ -113,3 +113,21 @@ def test_fused_fold_encode_equals_fold_then_encode(spark):
     cols = ["ticket_id", *spec.encoded_attributes]
     assert sorted(fused_t.select(cols).collect()) == sorted(et.select(cols).collect())
     assert sorted(fused_s.select(cols).collect()) == sorted(es.select(cols).collect())
+
+
+def test_hot_values_from_vocabulary_and_salted_codes(spark, monkeypatch):
+    import ledgerlens.operators.encode as EN
+    from ledgerlens.plans import joins
+    rows = [("HOT" if i % 3 else f"v{i % 11}",) for i in range(900)]
+    df = spark.createDataFrame(rows, "c string")
+    voc = vocab.vocabulary(df, df.limit(1), ["c"])
+    assert vocab.hot_values(voc, "c", "n_left", partitions=4) == [("HOT",)]
+    codes = encode.fit_label_codes(df, ["c"])
+    want = sorted(encode.apply_label_codes(df, codes, ["c"]).collect())
+    # force the salted path: the lookup is "too big" to broadcast
+    monkeypatch.setattr(EN, "MAX_BROADCAST_ROWS", 0)
+    orig = joins.lookup_join
+    monkeypatch.setattr(EN, "lookup_join", lambda *a, **k: orig(*a, **{**k, "max_broadcast_rows": 0}))
+    got = sorted(encode.apply_label_codes(
+        df, codes, ["c"], hot_for=lambda a: vocab.hot_values(voc, a, "n_left")).collect())
+    assert got == want
