@@ -52,7 +52,7 @@ def shared(vocab: DataFrame) -> DataFrame:
 
 
 def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[str],
-                   sentinel: str = NULL_SENTINEL) -> DataFrame:
+                   sentinel: str = NULL_SENTINEL, hot_for=None) -> DataFrame:
     """Values not shared by both tables -> ``sentinel`` (61).
 
     One lookup join per attribute against its slice of the shared
@@ -67,7 +67,8 @@ def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[
         keys = (shared_vocab.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.lit(True).alias(f"_hit_{a}")))
         out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        out = lookup_join(out, keys, f"_v_{a}", "left", small_is_bounded=whole_fits)
+        hot = (lambda a=a: hot_for(a)) if hot_for else None
+        out = lookup_join(out, keys, f"_v_{a}", "left", small_is_bounded=whole_fits, hot=hot)
         out = (out.withColumn(a, F.when(F.col(f"_hit_{a}"), F.col(a).cast("string"))
                               .otherwise(F.lit(sentinel)))
                .drop(f"_v_{a}", f"_hit_{a}"))
@@ -85,10 +86,13 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     if materialize_inputs:
         left = materialize(left, "fold_left", wide=True)
         right = materialize(right, "fold_right", wide=True)
-    vocab = vocabulary(left, right, attributes)
+    vocab = vocabulary(left, right, attributes, persist=True)
     common = materialize(shared(vocab), "shared_vocabulary")
-    return (fold_to_shared(left, common, attributes, sentinel),
-            fold_to_shared(right, common, attributes, sentinel))
+    # hot values (for the salted path only) from the vocabulary's counts
+    return (fold_to_shared(left, common, attributes, sentinel,
+                           hot_for=lambda a: hot_values(vocab, a, "n_left")),
+            fold_to_shared(right, common, attributes, sentinel,
+                           hot_for=lambda a: hot_values(vocab, a, "n_right")))
 
 
 def hot_values(vocab: DataFrame, attribute: str, side: str = "n_left",
