@@ -831,3 +831,28 @@ def q_score_tickets(spark, sf):
 def q_final_scores(spark, sf):
     tr, sc = both_periods(spark, sf)
     return routed_scores(tr, sc, _view_spec(), inputs_materialized=True)
+
+
+@query("document_quality")
+def q_document_quality(spark, sf):
+    """The same modelling path on documents + labels.quality (FIXTURES: the
+    classifier role with real signal): text flags on whole texts, label
+    codes for language and source, key split, L1 logistic, exact hold-out
+    AUC.  One row: auc, n_pos, n_neg."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    labels = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    df = docs.join(labels, "doc_id", "inner").select(
+        F.col("doc_id").alias("ticket_id"), "label", "lang", "source",
+        F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+        TX.person_flag("text").alias("people"),
+        TX.po_box_flag("text").alias("address_BOX"),
+        TX.mile_flag("text").alias("address_MILE"),
+        (F.size(F.split(F.col("text"), "\n")) - F.size(F.array_distinct(F.split(F.col("text"), "\n"))))
+        .alias("repeated_lines"))
+    codes = encode.fit_label_codes(df, ["lang", "source"])
+    data = encode.apply_label_codes(df, codes, ["lang", "source"])
+    feats = ["lang", "source", "log_chars", "people", "address_BOX", "address_MILE", "repeated_lines"]
+    fit_part, hold = segment.holdout_split(data)
+    model = models.fit(models.logistic(c=1.0, n_rows=fit_part.count(), standardize=True),
+                       fit_part, feats)
+    return metrics.roc_auc(models.score(model, hold), "score", "label")

@@ -71,3 +71,10 @@ def test_routed_scores_with_models_on_driver_view(spark):
     ids = [r["ticket_id"] for r in rows]
     assert len(ids) == len(set(ids)) == scoring.count()          # one score per ticket
     assert all(0.0 <= r["compliance"] <= 1.0 for r in rows)
+
+
+def test_document_quality_model_has_signal(spark):
+    from ledgerlens.plans.catalog import QUERIES
+    from conftest import SF01
+    r = QUERIES["document_quality"](spark, SF01).first()
+    assert r["n_pos"] > 0 and r["n_neg"] > 0 and r["auc"] > 0.7

@@ -48,7 +48,7 @@ def test_entry_and_catalog_consistent(spark):
     assert df.columns == ["attribute", "value", "rate", "n"]
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 63
+    assert len(qs) >= 65
 
 
 def test_stream_cleaning(spark, scoring_df):
