@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset on a local master (tests) a scratch folder is created — on a
     cluster an unset folder is an error, never a machine-local path.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -80,7 +83,7 @@ def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataF
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    if not wide:
+    if not wide or not root:
         return df.checkpoint(eager=True)
     path = f"{root}/ledgerlens/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
