@@ -162,7 +162,8 @@ def score_rff_svc(scaler, svc, df: DataFrame, features: Sequence[str], gamma: fl
 
 # --------------------------------------------------------------------------- 72, 73
 def grid_search(estimator, grid: dict, df: DataFrame, features: Sequence[str],
-                folds: int = CV_FOLDS, parallelism: int = 4, key: str = "ticket_id") -> DataFrame:
+                folds: int = CV_FOLDS, parallelism: int | None = None,
+                key: str = "ticket_id") -> DataFrame:
     """Exhaustive grid with k-fold AUC (exact: ``numBins=0``); folds come
     from the ticket key, so they are reproducible.  Returns one row per
     parameter combination with its mean AUC, best first."""
@@ -170,6 +171,9 @@ def grid_search(estimator, grid: dict, df: DataFrame, features: Sequence[str],
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     maps = builder.build()
+    # all candidates of a fold are fitted side by side (small fits leave
+    # most cores idle); capped so a big grid does not flood the scheduler
+    parallelism = parallelism or min(len(maps), 8)
     data = assembler(features).transform(df).withColumn("_fold", fold_of(key, folds))
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC",
                                               numBins=0, rawPredictionCol="rawPrediction")
