@@ -34,3 +34,19 @@ def test_auc_equals_pairwise_count(spark, rows):
     neg = [s for s, y in rows if y == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert abs(metrics.roc_auc(df).first()["auc"] - want) < 1e-12
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["HOT", "HOT", "HOT", "a", "b", "c"])),
+                min_size=1, max_size=80),
+       st.sets(st.sampled_from(["HOT", "a", "b", "z"]), max_size=4),
+       st.sampled_from(["left", "inner"]))
+def test_salted_lookup_equals_broadcast(spark, keys, lookup, how):
+    from ledgerlens.plans.joins import lookup_join
+    big = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k string")
+    small = spark.createDataFrame([(k, len(k)) for k in sorted(lookup)] or [("none", 0)],
+                                  "k string, v int")
+    a = sorted(lookup_join(big, small, "k", how).collect(), key=lambda r: r["id"])
+    b = sorted(lookup_join(big, small, "k", how, max_broadcast_rows=0, salt_buckets=4).collect(),
+               key=lambda r: r["id"])
+    assert a == b
