@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import simhash_ball, wu_manber
+from . import impact_topk, packing_swap, simhash_ball, wu_manber
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -48,6 +48,37 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
 """
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every fiftieth vector against all others."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return impact_topk.top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(50)) == 0), k=5)
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT query_id, vec_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """All documents as pieces of sequences of at most 4096 tokens."""
+    return packing_swap.packed(read_table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizer())
+
+
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed public vocabulary file."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate class of each document: three-word shingles, three bits."""
     out = simhash_ball.near_duplicate_classes(read_table(spark, sf_dir, "documents"))
@@ -57,9 +88,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_topk": op2_topk,
+    "op7_packing": op7_packing,
     "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
+    "op2_topk": OP2_SQL,
 }
