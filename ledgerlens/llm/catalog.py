@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import impact_topk, packing_swap, simhash_ball, wu_manber
+from . import impact_topk, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,6 +69,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by Markov models."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_markov.scan(docs, secret_markov.fit(docs))
+    base = F.filter("__spans", lambda s: s["kind"] != secret_markov.ADDED)
+    joined = lambda spans: F.concat_ws(",", F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    count = lambda kind: F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secret_markov.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("__spans")).alias("spans"),
+        count(secret_markov.ADDED).alias("n_markov"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     """All documents as pieces of sequences of at most 4096 tokens."""
     return packing_swap.packed(read_table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizer())
@@ -86,11 +101,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned where crc32(doc_id) mod 4 is not 2."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = remainder("doc_id", 4) == 2
+    model = weak_toxicity.fit(docs, read_table(spark, sf_dir, "labels"), learn=~held)
+    return weak_toxicity.scored(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= weak_toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
+    "op5_secrets": op5_secrets,
     "op7_packing": op7_packing,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -107,12 +107,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
 
     Every block of queries meets every block of candidates; a task holds one
     block of each.  Vectors of another length than the query's don't compare
-    and are no candidates of it.  Repeated keys are candidates each.  Empty
-    tables give an empty result.
+    and are no candidates of it.  Repeated keys are candidates each; a repeated
+    query is asked once.  Empty tables give
+    an empty result.
     """
-    cand, ask = quantised(vectors, key, vector, scale), quantised(queries, key, vector, scale)
+    cand = quantised(vectors, key, vector, scale)
+    ask = quantised(queries, key, vector, scale).distinct()
     nc, nq = _blocks(cand, block), _blocks(ask, query_block)
-    deal = lambda n: F.pmod(F.xxhash64("key", F.lit(n)), F.lit(n)).cast("int")
+    # by row, not by key: a key that repeats often must not fill one block
+    deal = lambda n: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
     left = (cand.withColumn("cb", deal(nc)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
             .withColumn("dims", F.size("q")))
     right = (ask.withColumn("qb", deal(nq)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))

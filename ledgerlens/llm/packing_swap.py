@@ -214,7 +214,8 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]
 
 
 def _pack_groups(items: DataFrame, groups: int, level: int, capacity: int) -> DataFrame:
-    """Pack each of ``groups`` groups; sequence_id is unique over levels and groups."""
+    """Pack each of ``groups`` groups; sequence_id is unique over levels and groups.
+    ``items`` is checkpointed, so dealing by row number holds when a task is run again."""
     cols = items.columns
 
     def run(key, table):
@@ -231,7 +232,7 @@ def _pack_groups(items: DataFrame, groups: int, level: int, capacity: int) -> Da
         return order.select(cols).append_column("sequence_id", pa.array(sequence + base)) \
             .append_column("offset", pa.array(offset)).append_column("fill", pa.array(fill))
 
-    dealt = items.withColumn("grp", F.pmod(F.xxhash64("doc", "piece", F.lit(level)), F.lit(groups)))
+    dealt = items.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(level)), F.lit(groups)))
     return dealt.groupBy("grp").applyInArrow(run, extended(items.schema, "sequence_id long, offset long, fill long"))
 
 
