@@ -26,8 +26,11 @@ from .common import WORD_TABLE, checkpointed, extended, utf8
 
 SAMPLE = 6_000  # labelled rows of each label that the models are fitted on
 STEMS = (4, 5, 6)  # lengths of word beginnings, in bytes
-MIN_TOXIC = 5  # toxic sample texts that a voter must occur in
+MIN_TOXIC = 3  # toxic sample texts that a voter must occur in
+MIN_SHARE = 0.01  # of the toxic sample texts, likewise
 MIN_LIFT = 20.0  # times as frequent in toxic texts
+MIN_PRECISION = 0.9  # share of toxic texts among those it fires in, at the labels' frequencies
+SHARED = 0.8  # correlation within a class beyond which voters share their evidence
 VOTERS = 96
 FEATURES = 512
 THRESHOLD = 0.3
@@ -75,24 +78,25 @@ class Model:
 
 def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """EM over 0/1 votes (rows, voters): posterior of the positive class, firing
-    rates (2, voters) and evidence weights of the voters.
-
-    Starts from "any vote".  Voters that stay correlated within a class
-    (correlation over a half) share their evidence: a voter's weight is one
-    over the number of voters it goes with, itself included.
+    rates (2, voters + 1) and evidence weights of the voters.
+
+    A voter that doesn't fire abstains: voters of different languages exclude
+    each other, so silence of one says nothing.  One more voter, the last,
+    fires for the negative class where all others abstain.  EM starts from
+    "any vote".  Voters that stay correlated within a class (beyond
+    ``SHARED``) share their evidence: a voter's weight is one over the number of
+    voters it goes with, itself included.
     """
+    votes = np.c_[votes, 1.0 - votes.any(1)]
     n, m = votes.shape
     weight = np.ones(m)
-    post = np.where(votes.any(1), 0.9, 0.02)
+    post = np.where(votes[:, -1] == 0, 0.9, 0.02)
     rates = np.zeros((2, m))
     for step in range(2):  # before and after the correlations are known
         for _ in range(rounds):
             for c, p in ((1, post), (0, 1 - post)):
                 rates[c] = (p @ votes + 0.1) / (p.sum() + 1.0)
-            with np.errstate(divide="ignore"):
-                on = np.log(rates[1] / rates[0]) * weight
-                off = np.log((1 - rates[1]) / (1 - rates[0])) * weight
-            z = np.log(prior / (1 - prior)) + votes @ on + (1 - votes) @ off
+            z = np.log(prior / (1 - prior)) + votes @ (np.log(rates[1] / rates[0]) * weight)
             new = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             if np.abs(new - post).max() < 1e-6:
                 post = new
@@ -101,12 +105,12 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
         if step == 0:
             left = votes - (post[:, None] * rates[1] + (1 - post[:, None]) * rates[0])
             sd = left.std(0) + 1e-9
-            weight = 1 / (np.abs((left.T @ left) / n / np.outer(sd, sd)) > 0.5).sum(1).clip(1)
+            weight = 1 / (np.abs((left.T @ left) / n / np.outer(sd, sd)) > SHARED).sum(1).clip(1)
     return post, rates, weight
 
 
-def linear_classifier(x: np.ndarray, target: np.ndarray, rows: np.ndarray, steps: int = 300,
-                      penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear_classifier(x: np.ndarray, target: np.ndarray, rows: np.ndarray, steps: int = 400,
+                      penalty: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets with row weights (Adam on all rows)."""
     w = np.zeros(x.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -148,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     share = counts.get(1, 0) / total if total else 0.0
     if not 0 < share < 1:
         return Model([], np.zeros(0), -40.0 if share == 0 else 40.0)
-    sample = checkpointed(sample.select("key", "text", "y"))
+    # a text that repeats counts once: copies of one toxic text would make lexicon of all its words
+    sample = checkpointed(sample.groupBy("text").agg(F.max("y").alias("y")))
 
     def tally(batches):
         seen = [Counter(), Counter()]
@@ -181,8 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows_of = np.maximum(np.bincount(y, minlength=2), 1)
     rate = (hits + 0.5) / (rows_of[:, None] + 1)
     lift = rate[1] / rate[0]
-    strong = np.flatnonzero(lift >= MIN_LIFT)
-    gain = np.abs(np.log(lift)) * np.sqrt(hits[1])
+    common = hits[1] >= max(MIN_TOXIC, MIN_SHARE * rows_of[1])
+    fires = hits * (np.array([counts[0], counts[1]]) / rows_of)[:, None]
+    precise = fires[1] >= MIN_PRECISION * fires.sum(0)
+    strong = np.flatnonzero((lift >= MIN_LIFT) & common & precise)
+    gain = np.where(common, np.abs(np.log(lift)) * np.sqrt(hits[1]), 0.0)
     if not len(strong):
         strong = np.argsort(-np.log(np.maximum(lift, 1e-9)) * np.sqrt(hits[1]))[:8]
 
@@ -194,8 +202,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         x[doc[ok], at[feature[ok]]] = 1
         return x
 
+    def distinct(columns: np.ndarray) -> np.ndarray:
+        """Of features that occur in the same rows (a word and its beginnings) the first."""
+        seen: dict[bytes, int] = {}
+        x = matrix(columns)
+        for i, c in enumerate(columns.tolist()):
+            seen.setdefault(np.packbits(x[:, i] > 0).tobytes(), c)
+        return np.array(sorted(seen.values(), key=columns.tolist().index), np.int64)
+
     # voters: cover the toxic rows first, then by strength
-    order = strong[np.argsort(-gain[strong], kind="stable")][:4 * VOTERS]
+    order = distinct(strong[np.argsort(-gain[strong], kind="stable")][:6 * VOTERS])
     x = matrix(order)
     open_rows = y == 1
     voters: list[int] = []
@@ -213,8 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # from the sample's class frequencies to those of all labelled rows
     odds = post / np.clip(1 - post, 1e-12, None) * (share / (1 - share)) / (sample_prior / (1 - sample_prior))
     target = odds / (1 + odds)
-    chosen = np.argsort(-gain, kind="stable")[:FEATURES - len(voters)]
-    chosen = np.unique(np.r_[order[voters], chosen])
+    chosen = np.r_[order[voters], np.argsort(-gain, kind="stable")[:FEATURES]]
+    chosen = distinct(chosen[np.sort(np.unique(chosen, return_index=True)[1])])[:FEATURES]
     w, b = linear_classifier(matrix(chosen), target, weight)
     return Model([names[i] for i in chosen], w, b)
 
