@@ -18,60 +18,109 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, extended, slices
+from .common import checkpointed, extended, slices, utf8
 
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 16_384  # pieces of one group on average
 REPACK_BELOW = 0.98  # bins filled less than this are dealt again
-WORD_CACHE = 400_000  # words whose ids a worker remembers (memory bound only)
+WORD_CACHE = 400_000  # words whose ids a worker remembers in each of two generations
 LONG_WORD = 48  # longer words are not remembered
 
 _tokenizers: dict = {}
 
 
 def _tokenizer(path: str):
+    """The tokenizer, the same without its preparation of text (for words of
+    a-z, which that leaves as they are), and the words met lately."""
     if path not in _tokenizers:
-        from tokenizers import Tokenizer
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = (t, {})
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (whole, plain):
+            t.encode_special_tokens = True  # their strings in a text are ordinary text
+        plain.normalizer = normalizers.Sequence([])
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        _tokenizers[path] = (whole, plain, {"new": {}, "old": {}})
     return _tokenizers[path]
 
 
-def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text.  The tokenizer's pre-tokenizer never joins characters
-    across white space (which it drops), so a text's ids are those of its
-    words; each word is encoded once and looked up afterwards."""
-    tokenizer, known = _tokenizer(path)
+def _encode_runs(words: list[str], mark: str, tokenizer) -> list[bytes]:
+    """Ids of each word, little-endian 32-bit.  Words are encoded in runs with a
+    mark between them that is in none of them; its id cuts the runs' ids again."""
+    (stop,) = tokenizer.encode(mark, add_special_tokens=False).ids
+    out: list[bytes] = []
+    runs = [f" {mark} ".join(words[lo:lo + 2000]) for lo in range(0, len(words), 2000)]
+    for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False):
+        ids = np.array(e.ids, "<u4")
+        cuts = 4 * np.flatnonzero(ids == stop)
+        raw = ids.tobytes()
+        out += [raw[s:t] for s, t in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)])]
+    return out
+
+
+def _encode_words(words: list[bytes], whole, plain) -> dict[bytes, bytes]:
+    """Ids of each word.  The tokenizer lower-cases first and starts a new token
+    where a letter is followed by a mark, so a word of a-z and its final comma
+    or full stop are encoded apart."""
+    ends = {m: np.array(whole.encode(m.decode(), add_special_tokens=False).ids, "<u4").tobytes() for m in (b",", b".")}
+    ends[b""] = b""
+    letters: list[tuple[bytes, bytes, bytes]] = []
+    others: list[bytes] = []
+    out: dict[bytes, bytes] = {}
+    for w in words:
+        if w.isalpha():
+            letters.append((w, w, b""))
+        elif w[-1:] in b",." and w[:-1].isalpha():
+            letters.append((w, w[:-1], w[-1:]))
+        elif b"\x01" in w:
+            out[w] = np.array(whole.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            others.append(w)
+    for (w, _, m), ids in zip(letters, _encode_runs([x.lower().decode() for _, x, _ in letters], ".", plain)):
+        out[w] = ids + ends[m]
+    out.update(zip(others, _encode_runs([w.decode() for w in others], "\x01", whole)))
+    return out
+
+
+def encode(texts: list[bytes], path: str) -> list[bytes]:
+    """Ids of each text (UTF-8), as little-endian 32-bit integers.  The
+    tokenizer's pre-tokenizer never joins characters across white space, which
+    it drops, so a text's ids are those of its words between ASCII white
+    space; each word is encoded once and looked up afterwards."""
+    whole, plain, memory = _tokenizer(path)
     split = [t.split() for t in texts]
-    if len(known) > WORD_CACHE:
-        known.clear()
-    new = list({w for words in split for w in words if w not in known})
-    extra: dict[str, np.ndarray] = {}
-    for lo in range(0, len(new), 50_000):
-        part = new[lo:lo + 50_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            (known if len(w) <= LONG_WORD else extra)[w] = np.array(e.ids, np.uint32)
-    table = {**known, **extra} if extra else known
-    return [np.concatenate([table[w] for w in words]) if words else np.empty(0, np.uint32) for words in split]
+    if len(memory["new"]) > WORD_CACHE:  # forget words not met since the last time
+        memory["old"], memory["new"] = memory["new"], {}
+    known, old = memory["new"], memory["old"]
+    unknown = set().union(*split) - known.keys()
+    again = unknown & old.keys()
+    known.update((w, old[w]) for w in again)
+    fresh = _encode_words(list(unknown - again), whole, plain)
+    known.update(fresh)
+    out = [b"".join([known[w] for w in words]) for words in split]
+    for w in fresh:
+        if len(w) > LONG_WORD:
+            del known[w]
+    return out
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc, piece, start, length, ids_crc32) of every document, null text being empty."""
+    end = np.array([end_id], "<u4").tobytes()
+
     def run(batches):
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
+            texts = utf8(b.column(1))
             out: list[list] = [[] for _ in range(4)]
             at: list[int] = []
             for lo, hi in slices([len(t) for t in texts], 4_000_000):
                 for i, ids in zip(range(lo, hi), encode(texts[lo:hi], tokenizer_path)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for p, s in enumerate(range(0, len(ids), capacity)):
-                        part = ids[s:s + capacity]
+                    ids += end
+                    for p, s in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[4 * s:4 * (s + capacity)]
                         at.append(i)
-                        for column, v in zip(out, (p, s, len(part), zlib.crc32(part.tobytes()))):
+                        for column, v in zip(out, (p, s, len(part) // 4, zlib.crc32(part))):
                             column.append(v)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(at, pa.int64())), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
