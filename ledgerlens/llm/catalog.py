@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import impact_topk, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from . import gru_language, impact_topk, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
 from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -69,6 +69,15 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned where crc32(doc_id) mod 4 is not 2."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = remainder("doc_id", 4) == 2
+    model = gru_language.fit(docs, learn=~held)
+    return gru_language.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", held.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by pattern and by Markov models."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +122,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
+    "op3_language": op3_language,
     "op5_secrets": op5_secrets,
     "op7_packing": op7_packing,
     "op9_simhash": op9_simhash,
