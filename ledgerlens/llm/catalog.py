@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import gru_language, impact_topk, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from . import gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
 from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,6 +92,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(secret_markov.ADDED).alias("n_markov"))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learned where crc32(doc_id) mod 10 is not 0."""
+    return lbl_lm.scores(read_table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     """All documents as pieces of sequences of at most 4096 tokens."""
     return packing_swap.packed(read_table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizer())
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_topk": op2_topk,
     "op3_language": op3_language,
     "op5_secrets": op5_secrets,
+    "op6_lm": op6_lm,
     "op7_packing": op7_packing,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
