@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from . import fuzzy_lines, gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
 from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -108,6 +108,17 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document and the numbers (from 0) of those that repeat an earlier line."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
+    gone = F.coalesce(F.size("__removed"), F.lit(0)).cast("long")
+    return fuzzy_lines.with_removed(docs).select(
+        "doc_id", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(counted).alias("n_lines"),
+        F.when(F.col("__removed").isNull(), F.lit(0).cast("long")).otherwise(gone).alias("n_removed"),
+        F.coalesce(F.array_join(F.transform("__removed", lambda i: i.cast("string")), ","), F.lit("")).alias("removed"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate class of each document: three-word shingles, three bits."""
     out = simhash_ball.near_duplicate_classes(read_table(spark, sf_dir, "documents"))
@@ -131,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_lm": op6_lm,
     "op7_packing": op7_packing,
+    "op8_lines": op8_lines,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
