@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import fuzzy_lines, gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from . import compact_windows, fuzzy_lines, gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
 from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,6 +78,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that each document shares with another one."""
+    found = compact_windows.repeated_passages(read_table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["first"].cast("string"), (s["last"] + 1).cast("string")))
+    return found.select("doc_id", "n_passages", "n_words_repeated", F.array_join(spans, ",").alias("spans"),
+                        F.col("component").alias("component_id"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by pattern and by Markov models."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -139,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
     "op3_language": op3_language,
+    "op4_passages": op4_passages,
     "op5_secrets": op5_secrets,
     "op6_lm": op6_lm,
     "op7_packing": op7_packing,
