@@ -102,11 +102,12 @@ def with_sentinel(c: str | Column, sentinel: str = NULL_SENTINEL) -> Column:
 
 
 def number_text(c: str | Column) -> Column:
-    """Number-like value as text: integral doubles lose the ``.0`` (``12.0``
-    -> ``12``), other text is kept, so the same house number read as int
-    in one table and float in the other gets one spelling."""
-    col = _col(c).cast("string")
-    d = col.try_cast("double")
-    integral = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(1e18))
-    return F.when(integral & col.rlike(r"^-?[0-9]+\.0+$"),
-                  F.floor(d).cast("bigint").cast("string")).otherwise(col)
+    """Number-like value as text: integral doubles lose the ``.0`` or exponent
+    (``12.0`` -> ``12``, ``1.2345678E7`` -> ``12345678``), other text is kept,
+    so the same house number read as int in one table and float in the other
+    gets one spelling."""
+    text = _col(c).cast("string")
+    floating = text.rlike(r"^-?[0-9]+(\.0+|(\.[0-9]+)?[eE]\+?[0-9]+)$")
+    exact = F.when(floating, text).try_cast("decimal(38,10)")
+    whole = F.floor(exact)
+    return F.coalesce(F.when(exact == whole, whole.cast("string")), text)

@@ -14,13 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
+from ..plans.joins import MAX_BROADCAST_BYTES, lookup_join, size_at_most
 from ..plans.ranking import ordered_positions
 from ..session import materialize
 from .profile import unpivot_as_text
 
-MAX_DUMMY_VALUES = 1000
-
 
 def fit_label_codes(df: DataFrame, attributes: Sequence[str],
                     always_include: Sequence[str] = (), persist: bool = True) -> DataFrame:
@@ -37,7 +35,7 @@ def fit_label_codes(df: DataFrame, attributes: Sequence[str],
     # position in the sorted vocabulary, ranked across balanced range
     # partitions (a vocabulary may be too big for one task)
     codes = ordered_positions(distinct, ["attribute"], "value").select(
-        "attribute", "value", F.col("_start").cast("int").alias("code"))
+        "attribute", "value", F.col("_start").cast("bigint").alias("code"))
     return materialize(codes, "label_codes") if persist else codes
 
 
@@ -57,7 +55,7 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
     if handle_unseen == "keep":
         sizes = {r["attribute"]: r["n"] for r in
                  codes.groupBy("attribute").agg(F.count("*").alias("n")).collect()}
-    whole_fits = row_count_at_most(codes, MAX_BROADCAST_ROWS)  # then every slice fits
+    whole_fits = size_at_most(codes, MAX_BROADCAST_BYTES)  # then every slice fits
     for a in attributes:
         part = (codes.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.col("code").alias(f"_c_{a}")))
@@ -68,7 +66,7 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
         if handle_unseen == "error":
             code = F.when(code.isNull() & F.col(f"_v_{a}").isNotNull(),
                           F.raise_error(F.concat(F.lit(f"unseen label in {a}: "),
-                                                 F.col(f"_v_{a}"))).cast("int")).otherwise(code)
+                                                 F.col(f"_v_{a}"))).cast("bigint")).otherwise(code)
         elif handle_unseen == "keep":
             code = F.when(F.col(f"_v_{a}").isNotNull(),
                           F.coalesce(code, F.lit(int(sizes.get(a, 0)))))
@@ -80,7 +78,7 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]
 
 def decode_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Inverse of ``apply_label_codes``: codes back to their values."""
-    whole_fits = row_count_at_most(codes, MAX_BROADCAST_ROWS)
+    whole_fits = size_at_most(codes, MAX_BROADCAST_BYTES)
     out = df
     for a in attributes:
         part = (codes.filter(F.col("attribute") == F.lit(a))
@@ -98,16 +96,13 @@ def label_encode(df: DataFrame, attributes: Sequence[str],
     return apply_label_codes(df, codes, attributes), codes
 
 
-def dummy_vocabulary(df: DataFrame, column: str, max_values: int = MAX_DUMMY_VALUES) -> list[str]:
+def dummy_vocabulary(df: DataFrame, column: str) -> list[str]:
     """Sorted distinct values of a low-cardinality column.
 
     Dummy columns are schema, so their names must be known when the plan is
-    built; the distinct values are collected only after checking there are
-    at most ``max_values`` of them.
+    built; use :func:`one_hot_sparse` for columns with many values.
     """
     distinct = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-    if not row_count_at_most(distinct, max_values):
-        raise ValueError(f"{column} has more than {max_values} values; use label codes")
     return sorted(r["v"] for r in distinct.collect())
 
 
@@ -126,6 +121,18 @@ def one_hot(df: DataFrame, columns: Sequence[str],
     return out.drop(*columns) if drop_original else out
 
 
+def one_hot_sparse(df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None,
+                   out: str = "dummies") -> DataFrame:
+    """``out``: array of (attribute, code) of the dummies that are 1, for any
+    number of values; a null or (with given ``codes``) unseen value has none.
+    The columns stay a single array however many values there are."""
+    codes = fit_label_codes(df, columns) if codes is None else codes
+    coded = apply_label_codes(df, codes, columns, handle_unseen="null", suffix="_code")
+    hot = F.array(*[F.when(F.col(f"{c}_code").isNotNull(), F.struct(
+        F.lit(c).alias("attribute"), F.col(f"{c}_code").alias("code"))) for c in columns])
+    return coded.withColumn(out, F.filter(hot, lambda d: d.isNotNull())).drop(*[f"{c}_code" for c in columns])
+
+
 def align_dummies(df: DataFrame, reference_columns: Sequence[str],
                   merges: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Project onto the training dummy schema: merge listed dummies by OR,
@@ -160,7 +167,7 @@ def fit_folded_codes(vocab: DataFrame, fold_attributes: Sequence[str],
                                   "attribute string, value string")
     code_vocab = kept.select("attribute", "value").unionByName(extra).distinct()
     codes = materialize(ordered_positions(code_vocab, ["attribute"], "value").select(
-        "attribute", "value", F.col("_start").cast("int").alias("code")), "label_codes")
+        "attribute", "value", F.col("_start").cast("bigint").alias("code")), "label_codes")
     sentinel_codes = {r["attribute"]: int(r["code"]) for r in
                       codes.filter(F.col("value") == F.lit(sentinel)).collect()}
     folded_enc = [a for a in encoded_attributes if a in fold]

@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import lookup_join
+from ..session import materialize
 
 
 def attach_coordinates(tickets: DataFrame, addresses: DataFrame, latlons: DataFrame,
                        key: str = "ticket_id") -> DataFrame:
     """Left joins: tickets keep every row; unknown addresses give null lat/lon."""
-    addr = addresses.select(key, F.col("address")).dropDuplicates([key])
-    coords = latlons.select("address", "lat", "lon").dropDuplicates(["address"])
+    # of conflicting rows the smallest address / coordinates, whatever the order they come in
+    addr = addresses.groupBy(key).agg(F.min("address").alias("address"))
+    coords = latlons.groupBy("address").agg(F.min(F.struct("lat", "lon")).alias("_at")).select(
+        "address", F.col("_at.lat").alias("lat"), F.col("_at.lon").alias("lon"))
     with_addr = tickets.join(addr, key, "left")
-    return lookup_join(with_addr, coords, "address", "left")
+    return lookup_join(with_addr, materialize(coords, "coordinates"), "address", "left")

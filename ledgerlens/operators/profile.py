@@ -12,8 +12,8 @@ Scale notes
   reduced to a ``(group, value, count)`` frequency table (distributed,
   map-side combined); running counts then come from a range-partitioned
   ranking (``plans.ranking``), balanced even when one group is huge.
-* Money means are summed as decimals (see ``functions.numeric``), so they do
-  not depend on the order rows arrive in.
+* Means are plain double means unless the caller states the number of
+  decimals (see ``functions.numeric``); nothing is rounded here.
 """
 
 from __future__ import annotations
@@ -26,11 +26,8 @@ from pyspark.sql import functions as F
 from ..constants import HISTOGRAM_BINS
 from ..functions.numeric import exact_mean
 from ..session import materialize
-from ..plans.joins import lookup_join
 from ..plans.ranking import ordered_positions
 
-ROUND = 4
-
 
 def unpivot_as_text(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = (),
                     name: str = "attribute", value: str = "value") -> DataFrame:
@@ -75,7 +72,7 @@ def rate_by_attributes(df: DataFrame, attributes: Sequence[str],
             .orderBy("attribute", F.desc("rate"), "value"))
 
 
-def frequency_by(df: DataFrame, attribute: str, measure: str, scale: int = 2) -> DataFrame:
+def frequency_by(df: DataFrame, attribute: str, measure: str, scale: int | None = None) -> DataFrame:
     """Mean of ``measure`` and count per value, most frequent first."""
     return (df.filter(F.col(attribute).isNotNull())
             .groupBy(attribute)
@@ -125,43 +122,41 @@ def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
 
 
 def describe_numeric(df: DataFrame, value: str, groups: Sequence[str] = (),
-                     scale: int = 2) -> DataFrame:
+                     scale: int | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max — per group.
 
-    Everything comes from one frequency table (one pass over the rows):
-    ``mean`` is exact for amounts with ``scale`` decimals (decimal sum), the
-    standard deviation is the two-pass centred form, and spread and
-    quantiles are rounded to 4 decimals.
+    Everything comes from one frequency table (one pass over the rows); the
+    standard deviation is the two-pass centred form.  With ``scale`` the mean
+    is the exact one of amounts with so many decimals (decimal sum).
     """
     g = list(groups)
     if not g:
         df = df.withColumn("_all", F.lit(1))
         g = ["_all"]
     freq = value_frequencies(df, value, g)
-    dec = F.col(value).cast(f"decimal(18,{scale})") * F.col("_cnt")
+    v = F.col(value).cast("double") if scale is None else F.col(value).cast(f"decimal(28,{scale})")
     moments = freq.groupBy(*g).agg(
         F.sum("_cnt").alias("count"),
-        F.try_divide(F.sum(dec).cast("double"), F.sum("_cnt").cast("double")).alias("mean"),
+        F.try_divide(F.sum(v * F.col("_cnt")).cast("double"), F.sum("_cnt").cast("double")).alias("mean"),
         F.min(value).alias("min"), F.max(value).alias("max"))
-    centred = lookup_join(freq, moments.select(*g, F.col("mean").alias("_mean")), g, "inner")
+    # one row per group on the right: the planner broadcasts it when it is small
+    centred = freq.join(moments.select(*g, F.col("mean").alias("_mean")), g, "inner")
     spread = centred.groupBy(*g).agg(
         F.sum(F.col("_cnt") * (F.col(value) - F.col("_mean")) * (F.col(value) - F.col("_mean")))
         .alias("_ss"))
     qs = quantiles_from_frequencies(freq, value, g, [0.25, 0.5, 0.75])
     out = (moments.join(spread, g, "inner").join(qs, g, "inner")
            .select(*g, "count", "mean",
-                   F.round(F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))),
-                           ROUND).alias("std"),
-                   "min",
-                   F.round("q0", ROUND).alias("p25"), F.round("q1", ROUND).alias("p50"),
-                   F.round("q2", ROUND).alias("p75"), "max"))
+                   F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
+                   "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"),
+                   "max"))
     return out.drop("_all") if "_all" in out.columns else out
 
 
 def boxplot_summary(df: DataFrame, value: str, slice_col: str = "slice") -> DataFrame:
     """min, q1, median, q3, max per slice (whiskers at the range)."""
     qs = grouped_quantiles(df, value, [slice_col], [0.0, 0.25, 0.5, 0.75, 1.0])
-    return qs.select(slice_col, *[F.round(f"q{i}", ROUND).alias(n) for i, n in
+    return qs.select(slice_col, *[F.col(f"q{i}").alias(n) for i, n in
                                   enumerate(["lo", "q1", "median", "q3", "hi"])])
 
 
@@ -190,9 +185,9 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str] = (),
               bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins over [min, max] of each group, last bin closed.
 
-    The bounds come from a grouped aggregate joined back by group key (one
-    row per group, so the bounds side is as small as the number of groups
-    and is broadcast after a size check).
+    The bounds come from a grouped aggregate joined back by group key: one
+    row per group, so the planner broadcasts them when the groups are few
+    and splits hot groups of a shuffle join otherwise.
     """
     g = list(groups)
     data = df.filter(F.col(value).isNotNull())
@@ -200,9 +195,7 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str] = (),
         data = data.withColumn("_all", F.lit(1))
         g = ["_all"]
     bounds = data.groupBy(*g).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    # one row per group: broadcast after a size check, so a hot group never
-    # lands in one sort-merge task
-    joined = lookup_join(data.select(*g, value), bounds, g, "inner")
+    joined = data.select(*g, value).join(bounds, g, "inner")
     width = F.col("_mx") - F.col("_mn")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("_mn")) * F.lit(float(bins)) / width),
@@ -211,10 +204,9 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str] = (),
                .groupBy(*g, "bin", "_mn", "_mx").agg(F.count(F.lit(1)).alias("n")))
     out = counted.select(
         *g, "bin",
-        F.round(F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("bin") / F.lit(float(bins)),
-                ROUND).alias("lower"),
-        F.round(F.col("_mn") + (F.col("_mx") - F.col("_mn")) * (F.col("bin") + 1)
-                / F.lit(float(bins)), ROUND).alias("upper"),
+        (F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("bin") / F.lit(float(bins))).alias("lower"),
+        (F.col("_mn") + (F.col("_mx") - F.col("_mn")) * (F.col("bin") + 1)
+         / F.lit(float(bins))).alias("upper"),
         "n")
     return out.drop("_all") if "_all" in out.columns else out
 

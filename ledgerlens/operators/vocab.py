@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
+from ..plans.joins import MAX_BROADCAST_BYTES, lookup_join, size_at_most
 from ..session import materialize
 from .profile import unpivot_as_text
 
@@ -62,7 +62,7 @@ def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[
     out = df
     # one size check for all slices: if the whole vocabulary is under the
     # bound, so is every attribute's slice
-    whole_fits = row_count_at_most(shared_vocab, MAX_BROADCAST_ROWS)
+    whole_fits = size_at_most(shared_vocab, MAX_BROADCAST_BYTES)
     for a in attributes:
         keys = (shared_vocab.filter(F.col("attribute") == F.lit(a))
                 .select(F.col("value").alias(f"_v_{a}"), F.lit(True).alias(f"_hit_{a}")))
@@ -86,7 +86,7 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     if materialize_inputs:
         left = materialize(left, "fold_left", wide=True)
         right = materialize(right, "fold_right", wide=True)
-    vocab = vocabulary(left, right, attributes)
+    vocab = vocabulary(left, right, attributes, persist=True)
     common = materialize(shared(vocab), "shared_vocabulary")
     # hot values (for the salted path only) from the vocabulary's counts
     return (fold_to_shared(left, common, attributes, sentinel,
@@ -97,14 +97,12 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
 
 def hot_values(vocab: DataFrame, attribute: str, side: str = "n_left",
                partitions: int | None = None) -> list[tuple]:
-    """Values of ``attribute`` holding more than half a task's share of one
-    table's rows, read from the vocabulary's counts (no pass over the rows).
-    At most ``2 * partitions`` values qualify, so the list is bounded."""
-    spark = vocab.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """(value, rows) of the values of ``attribute`` holding more than half a
+    task's share of one table's rows, read from the vocabulary's counts (no
+    pass over the rows).  At most ``2 * partitions`` values can pass."""
+    parts = partitions or int(vocab.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sub = vocab.filter(F.col("attribute") == F.lit(attribute))
     total = sub.agg(F.sum(side)).first()[0] or 0
     threshold = max(total // (2 * parts), 1)
-    rows = (sub.filter(F.col(side) > threshold).orderBy(F.desc(side)).limit(2 * parts)
-            .select("value").collect())
-    return [(r["value"],) for r in rows]
+    return [(r["value"], r["n"]) for r in
+            sub.filter(F.col(side) > threshold).select("value", F.col(side).alias("n")).collect()]

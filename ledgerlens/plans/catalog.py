@@ -47,6 +47,11 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Round for the comparison with another engine (the operators don't round)."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
 def _labelled(spark, sf):
     return filters.labelled_rows(train_tickets(spark, sf))
 
@@ -273,33 +278,41 @@ def q_rate_by_attribute(spark, sf):
 
 
 @query("freq_by_category", with_tickets("""
-SELECT city, CAST(sum(CAST(judgment_amount AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(judgment_amount) AS DOUBLE) AS mean,
+SELECT city, round(avg(judgment_amount), 6) AS mean,
        count(judgment_amount) AS n
 FROM scoring_tickets WHERE city IS NOT NULL GROUP BY city"""))
 def q_freq_by_category(spark, sf):
-    return profile.frequency_by(scoring_tickets(spark, sf), "city", "judgment_amount")
+    return _rounded(profile.frequency_by(scoring_tickets(spark, sf), "city", "judgment_amount"), "mean")
+
+
+SPREAD = ["mean", "std", "p25", "p50", "p75"]
 
 
 def _describe_sql(src, value, group=None):
     g = f"{group}, " if group else ""
     gb = f" GROUP BY {group}" if group else ""
     return f"""SELECT {g}count({value}) AS count,
-  CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) / CAST(count({value}) AS DOUBLE) AS mean,
-  round(stddev_samp({value}), 4) AS std, min({value}) AS min,
-  round(quantile_cont({value}, 0.25), 4) AS p25, round(quantile_cont({value}, 0.5), 4) AS p50,
-  round(quantile_cont({value}, 0.75), 4) AS p75, max({value}) AS max
+  round(avg({value}), 6) AS mean, round(stddev_samp({value}), 6) AS std, min({value}) AS min,
+  round(quantile_cont({value}, 0.25), 6) AS p25, round(quantile_cont({value}, 0.5), 6) AS p50,
+  round(quantile_cont({value}, 0.75), 6) AS p75, max({value}) AS max
 FROM {src} WHERE {value} IS NOT NULL{gb}"""
 
 
 @query("describe_by_class", with_tickets(_describe_sql("lt", "judgment_amount", "compliance"),
                                          LABELLED_CTE))
 def q_describe_by_class(spark, sf):
-    return profile.describe_numeric(_labelled(spark, sf), "judgment_amount", ["compliance"])
+    return _rounded(profile.describe_numeric(_labelled(spark, sf), "judgment_amount", ["compliance"]), *SPREAD)
+
+
+@query("describe_late_fee", with_tickets(_describe_sql("lt", "late_fee", "disposition"), LABELLED_CTE))
+def q_describe_late_fee(spark, sf):
+    """An amount with three decimals."""
+    return _rounded(profile.describe_numeric(_labelled(spark, sf), "late_fee", ["disposition"]), *SPREAD)
 
 
 @query("describe_numeric", with_tickets(_describe_sql("scoring_tickets", "fine_amount")))
 def q_describe_numeric(spark, sf):
-    return profile.describe_numeric(scoring_tickets(spark, sf), "fine_amount")
+    return _rounded(profile.describe_numeric(scoring_tickets(spark, sf), "fine_amount"), *SPREAD)
 
 
 CATEGORICAL_DESCRIBE = ["agency_name", "violator_name", "city", "state", "violation_code",
@@ -336,7 +349,8 @@ FROM (SELECT lt.compliance, b.mn, b.mx,
       WHERE lt.judgment_amount IS NOT NULL)
 GROUP BY compliance, bin, mn, mx""", LABELLED_CTE))
 def q_histogram10(spark, sf):
-    return profile.histogram(_labelled(spark, sf), "judgment_amount", ["compliance"])
+    return _rounded(profile.histogram(_labelled(spark, sf), "judgment_amount", ["compliance"]),
+                    "lower", "upper", digits=4)
 
 
 @query("histogram_all", with_tickets("""
@@ -350,7 +364,7 @@ FROM (SELECT b.mn, b.mx,
 GROUP BY bin, mn, mx""", LABELLED_CTE))
 def q_histogram_all(spark, sf):
     """All labelled training rows, one amount with negative values."""
-    return profile.histogram(_labelled(spark, sf), "fine_amount")
+    return _rounded(profile.histogram(_labelled(spark, sf), "fine_amount"), "lower", "upper", digits=4)
 
 
 def _slices(df: DataFrame):
@@ -379,7 +393,7 @@ WHERE judgment_amount IS NOT NULL GROUP BY slice"""))
 def q_boxplot_by_slice(spark, sf):
     df = tickets(spark, sf)
     slices = _slices(df)
-    return profile.boxplot_summary(profile.tag_slices(df, slices), "judgment_amount")
+    return _rounded(profile.boxplot_summary(profile.tag_slices(df, slices), "judgment_amount"), "lo", "q1", "median", "q3", "hi", digits=4)
 
 
 @query("label_prior", with_tickets(
@@ -613,7 +627,7 @@ ENCODE_VIEW = ["disposition", *VIEW_FOLD_ATTRIBUTES]
 
 
 @query("label_encode", with_tickets("""
-SELECT attribute, value, CAST(dense_rank() OVER (PARTITION BY attribute ORDER BY value) - 1 AS INTEGER) AS code
+SELECT attribute, value, CAST(dense_rank() OVER (PARTITION BY attribute ORDER BY value) - 1 AS BIGINT) AS code
 FROM (""" + "\nUNION\n".join(
     f"SELECT '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM t WHERE {a} IS NOT NULL "
     f"UNION SELECT '{a}', 'NaN'" for a in ENCODE_VIEW) + ")", NW_CTE))
@@ -632,7 +646,7 @@ def _apply_codes_sql(attrs):
 
 
 @query("label_encode_apply", with_tickets(_apply_codes_sql(ENCODE_VIEW), NW_CTE + """,
-codes AS (SELECT attribute, value, CAST(dense_rank() OVER (PARTITION BY attribute ORDER BY value) - 1 AS INTEGER) AS code
+codes AS (SELECT attribute, value, CAST(dense_rank() OVER (PARTITION BY attribute ORDER BY value) - 1 AS BIGINT) AS code
 FROM (""" + "\nUNION\n".join(
     f"SELECT '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM t WHERE {a} IS NOT NULL "
     f"UNION SELECT '{a}', 'NaN'" for a in ENCODE_VIEW) + "))"))

@@ -2,9 +2,10 @@
 
 A lookup table here has unique keys (a vocabulary, an alias table, a
 dimension).  Its size can grow with the data (vocabularies of free-text
-columns do), so it is broadcast only after its row count is checked; above
+columns do), so it is broadcast only after its size in bytes is checked; above
 the bound the join is a shuffle join whose hot keys are salted, because one
-value (``DETROIT``) may hold a third of all rows.
+value (``DETROIT``) may hold a third of all rows.  Rows with a null key match
+nothing and never enter the shuffle.
 """
 
 from __future__ import annotations
@@ -16,85 +17,95 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Rows of a lookup table we accept to ship to every executor.  A vocabulary
-# row is a short string plus a few flags; 2M rows stay well under the
-# 8 GiB broadcast limit and under typical executor memory.
-MAX_BROADCAST_ROWS = 2_000_000
-SALT_BUCKETS = 32
+# Bytes of a lookup table that are shipped to every executor at most; beyond
+# it the shuffle join below gives the same rows.
+MAX_BROADCAST_BYTES = 64 << 20
+# Rows of a hot key that one task of the salted join gets, if no other figure
+# follows from the key counts.
+ROWS_PER_TASK = 1_000_000
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows, without counting past it.
-
-    ``limit(bound + 1).count()`` stops reading once the bound is crossed, so
-    the check costs at most ``bound + 1`` rows even for a huge table.
-    """
-    return df.limit(bound + 1).count() <= bound
+def size_at_most(df: DataFrame, most_bytes: int) -> bool:
+    """True when ``df`` takes at most ``most_bytes`` (texts by their length,
+    other values as 8 bytes).  One aggregate over ``df``: for tables that are
+    cheap to read again, such as a materialized vocabulary."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    row = F.lit(8 * (len(df.columns) - len(texts) + 1)).cast("bigint")
+    for t in texts:
+        row = row + t
+    return (df.agg(F.sum(row)).first()[0] or 0) <= most_bytes
 
 
-def salt_of(df: DataFrame, buckets: int) -> Column:
+def salt_of(df: DataFrame, buckets: Column | int) -> Column:
     """Deterministic salt from the row content.
 
     A random salt would change when a lost task is recomputed and could
-    duplicate or drop rows on retry; a hash of the row does not.
+    duplicate or drop rows on retry; a hash of the row (tickets have an id)
+    does not.
     """
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
+    buckets = F.lit(buckets) if isinstance(buckets, int) else buckets
+    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), buckets)
 
 
-def hot_keys(big: DataFrame, keys: list[str], partitions: int | None = None,
-             max_keys: int | None = None) -> list[tuple]:
-    """Keys holding more than half a task's share of ``big``'s rows.
+def hot_keys(big: DataFrame, keys: list[str], partitions: int | None = None) -> list[tuple]:
+    """(key values..., rows) of the keys holding more than half a task's share of ``big``'s rows.
 
     Exact counts by a grouped aggregate (partial aggregation first, so the
     hot keys themselves are pre-summed on every mapper).  At most
     ``2 * partitions`` keys can pass the threshold, so the list collected to
     the driver is bounded by the partition count, not by the data.
     """
-    spark = big.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max_keys or 2 * parts
-    counts = materialize(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+    parts = partitions or _tasks(big)
+    known = big.dropna(subset=keys)
+    counts = materialize(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(total // (2 * parts), 1)
-    top = (counts.filter(F.col("_n") > threshold).orderBy(F.desc("_n")).limit(limit)
-           .select(*keys).collect())
-    return [tuple(r) for r in top]
+    return [tuple(r) for r in counts.filter(F.col("_n") > threshold).select(*keys, "_n").collect()]
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _is_hot(keys: list[str], hot: list[tuple]) -> Column:
-    if not hot:
-        return F.lit(False)
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([h[0] for h in hot])
-    return F.struct(*keys).isin([F.struct(*[F.lit(v) for v in h]) for h in hot])
+def _salts(keys: list[str], hot: list[tuple], rows_per_task: int) -> Column:
+    """Number of salts of a row's key: its rows over the rows of a task, 1 if it isn't hot."""
+    out = F.lit(1)
+    for h in hot:
+        same = F.lit(True)
+        for k, v in zip(keys, h):
+            same = same & (F.col(k) == F.lit(v))
+        out = F.when(same, F.lit(max(2, -(-h[-1] // max(1, rows_per_task))))).otherwise(out)
+    return out
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "left",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                salt_buckets: int = SALT_BUCKETS,
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                 small_is_bounded: bool = False,
                 hot: list[tuple] | Callable[[], list[tuple]] | None = None) -> DataFrame:
-    """Join ``big`` to a unique-keyed ``small`` table.
-
-    * ``small_is_bounded`` (a literal table, a fixed dimension) or a checked
-      row count under ``max_broadcast_rows``: broadcast hash join, no shuffle
-      of ``big`` at all.
-    * otherwise: shuffle join with hot keys salted.  Rows of ``big`` whose
-      key is hot (``hot`` — a list, or a function giving it only when this
-      path is taken — or found by ``hot_keys``) get a deterministic
-      salt in ``[0, salt_buckets)``; the matching ``small`` rows are
-      replicated once per salt value, all other rows keep salt 0.  A key
-      with a third of the rows is spread over ``salt_buckets`` tasks, and
-      only the few hot rows of ``small`` are copied.
+    """Join ``big`` to a unique-keyed ``small`` table (``how``: left or inner).
+
+    * ``small_is_bounded`` (a literal table, a size the caller checked) or a
+      checked size under ``max_broadcast_bytes``: broadcast hash join, no
+      shuffle of ``big`` at all.
+    * otherwise: shuffle join with hot keys salted.  Rows whose key is hot
+      (``hot`` — (key..., rows) tuples, or a function giving them only when
+      this path is taken — or found by ``hot_keys``) get a deterministic salt,
+      as many salts as the key's rows need tasks; the matching ``small`` rows
+      are replicated once per salt, all other rows keep salt 0.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if small_is_bounded or row_count_at_most(small, max_broadcast_rows):
+    if small_is_bounded or size_at_most(small, max_broadcast_bytes):
         return big.join(F.broadcast(small), keys, how)
     hot = hot_keys(big, keys) if hot is None else (hot() if callable(hot) else hot)
-    is_hot = _is_hot(keys, hot)
-    salted_big = big.withColumn(
-        "_salt", F.when(is_hot, salt_of(big, salt_buckets)).otherwise(F.lit(0)).cast("int"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(
-        F.array(F.lit(0)))
-    salted_small = small.withColumn("_salt", F.explode(copies))
-    return salted_big.join(salted_small, keys + ["_salt"], how).drop("_salt")
+    share = sum(h[-1] for h in hot) // _tasks(big) if hot else 0
+    salts = _salts(keys, hot, max(1, min(ROWS_PER_TASK, share)))
+    known = big.dropna(subset=keys)
+    salted = known.withColumn("_salt", salt_of(known, salts).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    out = salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    if how == "inner":
+        return out
+    # a null key matches nothing: such rows go past the join
+    missing = big.filter(F.concat(*[F.col(k).isNull().cast("string") for k in keys]).contains("true"))
+    extra = {f.name: F.lit(None).cast(f.dataType) for f in small.schema if f.name not in keys}
+    return out.unionByName(missing.withColumns(extra) if extra else missing)

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .joins import lookup_join
 
 ROWS_PER_TASK = 1_000_000
 
@@ -59,7 +58,9 @@ def ordered_positions(df: DataFrame, groups: Sequence[str], order: str,
                .withColumn("_offset", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*g)))
                .select("_pid", *g, "_offset", "_n"))
-    out = lookup_join(ranged, offsets, ["_pid", *g], "inner")
+    # one row per (partition, group): the planner broadcasts it when small;
+    # the keys spread evenly by construction
+    out = ranged.join(offsets, ["_pid", *g], "inner")
     out = (out.withColumn("_start", F.col("_offset") + F.col("_before"))
            .withColumn("_end", F.col("_start") + F.col("_w") - 1))
     return out.drop("_pid", "_before", "_offset", "_w")

@@ -47,7 +47,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import MAX_BROADCAST_ROWS, lookup_join, row_count_at_most
 from .tables import read_table
 
 SPLIT_DATE = "1999-01-01 00:00:00"
@@ -86,25 +85,13 @@ def _line_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.withColumn("violation_description", F.chr("_flag")).drop("_flag")
 
 
-_DIMENSIONS_FIT: dict[str, bool] = {}
-
-
-def _dimensions_fit(spark: SparkSession, sf_dir: str) -> bool:
-    """Size check of the nation and region tables, done once per folder
-    (they are dimensions: a handful of rows whatever the scale)."""
-    if sf_dir not in _DIMENSIONS_FIT:
-        _DIMENSIONS_FIT[sf_dir] = all(
-            row_count_at_most(read_table(spark, sf_dir, t), MAX_BROADCAST_ROWS)
-            for t in ("nation", "region"))
-    return _DIMENSIONS_FIT[sf_dir]
-
-
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation with its region; both are read plainly, so the planner (and AQE
+    at run time) picks the join from their sizes."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return lookup_join(nation, region.withColumnRenamed("r_regionkey", "n_regionkey"),
-                       "n_regionkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir)
-                       ).select("n_nationkey", "n_name", "r_name")
+    return nation.join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left").select(
+        "n_nationkey", "n_name", "r_name")
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,9 +99,10 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    base = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    base = lookup_join(base, _geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
-                       "c_nationkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir))
+    # an order without a known customer is a ticket all the same
+    base = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    base = base.join(_geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
+                     "c_nationkey", "left")
     base = base.join(_line_summary(spark, sf_dir),
                      base.o_orderkey == F.col("ticket_id"), "left")
     return base.select(
@@ -148,8 +136,10 @@ def train_part(t: DataFrame) -> DataFrame:
 
 
 def scoring_part(t: DataFrame) -> DataFrame:
-    """Scoring period, without the columns only the training table has."""
-    return (t.filter(F.col("ticket_issued_date") >= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
+    """Scoring period, without the columns only the training table has.  A
+    ticket without an issue date is scored: every ticket is in one period."""
+    issued = F.col("ticket_issued_date")
+    return (t.filter(issued.isNull() | (issued >= F.lit(SPLIT_DATE).cast("timestamp_ntz")))
             .drop(*TRAIN_EXTRA))
 
 
@@ -177,8 +167,8 @@ def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     step1 = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-    step2 = lookup_join(step1, _geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
-                        "c_nationkey", "left", small_is_bounded=_dimensions_fit(spark, sf_dir))
+    step2 = step1.join(_geo(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"),
+                       "c_nationkey", "left")
     return step2.select(F.col("o_orderkey").alias("ticket_id"),
                         F.col("n_name").alias("address"),
                         F.col("r_name").alias("place"))
@@ -220,7 +210,7 @@ tickets AS (
          CASE WHEN o.o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE)
               WHEN o.o_orderstatus = 'O' THEN CAST(0.0 AS DOUBLE) END AS compliance
   FROM orders o
-  JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN line_summary ls ON ls.ls_key = o.o_orderkey
@@ -230,7 +220,7 @@ train_tickets AS (
 ),
 scoring_tickets AS (
   SELECT * EXCLUDE (payment_status, compliance) FROM tickets
-  WHERE ticket_issued_date >= TIMESTAMP '{SPLIT_DATE}'
+  WHERE ticket_issued_date IS NULL OR ticket_issued_date >= TIMESTAMP '{SPLIT_DATE}'
 )"""
 
 
