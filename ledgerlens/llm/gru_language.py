@@ -221,10 +221,15 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     languages = sorted(r["lang"] for r in most)
     if len(languages) < 2:
         return Identifier(None, languages)
-    # keys of the sample first (narrow rows), then their texts
+    # keys of the sample first (narrow rows), then their texts; a share by hash
+    # leaves about twice as many rows of each language as are ranked
+    share = F.lit(1.0)
+    for r in most:
+        share = F.when(F.col("lang") == r["lang"], min(1.0, (2 * SAMPLE + 50) / r["count"])).otherwise(share)
+    few = rows.filter(F.col("lang").isin(languages) & (F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "key"))
-    chosen = checkpointed(rows.filter(F.col("lang").isin(languages)).select("lang", "key", "h")
-                          .withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).select("key", "lang").distinct())
+    chosen = checkpointed(few.select("lang", "key", "h").withColumn("rank", rank)
+                          .filter(F.col("rank") <= SAMPLE).select("key", "lang").distinct())
     sample = rows.join(F.broadcast(chosen), ["key", "lang"]).select("lang", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
     runs: list[bytes] = []
     label: list[int] = []
