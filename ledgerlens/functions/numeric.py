@@ -12,7 +12,7 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c: str | Column, scale: int) -> Column:
+def exact_sum(c: str | Column, scale: int = 2) -> Column:
     """Sum of amounts with at most ``scale`` decimals, summed as a decimal.
 
     A double sum depends on the order rows arrive in, which differs between
@@ -21,12 +21,13 @@ def exact_sum(c: str | Column, scale: int) -> Column:
     return F.sum(_col(c).cast(f"decimal(38,{scale})"))
 
 
-def exact_mean(c: str | Column, scale: int | None = None) -> Column:
+def exact_mean(c: str | Column, scale: int | None = 2) -> Column:
     """Mean as a double (null when there are no values, also under ANSI mode).
 
-    ``scale`` None: the plain double mean of whatever the column holds; its
-    last bits depend on the order rows arrive in.  A column known to have at
-    most ``scale`` decimals has an exact, order-independent mean.
+    Exact and independent of the rows' order for amounts with at most ``scale``
+    decimals (others would be rounded: state the column's own scale).
+    ``scale`` None: the plain double mean of whatever the column holds, whose
+    last bits depend on the order.
     """
     if scale is None:
         return F.avg(_col(c).cast("double"))

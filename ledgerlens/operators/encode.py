@@ -96,13 +96,16 @@ def label_encode(df: DataFrame, attributes: Sequence[str],
     return apply_label_codes(df, codes, attributes), codes
 
 
-def dummy_vocabulary(df: DataFrame, column: str) -> list[str]:
+def dummy_vocabulary(df: DataFrame, column: str, max_values: int | None = None) -> list[str]:
     """Sorted distinct values of a low-cardinality column.
 
     Dummy columns are schema, so their names must be known when the plan is
-    built; use :func:`one_hot_sparse` for columns with many values.
+    built; use :func:`one_hot_sparse` for columns with many values.  With
+    ``max_values`` more values than that are an error.
     """
     distinct = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
+    if max_values is not None and distinct.limit(max_values + 1).count() > max_values:
+        raise ValueError(f"{column} has more than {max_values} values; use label codes")
     return sorted(r["v"] for r in distinct.collect())
 
 

@@ -90,13 +90,19 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     common = materialize(shared(vocab), "shared_vocabulary")
     # hot values (for the salted path only) from the vocabulary's counts
     return (fold_to_shared(left, common, attributes, sentinel,
-                           hot_for=lambda a: hot_values(vocab, a, "n_left")),
+                           hot_for=lambda a: hot_value_counts(vocab, a, "n_left")),
             fold_to_shared(right, common, attributes, sentinel,
-                           hot_for=lambda a: hot_values(vocab, a, "n_right")))
+                           hot_for=lambda a: hot_value_counts(vocab, a, "n_right")))
 
 
 def hot_values(vocab: DataFrame, attribute: str, side: str = "n_left",
                partitions: int | None = None) -> list[tuple]:
+    """The values of :func:`hot_value_counts`, without their counts."""
+    return [h[:-1] for h in hot_value_counts(vocab, attribute, side, partitions)]
+
+
+def hot_value_counts(vocab: DataFrame, attribute: str, side: str = "n_left",
+                     partitions: int | None = None) -> list[tuple]:
     """(value, rows) of the values of ``attribute`` holding more than half a
     task's share of one table's rows, read from the vocabulary's counts (no
     pass over the rows).  At most ``2 * partitions`` values can pass."""

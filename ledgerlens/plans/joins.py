@@ -48,6 +48,11 @@ def salt_of(df: DataFrame, buckets: Column | int) -> Column:
 
 
 def hot_keys(big: DataFrame, keys: list[str], partitions: int | None = None) -> list[tuple]:
+    """The keys of :func:`hot_key_counts`, without their counts."""
+    return [h[:-1] for h in hot_key_counts(big, keys, partitions)]
+
+
+def hot_key_counts(big: DataFrame, keys: list[str], partitions: int | None = None) -> list[tuple]:
     """(key values..., rows) of the keys holding more than half a task's share of ``big``'s rows.
 
     Exact counts by a grouped aggregate (partial aggregation first, so the
@@ -96,7 +101,9 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str
     keys = [on] if isinstance(on, str) else list(on)
     if small_is_bounded or size_at_most(small, max_broadcast_bytes):
         return big.join(F.broadcast(small), keys, how)
-    hot = hot_keys(big, keys) if hot is None else (hot() if callable(hot) else hot)
+    hot = hot_key_counts(big, keys) if hot is None else (hot() if callable(hot) else hot)
+    # keys given without their rows: as many salts as a third of the tasks
+    hot = [h if len(h) > len(keys) else (*h, ROWS_PER_TASK * max(2, _tasks(big) // 3)) for h in hot]
     share = sum(h[-1] for h in hot) // _tasks(big) if hot else 0
     salts = _salts(keys, hot, max(1, min(ROWS_PER_TASK, share)))
     known = big.dropna(subset=keys)

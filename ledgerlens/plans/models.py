@@ -31,13 +31,14 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CV_FOLDS, GBT_PARAMS, LOGREG_L1_C
 from ..operators.segment import fold_of
-from .metrics import auc_value
+from ..session import materialize
+from .metrics import roc_auc
 
 FEATURES = "features"
 LABEL = "label"
@@ -47,6 +48,25 @@ def assembler(features: Sequence[str], out: str = FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
+def checked(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` that fails with the feature's name on a null or NaN feature: a
+    model would otherwise give such a row the score NaN without a word."""
+    def sure(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.when(v.isNull() | F.isnan(v), F.raise_error(F.lit(f"feature {c} is null or NaN")).cast("double")).otherwise(v)
+    return df.withColumns({c: sure(c) for c in dict.fromkeys(features)})
+
+
+def bins_for(df: DataFrame, features: Sequence[str]) -> int:
+    """``maxBins`` that gives every distinct value of the label codes its own
+    split point: the largest number of distinct values of an integer feature."""
+    codes = [c for c, kind in df.select(*dict.fromkeys(features)).dtypes if kind in ("int", "bigint")]
+    if not codes:
+        return 32
+    top = df.agg(*[F.countDistinct(c).alias(c) for c in codes]).first()
+    return max(32, *[int(top[c]) for c in codes])
+
+
 def with_label(df: DataFrame, target: str = "compliance") -> DataFrame:
     return df.withColumn(LABEL, F.col(target).cast("double"))
 
@@ -78,12 +98,13 @@ def boosted_trees(n_trees: int = GBT_PARAMS["n_trees"],
                          minInfoGain=min_info_gain, maxBins=max_bins, seed=seed)
 
 
-def forest(n_trees: int = 100, max_depth: int | None = None, seed: int = 0) -> RandomForestClassifier:
+def forest(n_trees: int = 100, max_depth: int | None = None, seed: int = 0,
+           max_bins: int = 32) -> RandomForestClassifier:
     """Deep trees: node ids are cached on the executors (``cacheNodeIds``)
     instead of shipping the growing trees every level, and a larger node
     batch per pass (``maxMemoryInMB``) means fewer passes over the data."""
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, numTrees=n_trees,
-                                  maxDepth=30 if max_depth is None else max_depth, seed=seed,
+                                  maxDepth=30 if max_depth is None else max_depth, seed=seed, maxBins=max_bins,
                                   cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
 
 
@@ -101,11 +122,11 @@ def positive_probability(pred: DataFrame, out: str = "score") -> DataFrame:
 
 
 def fit(estimator, df: DataFrame, features: Sequence[str]) -> PipelineModel:
-    return Pipeline(stages=[assembler(features), estimator]).fit(df)
+    return Pipeline(stages=[assembler(features), estimator]).fit(checked(df, features))
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    return positive_probability(model.transform(df), out)
+    return positive_probability(model.transform(checked(df, model.stages[0].getInputCols())), out)
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
@@ -174,7 +195,7 @@ def grid_search(estimator, grid: dict, df: DataFrame, features: Sequence[str],
     # all candidates of a fold are fitted side by side (small fits leave
     # most cores idle); capped so a big grid does not flood the scheduler
     parallelism = parallelism or min(len(maps), 8)
-    data = assembler(features).transform(df).withColumn("_fold", fold_of(key, folds))
+    data = assembler(features).transform(checked(df, features)).withColumn("_fold", fold_of(key, folds))
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC",
                                               numBins=0, rawPredictionCol="rawPrediction")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
@@ -199,16 +220,25 @@ def run_concurrently(tasks: Sequence, parallelism: int) -> list:
 
 
 def cv_scores(estimator_factory, df: DataFrame, features: Sequence[str],
-              folds: int = CV_FOLDS, key: str = "ticket_id", parallelism: int = 4) -> DataFrame:
-    """(fold, auc) per held-out fold.  ``estimator_factory(n_rows)`` builds
-    the estimator for a fit set of ``n_rows`` rows."""
-    data = df.withColumn("_fold", fold_of(key, folds))
-
-    def one(k: int):
-        fit_part = data.filter(F.col("_fold") != k)
-        test_part = data.filter(F.col("_fold") == k)
-        model = fit(estimator_factory(fit_part.count()), fit_part, features)
-        return (k, auc_value(score(model, test_part), "score", LABEL))
-
-    rows = run_concurrently([lambda k=k: one(k) for k in range(folds)], parallelism)
-    return df.sparkSession.createDataFrame(rows, "fold int, auc double")
+              folds: int = CV_FOLDS, key: str = "ticket_id", parallelism: int = 4,
+              label: str = LABEL) -> DataFrame:
+    """(fold, auc, n_pos, n_neg) per held-out fold.  ``estimator_factory(n_rows)``
+    builds the estimator for a fit set of ``n_rows`` rows.  A fold whose held-out
+    rows are all of one class has no AUC (null).
+
+    The rows are assembled and written once; all folds' scores are ranked in
+    one pass."""
+    data = materialize(assembler(features).transform(checked(df, features)).select(
+        key, label, FEATURES, fold_of(key, folds).alias("fold")), "folds", wide=True)
+    n = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(n.values())
+
+    def one(k: int) -> DataFrame:
+        model = estimator_factory(total - n.get(k, 0)).fit(data.filter(F.col("fold") != k))
+        return positive_probability(model.transform(data.filter(F.col("fold") == k))).select("fold", "score", label)
+
+    parts = run_concurrently([lambda k=k: one(k) for k in range(folds)], parallelism)
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    return roc_auc(scored, "score", label, ["fold"])

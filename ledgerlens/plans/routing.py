@@ -80,9 +80,9 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec,
     # hot values for the (rare) salted join path come from the vocabulary's
     # per-table counts, not from another pass over the rows
     t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes,
-                                  hot_for=lambda a: vocab.hot_values(voc, a, "n_left"))
+                                  hot_for=lambda a: vocab.hot_value_counts(voc, a, "n_left"))
     s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes,
-                                  hot_for=lambda a: vocab.hot_values(voc, a, "n_right"))
+                                  hot_for=lambda a: vocab.hot_value_counts(voc, a, "n_right"))
     fold_only = [a for a in spec.fold_attributes if a not in set(spec.encoded_attributes)]
     if fold_only:
         common = vocab.shared(voc)
@@ -112,7 +112,7 @@ def _model_scores(t: DataFrame, s: DataFrame, spec: RouteSpec) -> list[DataFrame
     segment with a chain of transforms on one assembled frame (no join: the
     models write differently named output columns)."""
     feats = {DATED: list(spec.dated_features), UNDATED: list(spec.undated_features)}
-    train_seg = {seg: models.assembler(feats[seg]).transform(t.filter(_segment_filter(seg)))
+    train_seg = {seg: models.assembler(feats[seg]).transform(models.checked(t.filter(_segment_filter(seg)), feats[seg]))
                  for seg in feats}
     counts = {seg: df.count() for seg, df in train_seg.items()}
     jobs, keys = [], []
@@ -126,7 +126,7 @@ def _model_scores(t: DataFrame, s: DataFrame, spec: RouteSpec) -> list[DataFrame
     fitted = dict(zip(keys, models.run_concurrently(jobs, parallelism=len(jobs))))
     parts = []
     for seg in feats:
-        scored = models.assembler(feats[seg]).transform(s.filter(_segment_filter(seg)))
+        scored = models.assembler(feats[seg]).transform(models.checked(s.filter(_segment_filter(seg)), feats[seg]))
         idx = sorted(i for (g, i) in fitted if g == seg)
         for i in idx:
             scored = fitted[(seg, i)].transform(scored)

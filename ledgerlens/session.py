@@ -8,6 +8,8 @@ chosen here when that setting is unset (local tests).
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -68,16 +70,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_cleaned: set[str] = set()
+
+
+def _own_folder(spark: SparkSession, root: str) -> str:
+    """Folder of this application's tables, removed when the driver ends."""
+    sc = spark.sparkContext
+    folder = f"{root}/ledgerlens/{sc.applicationId}"
+    if folder not in _cleaned:
+        _cleaned.add(folder)
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # the JVM may be gone already
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+        atexit.register(remove)
+    return folder
+
+
 def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataFrame:
     """Cut lineage; the result lives in the shared checkpoint folder.
 
     * ``wide=False`` (small derived tables: vocabularies, codes, rankings):
       reliable ``checkpoint()`` — cheapest to write, keeps the plan's
-      partitioning.
+      partitioning; Spark removes it when it is no longer referenced.
     * ``wide=True`` (prepared model inputs, wide and large): written as a
       parquet table in the same folder and read back, so later reads prune
       columns and push filters, and its file sizes give the planner real
-      statistics for join strategies.
+      statistics for join strategies.  Such tables are removed when the
+      driver ends (a plan may read them until then).
 
     Either survives executor loss (unlike a local checkpoint).
     """
@@ -85,6 +108,6 @@ def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataF
     root = ensure_checkpoint_dir(spark).rstrip("/")
     if not wide or not root:
         return df.checkpoint(eager=True)
-    path = f"{root}/ledgerlens/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark, root)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

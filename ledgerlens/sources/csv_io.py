@@ -2,27 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ADDRESS_SCHEMA, LATLON_SCHEMA, SCORE_SCHEMA, SCORING_SCHEMA, TRAIN_SCHEMA  # noqa: F401
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass).
+CORRUPT = "_corrupt_record"
+_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def _raw(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
+    """All columns of the files as text, in the files' order, plus the record
+    itself where it doesn't have as many fields as the header."""
+    def reader():
+        return (spark.read.option("header", "true").option("encoding", encoding)
+                .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower()))
+    names = reader().csv(path).columns  # reads the header only
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    return (reader().schema(schema).option("mode", "PERMISSIVE").option("enforceSchema", "false")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
 
-    ``encoding='ISO-8859-1'`` reads Latin-1 files.  Timestamps are parsed
-    as ``timestamp_ntz``; an unparsable value becomes null instead of
-    failing the job (``mode=PERMISSIVE``).
+def _parsed(field: T.StructField) -> Column:
+    text = F.trim(F.col(field.name))
+    if isinstance(field.dataType, T.StringType):
+        return F.col(field.name)
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return F.expr(f"cast(try_to_timestamp(trim(`{field.name}`), '{_TIMESTAMP}') as timestamp_ntz)")
+    if isinstance(field.dataType, T.LongType):  # 12 and 12.0 are the same id
+        return text.try_cast("decimal(38,4)").cast("long")
+    return text.try_cast(field.dataType)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """Header CSV as the columns of ``schema`` (no inference pass).
+
+    Columns are taken by their header name, whatever their order; a column the
+    file lacks is an error, further columns are ignored.  Fields may be quoted
+    with ``"`` (a quote inside is doubled) and hold commas and, with
+    ``multi_line``, line breaks; then a file is read by one task, so give big
+    tables as many files or set it to False.  ``encoding='ISO-8859-1'`` reads
+    Latin-1 files.  A value that isn't of its type becomes null; see
+    :func:`bad_rows` for their number.
     """
-    return (spark.read.schema(schema)
-            .option("header", "true")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .option("multiLine", "false")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .csv(path))
+    raw = _raw(spark, path, encoding, multi_line)
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[_parsed(f).alias(f.name) for f in schema])
+
+
+def bad_rows(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8",
+             multi_line: bool = True) -> DataFrame:
+    """One row: ``n_rows``, ``n_misshaped`` (another number of fields than the
+    header) and, by column, the values that are not of its type."""
+    raw = _raw(spark, path, encoding, multi_line)
+    wrong = [F.sum((F.col(f.name).isNotNull() & _parsed(f).isNull()).cast("long")).alias(f.name)
+             for f in schema if f.name in raw.columns and not isinstance(f.dataType, T.StringType)]
+    return raw.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT).alias("n_misshaped"), *wrong)
 
 
 def read_train(spark: SparkSession, path: str) -> DataFrame:

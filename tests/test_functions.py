@@ -48,3 +48,22 @@ def test_unit_hash_in_range(spark):
     df = spark.range(1000).select(numeric.unit_hash("id", 3).alias("u"))
     r = df.agg(F.min("u"), F.max("u")).first()
     assert 0.0 <= r[0] and r[1] < 1.0
+
+
+def test_unit_hash_scatters_and_seeds_are_independent(spark):
+    """Each of 5 folds holds 15-25 % of the hold-out part and of the fit part."""
+    from ledgerlens.operators import segment
+    rows = (spark.range(20_000).withColumnRenamed("id", "ticket_id")
+            .select(segment.holdout_flag().alias("hold"), segment.fold_of().alias("fold")).groupBy("hold", "fold").count().collect())
+    for hold in (True, False):
+        n = {r["fold"]: r["count"] for r in rows if r["hold"] is hold}
+        assert set(n) == set(range(5)) and all(0.15 < v / sum(n.values()) < 0.25 for v in n.values())
+
+
+def test_number_text_of_large_and_fractional_values(spark):
+    from ledgerlens.functions import text
+    vals = ["12.0", "1.2345678E7", "4.82266789E8", "12.5", "007", "x1.0", None, "-3.0", "1E30", "1.5E0"]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "v string").select(text.number_text("v")).collect()]
+    assert got == ["12", "12345678", "482266789", "12.5", "007", "x1.0", None, "-3", "1E30", "1.5E0"]
+    big = spark.createDataFrame([(482266789.0,)], "d double").select(text.number_text("d")).first()[0]
+    assert big == "482266789"

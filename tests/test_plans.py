@@ -42,7 +42,7 @@ def test_vocabulary_lookup_is_broadcast_when_small(spark):
 def test_large_lookup_is_salted_not_broadcast(spark):
     big = spark.range(1000).select(F.lit("HOT").alias("k"), F.col("id"))
     small = spark.createDataFrame([("HOT", 1)], "k string, v int")
-    plan = _plan(lookup_join(big, small, "k", "left", max_broadcast_rows=0, salt_buckets=4))
+    plan = _plan(lookup_join(big, small, "k", "left", max_broadcast_bytes=0))
     assert "BroadcastHashJoin" not in plan and "_salt" in plan
 
 
@@ -50,3 +50,19 @@ def test_cleaning_is_one_codegen_stage_without_python(spark):
     from ledgerlens.plans.routing import RouteSpec, prepare_scoring
     plan = _plan(prepare_scoring(scoring_tickets(spark, SF001), RouteSpec()))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_salted_join_spreads_null_and_hot_keys(spark):
+    """With 90 % null keys and one hot key no partition of the join gets over twice the mean."""
+    from ledgerlens.plans.joins import lookup_join
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.when(F.col("id") % 30 == 0, "HOT").otherwise(
+            F.concat(F.lit("k"), F.col("id").cast("string")))).alias("k"))
+        small = big.filter("k is not null").select("k").distinct().withColumn("v", F.lit(1))
+        out = lookup_join(big, small, "k", "left", max_broadcast_bytes=0)
+        assert out.count() == 40_000 and out.filter("v = 1").count() == 4_000
+        sizes = [r["count"] for r in out.filter("k is not null").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -47,6 +47,6 @@ def test_salted_lookup_equals_broadcast(spark, keys, lookup, how):
     small = spark.createDataFrame([(k, len(k)) for k in sorted(lookup)] or [("none", 0)],
                                   "k string, v int")
     a = sorted(lookup_join(big, small, "k", how).collect(), key=lambda r: r["id"])
-    b = sorted(lookup_join(big, small, "k", how, max_broadcast_rows=0, salt_buckets=4).collect(),
+    b = sorted(lookup_join(big, small, "k", how, max_broadcast_bytes=0).collect(),
                key=lambda r: r["id"])
     assert a == b

@@ -55,12 +55,12 @@ def test_lookup_join_salted_path_equals_broadcast(spark):
                                 "id int, key string")
     small = spark.createDataFrame([("HOT", 1), ("k0", 2), ("k3", 3)], "key string, code int")
     a = lookup_join(big, small, "key", "left").orderBy("id").collect()
-    b = lookup_join(big, small, "key", "left", max_broadcast_rows=0, salt_buckets=8).orderBy("id").collect()
+    b = lookup_join(big, small, "key", "left", max_broadcast_bytes=0).orderBy("id").collect()
     assert a == b and len(a) == 3000
     # the key holding two thirds of the rows is the (only) hot key
     assert hot_keys(big, ["key"], partitions=8) == [("HOT",)]
     # composite keys take the same path
     big2 = big.withColumn("k2", F.lit(1))
     small2 = small.withColumn("k2", F.lit(1))
-    c = lookup_join(big2, small2, ["key", "k2"], "inner", max_broadcast_rows=0).count()
+    c = lookup_join(big2, small2, ["key", "k2"], "inner", max_broadcast_bytes=0).count()
     assert c == sum(1 for r in a if r["code"] is not None)

@@ -1,3 +1,4 @@
+import pytest
 import os
 import tempfile
 
@@ -117,3 +118,44 @@ def test_stream_to_files_with_checkpoint(spark, scoring_df):
                            checkpoint_location=os.path.join(folder, "ckpt"), trigger_once=True)
     q.awaitTermination(120)
     assert first == 3 and spark.read.parquet(out).count() == 3 + 6
+
+
+def test_csv_quotes_line_breaks_and_header_order(spark):
+    """The four faults a plain reader has: doubled quotes, line breaks in
+    fields, another column order, rows of another shape."""
+    import pandas as pd
+    from pyspark.sql import types as T
+    from ledgerlens.sources.csv_io import bad_rows, read_csv
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                           T.StructField("amount", T.DoubleType()), T.StructField("city", T.StringType())])
+    folder = tempfile.mkdtemp(prefix="ll-csv-")
+    path = os.path.join(folder, "t.csv")
+    frame = pd.DataFrame({"city": ["A, B", "C\nD", "E"], "id": [1, 2, 3], "name": ['ACME "THE" INC, LLC', "x", "y"],
+                          "amount": [1.5, 2.0, None]})
+    frame.to_csv(path, index=False)
+    got = [tuple(r) for r in read_csv(spark, path, schema).orderBy("id").collect()]
+    assert got == [(1, 'ACME "THE" INC, LLC', 1.5, "A, B"), (2, "x", 2.0, "C\nD"), (3, "y", None, "E")]
+    bad = os.path.join(folder, "bad.csv")
+    with open(bad, "w") as f:
+        f.write("id,name,amount,city\n1,a,oops,b\n2,a,1.0\n3,a,1.0,b\n")
+    r = bad_rows(spark, bad, schema).first()
+    assert (r["n_rows"], r["n_misshaped"], r["amount"], r["id"]) == (3, 1, 1, 0)
+    with pytest.raises(ValueError, match="no column city"):
+        read_csv(spark, _without_city(folder), schema)
+
+
+def _without_city(folder):
+    path = os.path.join(folder, "no_city.csv")
+    with open(path, "w") as f:
+        f.write("id,name,amount\n1,a,1.0\n")
+    return path
+
+
+def test_order_without_customer_or_date_is_one_scored_ticket(spark):
+    from ledgerlens.sources.ticket_view import scoring_part, train_part
+    from datetime import datetime
+    t = spark.createDataFrame([(1, datetime(1998, 1, 1), None), (2, datetime(2000, 1, 1), None), (3, None, None)],
+                              "ticket_id long, ticket_issued_date timestamp_ntz, compliance double").withColumn(
+        "payment_status", F.lit("F"))
+    assert [r[0] for r in train_part(t).select("ticket_id").collect()] == [1]
+    assert sorted(r[0] for r in scoring_part(t).select("ticket_id").collect()) == [2, 3]

@@ -125,9 +125,9 @@ def test_hot_values_from_vocabulary_and_salted_codes(spark, monkeypatch):
     codes = encode.fit_label_codes(df, ["c"])
     want = sorted(encode.apply_label_codes(df, codes, ["c"]).collect())
     # force the salted path: the lookup is "too big" to broadcast
-    monkeypatch.setattr(EN, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(EN, "MAX_BROADCAST_BYTES", 0)
     orig = joins.lookup_join
-    monkeypatch.setattr(EN, "lookup_join", lambda *a, **k: orig(*a, **{**k, "max_broadcast_rows": 0}))
+    monkeypatch.setattr(EN, "lookup_join", lambda *a, **k: orig(*a, **{**k, "max_broadcast_bytes": 0}))
     got = sorted(encode.apply_label_codes(
         df, codes, ["c"], hot_for=lambda a: vocab.hot_values(voc, a, "n_left")).collect())
     assert got == want
