@@ -157,12 +157,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def with_removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with __removed, the numbers of the lines to remove (null: none)."""
-    gone = removed_lines(docs, key, text).withColumnRenamed("removed", "__removed")
+    gone = removed_lines(docs, key, text).toDF("__doc", "__hash", "__removed")
     size = gone.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("__removed")), F.lit(0)).alias("numbers")).first()
     small = size["rows"] <= BROADCAST_ROWS and size["numbers"] <= BROADCAST_NUMBERS
     own = docs.withColumn("__th", _row_hash(text))
     side = F.broadcast(gone) if small else gone
-    return own.join(side, own[key].eqNullSafe(side["doc"]) & (own["__th"] == side["th"]), "left").drop("doc", "th", "__th")
+    return own.join(side, own[key].eqNullSafe(side["__doc"]) & (own["__th"] == side["__hash"]), "left").drop(
+        "__doc", "__hash", "__th")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
