@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark) -> None:
+    """Let Spark's cleaner drop the shuffle and checkpoint files of tables that
+    nothing refers to any more: it acts when the driver's JVM collects garbage,
+    which a driver with a small heap share in use may not do for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remainder(key: str, mod: int) -> Column:
     """crc32 of the key as text, modulo ``mod``; -1 for a null key."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % mod, F.lit(-1)).cast("int")

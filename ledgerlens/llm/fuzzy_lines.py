@@ -21,7 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, connected_components
+from .common import checkpointed, connected_components, release
 
 MAX_BITS = 3
 BLOCKS = 5  # bit blocks of a fingerprint
@@ -43,14 +43,19 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, th, pos, k1, k2, n, len, fp) of every line that has a word.  ``th``
     is a hash of the whole text, so rows with the same (or no) key stay apart."""
     lines = (docs.select(F.col(key).alias("doc"), _row_hash(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-             .withColumn("norm", normalised(F.col("line"))).filter(F.col("norm") != ""))
+             .select("doc", "th", "pos", normalised(F.col("line")).alias("norm")))
     words = lines.select(
         "doc", "th", "pos", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
         F.length("norm").alias("len"), F.explode(F.split("norm", " ")).alias("word"),
     ).withColumn("h", F.xxhash64("word"))
     lanes = F.lit(0x0000000100000001)
     sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
-    counted = words.groupBy("doc", "th", "pos", "k1", "k2", "len").agg(F.count(F.lit(1)).alias("n"), *sums)
+    # what is the same for all words of a line is no key: keys are hashed for each word.
+    # Lines without a word are left out here, where the test can't move below the
+    # normalisation and have it done twice.
+    counted = words.groupBy("doc", "th", "pos").agg(
+        F.count(F.lit(1)).alias("n"), F.max("k1").alias("k1"), F.max("k2").alias("k2"), F.max("len").alias("len"),
+        *sums).filter("len > 0")
     low = F.lit(0xFFFFFFFF)
     bits = []
     for i in range(32):
@@ -106,7 +111,23 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, key: str,
             .join(texts.select(F.col("id").alias("b"), F.col("norm").alias("y")), "b"))
     longer = F.greatest(F.length("x"), F.length("y"))
     limit = F.floor(longer * (1 - SIMILARITY) + 1e-9).cast("int")
-    return checkpointed(both.withColumn("most", limit).filter("levenshtein(x, y, most) >= 0").select("a", "b"))
+    # Most pairs are settled without the full distance: words before the first
+    # and after the last difference don't count, and neither what is left between
+    # them nor the differing words of lines with as many words can need more
+    # edits than it has characters.
+    split = both.withColumn("most", limit).select("a", "b", "most", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    first = "array_position(zip_with({0}, {1}, (p, q) -> p <=> q), false)"
+    part = (split.withColumn("head", F.expr(f"coalesce(nullif({first.format('x', 'y')}, 0) - 1, size(x))").cast("int"))
+            .withColumn("tail", F.expr(f"coalesce(nullif({first.format('reverse(x)', 'reverse(y)')}, 0) - 1, size(x))").cast("int"))
+            .withColumn("tail", F.least("tail", F.least(F.size("x"), F.size("y")) - F.col("head"))))
+    middle = part.select(
+        "a", "b", "most", *[F.expr(f"array_join(slice({c}, head + 1, size({c}) - head - tail), ' ')").alias(f"m{c}") for c in "xy"],
+        F.expr("if(size(x) = size(y), aggregate(zip_with(x, y, (p, q) -> if(p = q, 0, greatest(length(p), length(q)))), 0, "
+               "(s, d) -> s + d), null)").alias("changed"))
+    near = (F.coalesce(F.col("changed") <= F.col("most"), F.lit(False))
+            | (F.greatest(F.length("mx"), F.length("my")) <= F.col("most"))
+            | F.expr("levenshtein(mx, my, most) >= 0"))
+    return checkpointed(middle.filter(near).select("a", "b"))
 
 
 def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -142,11 +163,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """(doc, th, removed): sorted numbers (from 0) of the lines to remove from the
     rows with key ``doc`` and text hash ``th``; rows that lose no line are absent."""
     marked = checkpointed(occurrences(docs, key, text))
+    release(docs.sparkSession)
     distinct = checkpointed(
         marked.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"),
                                        F.first("len").alias("len"), F.first("fp").alias("fp"))
         .withColumn("id", F.monotonically_increasing_id()))
     groups = _groups(distinct, docs, key, text)
+    release(docs.sparkSession)
     named = distinct.select("k1", "k2", "id", "n", "first").join(groups, "id", "left")
     keeper = named.filter("grp is not null").groupBy("grp").agg(F.min("first").alias("keep"))
     repeated = (named.join(keeper, "grp", "left").filter("n > 1 or keep is not null")
