@@ -113,9 +113,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) links of comparable ids -> (node, component), component being the
     smallest id reachable.
 
-    Each round hooks every node to its smallest neighbour and contracts the
-    links; rounds end when no link between different nodes is left (about
-    log of the node count for ids in random order).  Minima are aggregated
+    Each round hooks every node to its first neighbour in an order by hash and
+    contracts the links; rounds end when no link between different nodes is
+    left, after about the log of the node count, as the hash order makes even
+    a long chain of consecutive ids fall into short pieces.  Minima are aggregated
     before the shuffle, so a node with a third of all links is no hot group.
     Every round is checkpointed; nothing is collected.
     """
@@ -124,8 +125,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     levels: list[DataFrame] = []
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                             .select("node", F.least("node", "m").alias("up")))
+        place = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
+        hooks = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("m"))
+                             .select("node", F.least(place("node"), F.col("m"))["v"].alias("up")))
         levels.append(hooks)
         links = checkpointed(
             links.join(hooks.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a")
@@ -139,4 +141,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         step = hooks.select(F.col("node").alias("component"), "up")
         out = out.join(step, "component", "left").select(
             "node", F.coalesce("up", "component").alias("component"))
-    return out
+    out = checkpointed(out)
+    smallest = out.groupBy(F.col("component").alias("root")).agg(F.min("node").alias("low"))
+    return out.join(smallest, F.col("component") == F.col("root")).select("node", F.col("low").alias("component"))
