@@ -21,6 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import checkpointed, connected_components, release
 
 MAX_BITS = 3
@@ -162,12 +163,12 @@ def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, th, removed): sorted numbers (from 0) of the lines to remove from the
     rows with key ``doc`` and text hash ``th``; rows that lose no line are absent."""
-    marked = checkpointed(occurrences(docs, key, text))
+    marked = materialize(occurrences(docs, key, text), "lines", wide=True)
     release(docs.sparkSession)
-    distinct = checkpointed(
+    distinct = materialize(
         marked.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"),
                                        F.first("len").alias("len"), F.first("fp").alias("fp"))
-        .withColumn("id", F.monotonically_increasing_id()))
+        .withColumn("id", F.monotonically_increasing_id()), "distinct-lines", wide=True)
     groups = _groups(distinct, docs, key, text)
     release(docs.sparkSession)
     named = distinct.select("k1", "k2", "id", "n", "first").join(groups, "id", "left")
