@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD_TABLE, checkpointed, extended, utf8
 
-SAMPLE = 6_000  # labelled rows of each label that the models are fitted on
+SAMPLE = 4_000  # labelled rows of each label that the models are fitted on
 STEMS = (4, 5, 6)  # lengths of word beginnings, in bytes
 MIN_TOXIC = 3  # toxic sample texts that a voter must occur in
 MIN_SHARE = 0.01  # of the toxic sample texts, likewise
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     toxic = (sample.filter("y = 1").select("text", "y").mapInArrow(tally, "name binary, n long")
              .groupBy("name").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC))
     # the most frequent candidates: a bounded list (a word's rank by hits in at most SAMPLE texts)
-    heads = toxic.orderBy(F.desc("n"), "name").limit(40 * FEATURES).collect()
+    heads = toxic.orderBy(F.desc("n"), "name").limit(8 * FEATURES).collect()
     names = [bytes(r["name"]) for r in heads]
     place = {k: i for i, k in enumerate(names)}
 
@@ -180,8 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     y = np.array(got.column("y"), np.int64)
     lists = got.column("on").combine_chunks()
     sizes = np.diff(np.array(lists.offsets))
-    doc = np.repeat(np.arange(len(y)), sizes)
-    feature = np.array(lists.flatten(), np.int64)
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+    feature = np.array(lists.flatten(), np.int32)
     hits = np.stack([np.bincount(feature[y[doc] == c], minlength=len(names)) for c in (0, 1)])
     rows_of = np.maximum(np.bincount(y, minlength=2), 1)
     rate = (hits + 0.5) / (rows_of[:, None] + 1)
