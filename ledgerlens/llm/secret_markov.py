@@ -32,7 +32,8 @@ ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-
 STATES = len(ALPHABET) + 1  # 0: anything else, that is the edge of a run
 MIN_RUN = 16  # characters of a run that the models judge
 THRESHOLD = 13.8  # log-likelihood ratio, about a million to one
-UNIFORM = 0.2
+UNIFORM = 0.2  # share of uniform strings in the model of each kind
+BACKOFF = 5.0  # weight of single characters in the ordinary model
 ADDED = "markov"
 
 _CODES = bytes(ALPHABET.find(bytes([b])) + 1 for b in range(256))
@@ -102,8 +103,14 @@ def bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
                         at = max(at, end)
                     part[i] = "\0".join([*kept, t[at:]]).encode()
                 for kind, found in {**values, "ordinary": part}.items():
-                    joined = (b"\0" + b"\0".join(found) + b"\0").translate(_CODES)
-                    total[kind] += count(np.frombuffer(joined, np.uint8))
+                    joined = b"\0" + b"\0".join(found) + b"\0"
+                    codes = np.frombuffer(joined.translate(_CODES), np.uint8).copy()
+                    if kind == "ordinary":  # long runs of letters and digits are what is to be judged
+                        for s, e in zip(*_long_runs(joined, _NOT_TOKEN, MIN_RUN)):
+                            digit = (codes[s:e] > 52) & (codes[s:e] < 63)
+                            if digit.any() and not digit.all():
+                                codes[s:e] = 0
+                    total[kind] += count(codes)
             kinds, pairs, ns = [], [], []
             for kind, n in total.items():
                 at = np.flatnonzero(n)
@@ -118,23 +125,23 @@ def bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Log ratios (kind, from, to) of the random models against the ordinary one.
+    """Log ratios (random model, from, to): of each kind, and of uniform strings, against the ordinary one.
     At most (kinds + 1) x 68 x 68 counts reach the driver."""
     counts = {k: np.ones((STATES, STATES)) for k in (*KINDS, "ordinary")}
     for r in bigrams(docs, text).collect():
         counts[r["kind"]].reshape(-1)[r["pair"]] += r["n"]
-    logs = {}
-    for k, c in counts.items():
-        p = c / c.sum(1, keepdims=True)
-        if k != "ordinary":  # a share of uniform strings, for kinds of secrets not labelled here
-            p = (1 - UNIFORM) * p + UNIFORM / STATES
-        logs[k] = np.log(p)
-    return np.stack([logs[k] - logs["ordinary"] for k in KINDS]).astype(np.float32)
+    ordinary = counts.pop("ordinary") - 1
+    single = (ordinary.sum(0) + 1) / (ordinary.sum() + STATES)
+    # what was never seen after a character counts by how rare it is at all
+    usual = np.log((ordinary + BACKOFF * single) / (ordinary.sum(1, keepdims=True) + BACKOFF))
+    random = [np.log((1 - UNIFORM) * c / c.sum(1, keepdims=True) + UNIFORM / STATES) for c in counts.values()]
+    random.append(np.full_like(usual, -np.log(STATES)))  # strings of any characters alike
+    return np.stack([r - usual for r in random]).astype(np.float32)
 
 
 def ratio(codes: np.ndarray, model: np.ndarray) -> float:
     """Best log-likelihood ratio of a run (its codes with an edge at both ends)."""
-    return float(model[:, codes[:-1], codes[1:]].sum(1).max()) - float(np.log(len(KINDS)))
+    return float(model[:, codes[:-1], codes[1:]].sum(1).max()) - float(np.log(len(model)))
 
 
 def scan(docs: DataFrame, model: np.ndarray, text: str = "text", min_run: int = MIN_RUN,
