@@ -1,12 +1,21 @@
 """Fuzzy line deduplication, in DataFrame functions only.
 
 Lines are normalised (lower case, anything but letters, digits and non-ASCII
-characters one space).  A line's SimHash counts, for each of the 64 bits, the
-words whose hash has it set; the counts of two bits share one 64-bit sum.
-Distinct lines whose fingerprints agree on two of five bit blocks meet
-(pigeonhole: three differing bits leave two blocks untouched); pairs within
-three bits are verified by edit similarity on the normalised text.  Of each
-connected group of lines the first occurrence stays.
+characters one space).  Distinct lines that may be alike meet, and pairs are
+verified by edit similarity on the normalised text.  Of each connected group
+of lines the first occurrence stays.  Two rules say which lines meet:
+
+``EDIT``, the rule of the queries: a line's sketch is the ``SKETCH`` smallest
+hashes of its grams, runs of 3 or 5 characters of a short line and of three
+words of a longer one (near a limit both kinds, so that lines of a similar
+length always have one in common).  Lines that share one of the first
+``SKETCH_KEYS`` hashes meet, and are verified if they share two of the sketch.
+
+``SIMHASH``: a line's SimHash counts, for each of the 64 bits, the words whose
+hash has it set; the counts of two bits share one 64-bit sum.  Lines whose
+fingerprints agree on two of five bit blocks meet (pigeonhole: three differing
+bits leave two blocks untouched); pairs within three bits are verified.  One
+changed word moves more bits than that in most lines of up to 50 words.
 
 No bucket is expanded into all pairs: at first every member is compared with
 the bucket's first line; only members that are then still in different groups
@@ -27,6 +36,11 @@ from .common import checkpointed, connected_components, release
 MAX_BITS = 3
 BLOCKS = 5  # bit blocks of a fingerprint
 CLEAN = 2  # blocks that must agree (BLOCKS - MAX_BITS)
+EDIT, SIMHASH = "edit", "simhash"
+SKETCH = 10  # smallest gram hashes of a line
+SKETCH_KEYS = 6  # of them, those by which lines meet
+SHARED = 2  # hashes of the sketch that a pair must share (fewer, if a line has fewer)
+SHORT, MIDDLE = 20, 64  # characters: runs of 3 up to SHORT, of 5 up to MIDDLE, then words
 SIMILARITY = 0.8  # 1 - edit distance / length of the longer line
 BROADCAST_ROWS = 400_000  # up to so many (checked) rows of a few bytes a side is broadcast
 BROADCAST_NUMBERS = 4_000_000  # line numbers in such a side, likewise
@@ -40,11 +54,40 @@ def _row_hash(text: str) -> Column:
     return F.xxhash64(F.col(text))
 
 
-def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, th, pos, k1, k2, n, len, fp) of every line that has a word.  ``th``
-    is a hash of the whole text, so rows with the same (or no) key stay apart."""
+def _sketches(norm: str, length: str, words: str) -> Column:
+    """One or two sketches of a line, by the grams that its length asks for."""
+    def chars(size: int, padded: str) -> Column:
+        return F.expr(f"transform(sequence(1, length({padded}) - {size - 1}), i -> hash({size}, substring({padded}, i, {size})))")
+
+    grams = F.expr(f"transform(sequence(0, greatest(size({words}) - 3, 0)), "
+                   f"i -> hash(0, get({words}, i), get({words}, i + 1), get({words}, i + 2)))")
+    least = lambda g: F.slice(F.sort_array(F.array_distinct(g)), 1, SKETCH)
+    n = F.col(length)
+    return F.filter(F.array(
+        F.when(n <= SHORT, least(chars(3, "pad3"))),
+        F.when((n > SHORT * SIMILARITY) & (n <= MIDDLE), least(chars(5, "pad5"))),
+        F.when(n > MIDDLE * SIMILARITY, least(grams))), lambda s: s.isNotNull())
+
+
+def _sketched(lines: DataFrame) -> DataFrame:
+    """:func:`occurrences` for the rule ``EDIT``."""
+    # each text that a lambda reads is also read outside, or it is made again for every gram
+    parts = lines.select(
+        "doc", "th", "pos", "norm", F.length("norm").alias("len"), F.split("norm", " ").alias("words"),
+        F.concat(F.lit(" " * 2), "norm", F.lit(" " * 2)).alias("pad3"), F.concat(F.lit(" " * 4), "norm", F.lit(" " * 4)).alias("pad5"))
+    return parts.filter("len > 0").select(
+        "doc", "th", "pos", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), "len",
+        _sketches("norm", "len", "words").alias("fp"))
+
+
+def occurrences(docs: DataFrame, key: str, text: str, rule: str = SIMHASH) -> DataFrame:
+    """(doc, th, pos, k1, k2, len, fp) of every line that has a word.  ``th``
+    is a hash of the whole text, so rows with the same (or no) key stay apart;
+    ``fp`` is the SimHash, or the sketches."""
     lines = (docs.select(F.col(key).alias("doc"), _row_hash(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
              .select("doc", "th", "pos", normalised(F.col("line")).alias("norm")))
+    if rule == EDIT:
+        return _sketched(lines)
     words = lines.select(
         "doc", "th", "pos", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
         F.length("norm").alias("len"), F.explode(F.split("norm", " ")).alias("word"),
@@ -86,7 +129,17 @@ def _block_keys() -> Column:
     return F.explode(F.array(*keys))
 
 
-def _near(a: str, b: str) -> Column:
+def _keyed(distinct: DataFrame, rule: str) -> DataFrame:
+    """(id, len, fp, key): every line once for each key by which it meets others."""
+    if rule == EDIT:
+        return distinct.select("id", "len", F.explode("fp").alias("fp")).select(
+            "id", "len", "fp", F.explode(F.slice("fp", 1, SKETCH_KEYS)).alias("key"))
+    return distinct.select("id", "len", "fp", _block_keys().alias("key"))
+
+
+def _near(a: str, b: str, rule: str) -> Column:
+    if rule == EDIT:
+        return F.size(F.array_intersect(a, b)) >= F.least(F.lit(SHARED), F.size(a), F.size(b))
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
 
 
@@ -131,16 +184,16 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, key: str,
     return checkpointed(middle.filter(near).select("a", "b"))
 
 
-def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str, rule: str) -> DataFrame:
     """(id, grp) of the distinct lines that are linked to another one."""
-    keyed = distinct.select("id", "len", "fp", _block_keys().alias("key"))
+    keyed = _keyed(distinct, rule)
     bucket = Window.partitionBy("key")
     shared = checkpointed(
         keyed.withColumn("head", F.min(F.struct("id", "len", "fp")).over(bucket))
         .withColumn("n", F.count(F.lit(1)).over(bucket)).filter("n > 1"))
     fits = lambda x, y: F.least(x, y) >= F.greatest(x, y) * SIMILARITY - 1e-9
     star = (shared.filter(F.col("id") != F.col("head.id")).withColumn("fp2", F.col("head.fp"))
-            .filter(_near("fp", "fp2") & fits(F.col("len"), F.col("head.len")))
+            .filter(_near("fp", "fp2", rule) & fits(F.col("len"), F.col("head.len")))
             .select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct())
     links = _verified(checkpointed(star), distinct, docs, key, text)
     groups = checkpointed(connected_components(links))
@@ -151,7 +204,7 @@ def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
     mixed = named.groupBy("key").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).filter("g1 <> g2").select("key")
     left = checkpointed(named.join(mixed, "key"))
     right = left.select("key", *[F.col(c).alias(c + "2") for c in ("id", "len", "fp", "grp")])
-    more = (left.join(right, "key").filter((F.col("grp") < F.col("grp2")) & _near("fp", "fp2") & fits(F.col("len"), F.col("len2")))
+    more = (left.join(right, "key").filter((F.col("grp") < F.col("grp2")) & _near("fp", "fp2", rule) & fits(F.col("len"), F.col("len2")))
             .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
     more = checkpointed(more)
     if not more.isEmpty():
@@ -160,16 +213,16 @@ def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
     return groups.select(F.col("node").alias("id"), F.col("component").alias("grp"))
 
 
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: str = SIMHASH) -> DataFrame:
     """(doc, th, removed): sorted numbers (from 0) of the lines to remove from the
     rows with key ``doc`` and text hash ``th``; rows that lose no line are absent."""
-    marked = materialize(occurrences(docs, key, text), "lines", wide=True)
+    marked = materialize(occurrences(docs, key, text, rule), "lines", wide=True)
     release(docs.sparkSession)
     distinct = materialize(
         marked.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"),
                                        F.first("len").alias("len"), F.first("fp").alias("fp"))
         .withColumn("id", F.monotonically_increasing_id()), "distinct-lines", wide=True)
-    groups = _groups(distinct, docs, key, text)
+    groups = _groups(distinct, docs, key, text, rule)
     release(docs.sparkSession)
     named = distinct.select("k1", "k2", "id", "n", "first").join(groups, "id", "left")
     keeper = named.filter("grp is not null").groupBy("grp").agg(F.min("first").alias("keep"))
@@ -179,9 +232,9 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return checkpointed(gone.groupBy("doc", "th").agg(F.array_sort(F.collect_set("pos")).alias("removed")))
 
 
-def with_removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def with_removed(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: str = SIMHASH) -> DataFrame:
     """``docs`` with __removed, the numbers of the lines to remove (null: none)."""
-    gone = removed_lines(docs, key, text).toDF("__doc", "__hash", "__removed")
+    gone = removed_lines(docs, key, text, rule).toDF("__doc", "__hash", "__removed")
     size = gone.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("__removed")), F.lit(0)).alias("numbers")).first()
     small = size["rows"] <= BROADCAST_ROWS and size["numbers"] <= BROADCAST_NUMBERS
     own = docs.withColumn("__th", _row_hash(text))
@@ -190,7 +243,7 @@ def with_removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "__doc", "__hash", "__th")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: str = SIMHASH) -> DataFrame:
     """``docs`` with the repeated lines taken out of the texts; documents that
     lose all of their lines with a word go, all others stay.
 
@@ -200,7 +253,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     columns pass through; an empty table stays empty.
     """
     cols = docs.columns
-    marked = with_removed(docs, key, text)
+    marked = with_removed(docs, key, text, rule)
     kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("__removed", i))
     new = F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     stays = F.col("__removed").isNull() | F.exists(kept, lambda line: normalised(line) != "")

@@ -214,6 +214,49 @@ def test_lines_equal_brute_force(spark):
         assert t == "\n".join(x for p, x in enumerate(text[d].split("\n")) if (d, p) not in got)
 
 
+def _line_copies(edit, seed=4, n=30):
+    """Lines of 3 to 60 words, each in one document, and a copy with an edit in another."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    rows, wanted = [], {}
+    for size in (3, 5, 8, 10, 15, 20, 30, 60):
+        for _ in range(n):
+            base = " ".join(word() for _ in range(size))
+            copy = edit(rng, base, word)
+            if _distance(base, copy) <= int(max(len(base), len(copy)) * 0.2 + 1e-9):
+                wanted[len(rows) + 1] = size
+                rows += [(len(rows), base), (len(rows) + 1, copy)]
+    return rows, wanted
+
+
+def _typo(rng, line, word):
+    at = rng.randrange(len(line))
+    return line[:at] + rng.choice("abcdefgh") + line[at + 1:]
+
+
+def _replaced(rng, line, word):
+    w = line.split(" ")
+    for at in rng.sample(range(len(w)), max(1, len(w) // 10)):
+        w[at] = word()
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("edit", [_typo, _replaced])
+def test_near_lines_of_all_lengths_are_found(spark, edit):
+    rows, wanted = _line_copies(edit)
+    gone = fuzzy_lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string"), rule=fuzzy_lines.EDIT)
+    got = {r["doc"] for r in gone.collect()}
+    found = {size: sum(d in got for d, s in wanted.items() if s == size) / sum(s == size for s in wanted.values())
+             for size in sorted(set(wanted.values()))}
+    print(edit.__name__, found)
+    assert got <= set(wanted) and min(found.values()) >= 0.9
+
+
+def test_line_sketches_run_without_python(spark):
+    plan = fuzzy_lines.occurrences(awkward(spark), "doc_id", "text", fuzzy_lines.EDIT)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan
+
+
 def test_line_dedup_on_awkward_rows(spark, monkeypatch):
     docs = with_clashes(awkward(spark), "th", "doc", "removed", "pos")
     out = fuzzy_lines.dedup_lines(docs)
