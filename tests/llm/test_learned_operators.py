@@ -124,6 +124,35 @@ def test_language_model_counts_and_normalisation(spark, monkeypatch):
     assert math.isclose(sum(every), 1.0, rel_tol=1e-4)
 
 
+def test_every_block_is_trained(spark, monkeypatch):
+    """Blocks of one document of 300 words; of the first by hash the document is held out."""
+    monkeypatch.setattr(lbl_lm, "START_TOKENS", 700)
+    first = spark.range(12).orderBy(F.xxhash64("id"), "id").first()[0]
+    order = [r[0] for r in spark.range(12).orderBy(F.xxhash64("id"), "id").collect()]
+    words, rows = [b"", *(b"w%d" % i for i in range(20))], []
+    rng = np.random.default_rng(1)
+    for block in range(12):
+        ids = [1]
+        while len(ids) < 300:
+            ids.append(ids[-1] % 20 + 1 if rng.random() < 0.9 else int(rng.integers(1, 21)))
+        ids.append(0)
+        held = block == first
+        n = np.bincount(ids, minlength=21) * (not held)
+        rows.append(([block], [held], [301], ids, words, n.tolist(), block))
+    table = spark.createDataFrame(rows, "keys array<long>, held array<boolean>, sizes array<int>, ids array<int>, "
+                                        "words array<binary>, counts array<long>, block long").repartition(5)
+    counts = lbl_lm._pairs(table).filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    sh = lbl_lm.shares(counts)
+    total = sh.output_tokens()
+    assert total[0] == 11 and total.sum() == 11 * 301 and total[1:21].sum() == 11 * 300
+    ids, starts = lbl_lm._first_tokens(table, sh)
+    assert len(ids) == 700 and starts.tolist() == [0, 301, 602]
+    model = lbl_lm.fit(table, sh)
+    assert np.allclose(model.b[21:1 + lbl_lm.WORDS], model.b[21], atol=0.5) and model.b[1] > model.b[21]
+    some = lbl_lm.fit(table.filter(F.col("block").isin(order[:4])), sh)  # the same starting tokens
+    assert not np.allclose(model.flat(), some.flat(), atol=1e-5)
+
+
 def test_noise_contrastive_training_learns_context():
     rng = np.random.default_rng(0)
     ids = np.zeros(60_000, np.int32)
