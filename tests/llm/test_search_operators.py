@@ -307,6 +307,29 @@ def test_planted_passages_are_found_and_others_left(spark):
     assert all(out[d]["n_passages"] == 0 and out[d]["component"] == d for d in (30, 31, 40))
 
 
+def test_passages_of_common_shingles_are_found(spark):
+    """Every shingle of the passages also occurs in many unrelated texts."""
+    rng = random.Random(3)
+    prose = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    docs, n = [], 0
+    passages = [prose(70) for _ in range(6)]
+    for p in passages:
+        for _ in range(2):
+            docs.append((n, prose(30) + p + prose(30)))
+            n += 1
+    for p in passages:
+        for _ in range(40):
+            pieces = [p[i:i + 7] for i in range(0, 64)]
+            rng.shuffle(pieces)
+            docs.append((1000 + n, [w for piece in pieces for w in piece + prose(3)]))
+            n += 1
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in compact_windows.repeated_passages(df).collect()}
+    found = [out[d + 1]["component"] == d and out[d]["n_words_repeated"] >= 50 for d in range(0, 12, 2)]
+    assert all(found), found
+    assert all(r["n_passages"] == 0 for d, r in out.items() if d >= 1000)
+
+
 def test_passages_on_awkward_rows(spark):
     docs = with_clashes(awkward(spark), "ref", "spans", "key", "grp")
     out = compact_windows.repeated_passages(docs)
