@@ -143,6 +143,36 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     return rows.join(F.broadcast(chosen), "key"), counts
 
 
+def _candidates(sample: DataFrame, rows_of: np.ndarray, counts: dict[int, int]) -> DataFrame:
+    """(name, n0, n1): the features that may vote or become features of the
+    classifier, with their hits in the sample texts of either label.
+
+    Hits are counted by Spark, and what a voter must satisfy is tested there,
+    so that no frequent word takes a rarer one's place: all that qualify as
+    voters, and of the others the ``4 * FEATURES`` with the highest gain.
+    """
+    def tally(batches):
+        for b in batches:
+            seen = [Counter(), Counter()]
+            for t, y in zip(utf8(b.column(0)), b.column(1).to_pylist()):
+                seen[y].update(text_features(t))
+            names = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.binary()), *[pa.array([s[k] for k in names], pa.int64()) for s in seen]], ["name", "n0", "n1"])
+
+    rate = [(F.col(f"n{c}") + 0.5) / F.lit(float(rows_of[c] + 1)) for c in (0, 1)]
+    fires = [F.col(f"n{c}") * F.lit(counts[c] / float(rows_of[c])) for c in (0, 1)]
+    lift = rate[1] / rate[0]
+    common = checkpointed(
+        sample.select("text", "y").mapInArrow(tally, "name binary, n0 long, n1 long")
+        .groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .filter(F.col("n1") >= F.lit(float(max(MIN_TOXIC, MIN_SHARE * rows_of[1]))))
+        .withColumn("strong", (lift >= MIN_LIFT) & (fires[1] >= MIN_PRECISION * (fires[0] + fires[1])))
+        .withColumn("gain", F.abs(F.log(lift)) * F.sqrt("n1")))
+    others = common.filter(~F.col("strong")).orderBy(F.desc("gain"), "name").limit(4 * FEATURES)
+    return common.filter("strong").unionByName(others).orderBy(F.desc("n1"), "name").select("name", "n0", "n1")
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
         label: str = "toxic", learn: Column | None = None) -> Model:
     """Fit on labelled rows for which ``learn`` holds.  Without rows of both
@@ -155,20 +185,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # a text that repeats counts once: copies of one toxic text would make lexicon of all its words
     sample = checkpointed(sample.groupBy("text").agg(F.max("y").alias("y")))
 
-    def tally(batches):
-        seen = [Counter(), Counter()]
-        for b in batches:
-            for t, y in zip(utf8(b.column(0)), b.column(1).to_pylist()):
-                seen[y].update(text_features(t))
-        names = [k for k in seen[1]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array([seen[1][k] for k in names], pa.int64())], ["name", "n"])
-
-    toxic = (sample.filter("y = 1").select("text", "y").mapInArrow(tally, "name binary, n long")
-             .groupBy("name").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC))
-    # the most frequent candidates: a bounded list (a word's rank by hits in at most SAMPLE texts)
-    heads = toxic.orderBy(F.desc("n"), "name").limit(8 * FEATURES).collect()
-    names = [bytes(r["name"]) for r in heads]
+    rows_of = np.maximum([sample.filter(F.col("y") == c).count() for c in (0, 1)], 1)
+    heads = _candidates(sample, rows_of, counts).toArrow()
+    names = [bytes(x) for x in heads.column("name").to_pylist()]
+    hits = np.stack([np.array(heads.column(c), np.int64) for c in ("n0", "n1")])
     place = {k: i for i, k in enumerate(names)}
 
     def presence(batches):
@@ -182,8 +202,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sizes = np.diff(np.array(lists.offsets))
     doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     feature = np.array(lists.flatten(), np.int32)
-    hits = np.stack([np.bincount(feature[y[doc] == c], minlength=len(names)) for c in (0, 1)])
-    rows_of = np.maximum(np.bincount(y, minlength=2), 1)
     rate = (hits + 0.5) / (rows_of[:, None] + 1)
     lift = rate[1] / rate[0]
     common = hits[1] >= max(MIN_TOXIC, MIN_SHARE * rows_of[1])
@@ -202,30 +220,36 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         x[doc[ok], at[feature[ok]]] = 1
         return x
 
+    by_feature = np.argsort(feature, kind="stable")
+    edges = np.searchsorted(feature[by_feature], np.arange(len(names) + 1))
+    rows_with = lambda c: doc[by_feature[edges[c]:edges[c + 1]]]
+
     def distinct(columns: np.ndarray) -> np.ndarray:
         """Of features that occur in the same rows (a word and its beginnings) the first."""
         seen: dict[bytes, int] = {}
-        x = matrix(columns)
-        for i, c in enumerate(columns.tolist()):
-            seen.setdefault(np.packbits(x[:, i] > 0).tobytes(), c)
-        return np.array(sorted(seen.values(), key=columns.tolist().index), np.int64)
+        for c in columns.tolist():
+            seen.setdefault(rows_with(c).tobytes(), c)
+        return np.array(list(seen.values()), np.int64)
 
     # voters: cover the toxic rows first, then by strength
-    order = distinct(strong[np.argsort(-gain[strong], kind="stable")][:6 * VOTERS])
-    x = matrix(order)
+    order = distinct(strong[np.argsort(-gain[strong], kind="stable")])
+    at = np.full(len(names), -1)
+    at[order] = np.arange(len(order))
+    place_of = at[feature]
     open_rows = y == 1
     voters: list[int] = []
-    while len(voters) < VOTERS // 2 and open_rows.any():
-        new = x[open_rows].sum(0)
+    while len(order) and len(voters) < VOTERS // 2 and open_rows.any():
+        new = np.bincount(place_of[(place_of >= 0) & open_rows[doc]], minlength=len(order))
         best = int(np.argmax(new))
         if new[best] < 2:
             break
         voters.append(best)
-        open_rows &= x[:, best] == 0
-    voters += [i for i in range(len(order)) if i not in voters][:VOTERS - len(voters)]
+        open_rows[rows_with(order[best])] = False
+    taken = set(voters)
+    voters += [i for i in range(len(order)) if i not in taken][:VOTERS - len(voters)]
     weight = np.where(y == 1, counts[1] / rows_of[1], counts[0] / rows_of[0])
     sample_prior = rows_of[1] / rows_of.sum()
-    post, _, _ = label_model(x[:, voters].astype(np.float64), sample_prior)
+    post, _, _ = label_model(matrix(order[voters]).astype(np.float64), sample_prior)
     # from the sample's class frequencies to those of all labelled rows
     odds = post / np.clip(1 - post, 1e-12, None) * (share / (1 - share)) / (sample_prior / (1 - sample_prior))
     target = odds / (1 + odds)

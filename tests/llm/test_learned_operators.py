@@ -240,6 +240,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert weak_toxicity.scored(empty(docs), model).count() == 0
 
 
+def test_rare_toxic_words_beside_many_frequent_ones(spark):
+    """More frequent ordinary features than any list of candidates by frequency would hold."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    prose, insults = [word(8) for _ in range(2500)], ["zz" + word(7) for _ in range(20)]
+    rows, labels = [], []
+    for i in range(800):
+        toxic = i % 2 == 0
+        w = rng.sample(prose, 1200) + ([insults[i // 2 % 20]] if toxic else [])
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = remainder("doc_id", 4) == 2
+    model = weak_toxicity.fit(docs, lab, learn=~held)
+    out = weak_toxicity.scored(docs.filter(held), model).collect()
+    hit = [(r["score"] >= 0.3) == (r["doc_id"] % 2 == 0) for r in out]
+    assert sum(hit) >= 0.95 * len(hit)
+
+
 def test_label_model_recovers_rates():
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.2
