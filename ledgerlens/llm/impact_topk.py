@@ -98,6 +98,12 @@ def _blocks(rows: DataFrame, size: int) -> int:
     return max(1, -(-rows.count() // size))
 
 
+def dealt_queries(ask: DataFrame, n: int) -> DataFrame:
+    """Distinct queries (key, q) with their block ``qb``, by what they hold: their rows
+    come from a shuffle, whose order a task that is run again need not repeat."""
+    return ask.withColumn("qb", F.pmod(F.xxhash64("key", "q"), F.lit(n)).cast("int"))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
           vector: str = "embedding", scale: int = SCALE, block: int = BLOCK_VECTORS,
           query_block: int = QUERY_VECTORS) -> DataFrame:
@@ -114,11 +120,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     cand = quantised(vectors, key, vector, scale)
     ask = quantised(queries, key, vector, scale).distinct()
     nc, nq = _blocks(cand, block), _blocks(ask, query_block)
-    # by row, not by key: a key that repeats often must not fill one block
+    # candidates by row, not by key: a key that repeats often must not fill one block
     deal = lambda n: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
     left = (cand.withColumn("cb", deal(nc)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
             .withColumn("dims", F.size("q")))
-    right = (ask.withColumn("qb", deal(nq)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
+    right = (dealt_queries(ask, nq).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
              .withColumn("dims", F.size("q")))
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import compact_windows, fuzzy_lines, impact_topk, simhash_ball, wu_manber
 from llm.helpers import awkward, empty, with_clashes
@@ -89,6 +90,18 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert impact_topk.top_k(empty(df), df, 5).count() == 0 and impact_topk.top_k(df, empty(df), 5).count() == 0
 
 
+def test_queries_keep_their_block_in_any_row_order(spark):
+    """The plan deals queries by no row number, and other orders of the rows give the same blocks."""
+    df = spark.createDataFrame([(i, [float(i % 13), float(i), 1.0]) for i in range(400)], "vec_id long, embedding array<float>")
+    ask = impact_topk.quantised(df)
+    blocks = [{r["key"]: r["qb"] for r in impact_topk.dealt_queries(d, 5).collect()}
+              for d in (ask, ask.repartition(7), ask.orderBy(F.desc("key")))]
+    assert blocks[0] == blocks[1] == blocks[2] and set(blocks[0].values()) == set(range(5))
+    top = impact_topk.top_k(df.filter("vec_id < 50"), df, 3, block=20, query_block=64)
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("monotonically_increasing_id") == 1  # the candidates only
+
+
 # ------------------------------------------------------------------ 9
 def test_fingerprint_links_keep_all_components(spark):
     """Random balls, a dense family of over SMALL members and pairs that differ inside one block only."""
