@@ -185,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # a text that repeats counts once: copies of one toxic text would make lexicon of all its words
     sample = checkpointed(sample.groupBy("text").agg(F.max("y").alias("y")))
 
-    rows_of = np.maximum([sample.filter(F.col("y") == c).count() for c in (0, 1)], 1)
+    rows_of = np.array([sample.filter(F.col("y") == c).count() for c in (0, 1)], np.int64)
+    if not rows_of.all():  # labels whose texts aren't in the table teach nothing but their share
+        return Model([], np.zeros(0), float(np.log(share / (1 - share))))
     heads = _candidates(sample, rows_of, counts).toArrow()
     names = [bytes(x) for x in heads.column("name").to_pylist()]
     hits = np.stack([np.array(heads.column(c), np.int64) for c in ("n0", "n1")])
