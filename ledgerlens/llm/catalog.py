@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import lookup_join
 from ..sources.tables import read_table
-from . import compact_windows, fuzzy_lines, gru_language, impact_topk, lbl_lm, packing_swap, secret_markov, simhash_ball, weak_toxicity, wu_manber
+from . import (ball_kmeans, compact_windows, filter_audit, fuzzy_lines, gru_language, impact_topk, lbl_lm, packing_swap, secret_markov,
+               simhash_ball, token_counts, weak_toxicity, wu_manber)
 from .common import remainder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -143,6 +145,89 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= weak_toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+TOKEN_LIMIT = 2048
+
+
+def op11_tokens(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_counts(docs, tokenizer_path or public_tokenizer()).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight-part codes of every vector, their errors, and the errors of each label."""
+    coded, books = ball_kmeans.compressed(read_table(spark, sf_dir, "embeddings"))
+    coded = coded.withColumn("__label", F.coalesce(F.concat(F.lit("="), F.col("label").cast("string")), F.lit("")))
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+    totals = coded.groupBy("__label").agg(total.cast("long").alias("label_error"))
+    digits = [F.lower(F.hex(F.substring("codes", p + 1, 1))) for p in range(ball_kmeans.PARTS)]
+    return lookup_join(coded, totals, "__label", "inner").select(
+        "vec_id", F.concat(*digits).alias("code"), "error", "label_error",
+        F.lit(ball_kmeans.digest(books)).alias("codebooks_sha256"))
+
+
+def _op12_sql() -> str:
+    """Assignment and update, unrolled over the rounds; integers throughout."""
+    floors = "list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT))"
+    lines = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, {floors} AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+w AS MATERIALIZED (SELECT rid, p, x[p * (len(x) // 8) + 1:(p + 1) * (len(x) // 8)] AS c FROM v, generate_series(0, 7) AS g(p)),
+b0 AS MATERIALIZED (SELECT p, e, c FROM w JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v
+  WHERE vec_id IS NOT NULL ORDER BY vec_id LIMIT 16) USING (rid))"""]
+    for r in range(ball_kmeans.ROUNDS + 1):
+        lines.append(f"""d{r} AS MATERIALIZED (SELECT rid, w.p AS p, min(ROW(CAST(list_sum(list_transform(list_zip(w.c, b.c),
+  lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e)) AS m FROM w JOIN b{r} b ON w.p = b.p GROUP BY rid, w.p)""")
+        if r < ball_kmeans.ROUNDS:
+            lines.append(f"""s{r} AS (SELECT p, e, list(q ORDER BY i) AS c FROM (SELECT d.p AS p, d.m[2] AS e, i,
+  CAST(sum(w.c[i]) // count(*) - CASE WHEN sum(w.c[i]) % count(*) < 0 THEN 1 ELSE 0 END AS BIGINT) AS q
+  FROM d{r} d JOIN w ON d.rid = w.rid AND d.p = w.p, generate_series(1, len(w.c)) AS g(i) GROUP BY d.p, d.m[2], i) GROUP BY p, e),
+b{r + 1} AS MATERIALIZED (SELECT b.p AS p, b.e AS e, coalesce(s.c, b.c) AS c FROM b{r} b LEFT JOIN s{r} s ON b.p = s.p AND b.e = s.e)""")
+    last = ball_kmeans.ROUNDS
+    lines.append(f"""f AS (SELECT rid, string_agg(lower(printf('%02x', CAST(m[2] AS INTEGER))), '' ORDER BY p) AS code,
+  CAST(sum(m[1]) AS BIGINT) AS error FROM d{last} GROUP BY rid),
+h AS (SELECT sha256(string_agg(t, ',' ORDER BY p, e)) AS codebooks_sha256 FROM
+  (SELECT p, e, array_to_string(c, ',') AS t FROM b{last}))""")
+    return "WITH " + ",\n".join(lines) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN f USING (rid), h"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language's documents, in every order."""
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+m AS (SELECT doc_id, part, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY x) AS low FROM t),
+l AS (SELECT doc_id AS id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS q, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS tox
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+        100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x), regexp_matches(x, '[#$%&*|]'),
+        coalesce(low < doc_id, FALSE)] AS b, coalesce(q, 0) AS q, coalesce(tox, 0) AS tox
+      FROM m LEFT JOIN l ON m.doc_id = l.id),
+g AS (SELECT part, b, count(*) AS n, sum(q) AS good, sum(tox) AS toxic FROM f GROUP BY part, b),
+c AS (SELECT i, substr('ABCDE', i, 1) AS a FROM generate_series(1, 5) AS s(i)),
+o AS (SELECT a.a || b.a || d.a || e.a || h.a AS filter_order, [a.i, b.i, d.i, e.i, h.i] AS p FROM c a, c b, c d, c e, c h
+      WHERE len(list_distinct([a.i, b.i, d.i, e.i, h.i])) = 5),
+s AS (SELECT filter_order, p, CAST(step AS INTEGER) AS step FROM o, generate_series(1, 5) AS k(step)),
+r AS (SELECT part, filter_order, step, p[step] AS letter, n, good, toxic, b[p[step]] AS here,
+        len(list_filter(p[1:step - 1], lambda i: b[i])) > 0 AS earlier, len(list_filter(b, lambda y: y)) AS fails FROM g, s),
+a AS (SELECT part, filter_order, step, letter, sum(CASE WHEN NOT here AND NOT earlier THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN here AND NOT earlier THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN here AND earlier THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN here AND fails = 1 THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN here AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN here AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost FROM r GROUP BY ALL),
+v AS (SELECT part, letter, sum(removed) AS shapley FROM a GROUP BY part, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM a JOIN v USING (part, letter)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
@@ -154,9 +239,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_tokens": op11_tokens,
+    "op12_codes": op12_codes,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op2_topk": OP2_SQL,
+    "op12_codes": _op12_sql(),
+    "op13_filter_audit": OP13_SQL,
 }
