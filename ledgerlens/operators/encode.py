@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import MAX_BROADCAST_BYTES, lookup_join, size_at_most
+from ..plans.joins import lookup_attributes
 from ..plans.ranking import ordered_positions
 from ..session import materialize
 from .profile import unpivot_as_text
@@ -41,52 +41,40 @@ def fit_label_codes(df: DataFrame, attributes: Sequence[str],
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str],
                       handle_unseen: str = "error", suffix: str = "",
-                      hot_for: Callable[[str], list[tuple]] | None = None) -> DataFrame:
+                      hot_for: Callable[[], list[tuple]] | None = None,
+                      key: str | None = None) -> DataFrame:
     """Replace each attribute by its code (or add ``attribute+suffix``).
 
     ``handle_unseen``: ``'error'`` fails the job on a value the vocabulary
     lacks (a fitted encoder's default), ``'keep'`` gives it the code
     ``len(vocabulary)``, ``'null'`` gives null.  A null value stays null.
-    ``hot_for(attribute)`` may supply the hot values for the salted join
-    path (only called when a vocabulary is too big to broadcast).
+    All attributes are looked up together (``plans.joins.lookup_attributes``; ``key``: see
+    there); ``hot_for()`` may supply the hot (attribute, value, rows), asked for only when
+    the codes are too big to broadcast.
     """
-    out = df
-    sizes = None
+    if handle_unseen not in ("error", "keep", "null"):
+        raise ValueError(handle_unseen)
+    sizes = {}
     if handle_unseen == "keep":
         sizes = {r["attribute"]: r["n"] for r in
                  codes.groupBy("attribute").agg(F.count("*").alias("n")).collect()}
-    whole_fits = size_at_most(codes, MAX_BROADCAST_BYTES)  # then every slice fits
-    for a in attributes:
-        part = (codes.filter(F.col("attribute") == F.lit(a))
-                .select(F.col("value").alias(f"_v_{a}"), F.col("code").alias(f"_c_{a}")))
-        out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        hot = (lambda a=a: hot_for(a)) if hot_for else None
-        out = lookup_join(out, part, f"_v_{a}", "left", small_is_bounded=whole_fits, hot=hot)
-        code = F.col(f"_c_{a}")
+    out = lookup_attributes(df, codes, attributes, "code", "_code_", key=key, hot=hot_for)
+
+    def coded(a: str):
+        code, unseen = F.col(f"_code_{a}"), F.col(f"_code_{a}").isNull() & F.col(a).isNotNull()
         if handle_unseen == "error":
-            code = F.when(code.isNull() & F.col(f"_v_{a}").isNotNull(),
-                          F.raise_error(F.concat(F.lit(f"unseen label in {a}: "),
-                                                 F.col(f"_v_{a}"))).cast("bigint")).otherwise(code)
-        elif handle_unseen == "keep":
-            code = F.when(F.col(f"_v_{a}").isNotNull(),
-                          F.coalesce(code, F.lit(int(sizes.get(a, 0)))))
-        elif handle_unseen != "null":
-            raise ValueError(handle_unseen)
-        out = out.withColumn(a + suffix, code).drop(f"_v_{a}", f"_c_{a}")
-    return out
-
-
-def decode_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str]) -> DataFrame:
+            message = F.concat(F.lit(f"unseen label in {a}: "), F.col(a).cast("string"))
+            return F.when(unseen, F.raise_error(message).cast("bigint")).otherwise(code)
+        return F.when(unseen, F.lit(int(sizes.get(a, 0)))).otherwise(code) if handle_unseen == "keep" else code
+
+    return out.withColumns({a + suffix: coded(a) for a in attributes}).drop(*[f"_code_{a}" for a in attributes])
+
+
+def decode_label_codes(df: DataFrame, codes: DataFrame, attributes: Sequence[str], key: str | None = None) -> DataFrame:
     """Inverse of ``apply_label_codes``: codes back to their values."""
-    whole_fits = size_at_most(codes, MAX_BROADCAST_BYTES)
-    out = df
-    for a in attributes:
-        part = (codes.filter(F.col("attribute") == F.lit(a))
-                .select(F.col("code").alias(f"_c_{a}"), F.col("value").alias(f"_v_{a}")))
-        out = lookup_join(out.withColumn(f"_c_{a}", F.col(a)), part, f"_c_{a}", "left",
-                          small_is_bounded=whole_fits)
-        out = out.withColumn(a, F.col(f"_v_{a}")).drop(f"_c_{a}", f"_v_{a}")
-    return out
+    backwards = codes.select("attribute", F.col("code").cast("string").alias("value"), F.col("value").alias("text"))
+    out = lookup_attributes(df, backwards, attributes, "text", "_text_", key=key)
+    return out.withColumns({a: F.col(f"_text_{a}") for a in attributes}).drop(*[f"_text_{a}" for a in attributes])
 
 
 def label_encode(df: DataFrame, attributes: Sequence[str],
@@ -186,10 +174,11 @@ def fit_folded_codes(vocab: DataFrame, fold_attributes: Sequence[str],
 
 def apply_folded_codes(df: DataFrame, codes: DataFrame, encoded_attributes: Sequence[str],
                        sentinel_codes: dict[str, int],
-                       hot_for: Callable[[str], list[tuple]] | None = None) -> DataFrame:
-    """One lookup join per attribute: folded attributes map any value (and
-    null) to its folded code; other attributes fail on an unseen value."""
+                       hot_for: Callable[[], list[tuple]] | None = None,
+                       key: str | None = None) -> DataFrame:
+    """Folded attributes map any value (and null) to its folded code; other
+    attributes fail on an unseen value.  ``hot_for``, ``key``: see :func:`apply_label_codes`."""
     out = apply_label_codes(df, codes, encoded_attributes, handle_unseen="error",
-                            hot_for=hot_for)
+                            hot_for=hot_for, key=key)
     fixes = {a: F.coalesce(F.col(a), F.lit(code)) for a, code in sentinel_codes.items()}
     return out.withColumns(fixes) if fixes else out

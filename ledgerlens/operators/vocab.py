@@ -4,9 +4,9 @@
 A vocabulary is a DataFrame ``(attribute, value, n_left, n_right)`` built by
 ONE stacked aggregation over both tables, never a Python list: distinct
 values of free-text columns grow with the data.  It is materialized (a
-reliable checkpoint in the cluster's checkpoint folder) because every folded
-column reads it; its exact size then decides how it is joined back (see
-``plans.joins.lookup_join``).
+reliable checkpoint in the cluster's checkpoint folder) because both tables
+read it; its exact size then decides how it is joined back (see
+``plans.joins.lookup_attributes``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import NULL_SENTINEL
-from ..plans.joins import MAX_BROADCAST_BYTES, lookup_join, size_at_most
+from ..plans.joins import lookup_attributes
 from ..session import materialize
 from .profile import unpivot_as_text
 
@@ -52,32 +52,21 @@ def shared(vocab: DataFrame) -> DataFrame:
 
 
 def fold_to_shared(df: DataFrame, shared_vocab: DataFrame, attributes: Sequence[str],
-                   sentinel: str = NULL_SENTINEL, hot_for=None) -> DataFrame:
+                   sentinel: str = NULL_SENTINEL, hot_for=None, key: str | None = None) -> DataFrame:
     """Values not shared by both tables -> ``sentinel`` (61).
 
-    One lookup join per attribute against its slice of the shared
-    vocabulary; a broadcast join when the slice's checked size allows
-    (typical), a salted shuffle join otherwise.
+    All attributes are looked up together (``plans.joins.lookup_attributes``; ``key``: see there).
+    ``hot_for()`` may supply the hot (attribute, value, rows).
     """
-    out = df
-    # one size check for all slices: if the whole vocabulary is under the
-    # bound, so is every attribute's slice
-    whole_fits = size_at_most(shared_vocab, MAX_BROADCAST_BYTES)
-    for a in attributes:
-        keys = (shared_vocab.filter(F.col("attribute") == F.lit(a))
-                .select(F.col("value").alias(f"_v_{a}"), F.lit(True).alias(f"_hit_{a}")))
-        out = out.withColumn(f"_v_{a}", F.col(a).cast("string"))
-        hot = (lambda a=a: hot_for(a)) if hot_for else None
-        out = lookup_join(out, keys, f"_v_{a}", "left", small_is_bounded=whole_fits, hot=hot)
-        out = (out.withColumn(a, F.when(F.col(f"_hit_{a}"), F.col(a).cast("string"))
-                              .otherwise(F.lit(sentinel)))
-               .drop(f"_v_{a}", f"_hit_{a}"))
-    return out
+    found = lookup_attributes(df, shared_vocab.withColumn("_shared", F.lit(1)), attributes, "_shared", "_shared_",
+                              key=key, hot=hot_for)
+    folded = {a: F.when(F.col(f"_shared_{a}") == 1, F.col(a).cast("string")).otherwise(F.lit(sentinel)) for a in attributes}
+    return found.withColumns(folded).drop(*[f"_shared_{a}" for a in attributes])
 
 
 def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
-                 sentinel: str = NULL_SENTINEL, materialize_inputs: bool = True
-                 ) -> tuple[DataFrame, DataFrame]:
+                 sentinel: str = NULL_SENTINEL, materialize_inputs: bool = True,
+                 key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Fold both tables to their shared vocabulary, both directions (61).
 
     Each table is read twice (vocabulary, then fold); unless the caller has
@@ -90,25 +79,18 @@ def mutual_vocab(left: DataFrame, right: DataFrame, attributes: Sequence[str],
     common = materialize(shared(vocab), "shared_vocabulary")
     # hot values (for the salted path only) from the vocabulary's counts
     return (fold_to_shared(left, common, attributes, sentinel,
-                           hot_for=lambda a: hot_value_counts(vocab, a, "n_left")),
+                           hot_for=lambda: hot_values(vocab, attributes, "n_left"), key=key),
             fold_to_shared(right, common, attributes, sentinel,
-                           hot_for=lambda a: hot_value_counts(vocab, a, "n_right")))
+                           hot_for=lambda: hot_values(vocab, attributes, "n_right"), key=key))
 
 
-def hot_values(vocab: DataFrame, attribute: str, side: str = "n_left",
+def hot_values(vocab: DataFrame, attributes: Sequence[str], side: str = "n_left",
                partitions: int | None = None) -> list[tuple]:
-    """The values of :func:`hot_value_counts`, without their counts."""
-    return [h[:-1] for h in hot_value_counts(vocab, attribute, side, partitions)]
-
-
-def hot_value_counts(vocab: DataFrame, attribute: str, side: str = "n_left",
-                     partitions: int | None = None) -> list[tuple]:
-    """(value, rows) of the values of ``attribute`` holding more than half a
-    task's share of one table's rows, read from the vocabulary's counts (no
-    pass over the rows).  At most ``2 * partitions`` values can pass."""
+    """(attribute, value, rows) of the values that hold more than half a task's share of one table's
+    (row, attribute) pairs, read from the vocabulary's counts (no pass over the rows).  At most
+    ``2 * partitions`` values can pass."""
     parts = partitions or int(vocab.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sub = vocab.filter(F.col("attribute") == F.lit(attribute))
+    sub = vocab.filter(F.col("attribute").isin(list(attributes)))
     total = sub.agg(F.sum(side)).first()[0] or 0
     threshold = max(total // (2 * parts), 1)
-    return [(r["value"], r["n"]) for r in
-            sub.filter(F.col(side) > threshold).select("value", F.col(side).alias("n")).collect()]
+    return [tuple(r) for r in sub.filter(F.col(side) > threshold).select("attribute", "value", side).collect()]

@@ -175,7 +175,7 @@ def q_oov_fold(spark, sf):
     tr, sc = both_periods(spark, sf)
     t = _not_waived(filters.labelled_rows(tr))
     s = _not_waived(sc)
-    ft, fs = vocab.mutual_vocab(t, s, VIEW_FOLD_ATTRIBUTES, materialize_inputs=False)
+    ft, fs = vocab.mutual_vocab(t, s, VIEW_FOLD_ATTRIBUTES, materialize_inputs=False, key="ticket_id")
     cols = ["ticket_id", *VIEW_FOLD_ATTRIBUTES]
     return (ft.select(cols[0], F.lit("train").alias("side"), *cols[1:])
             .unionByName(fs.select(cols[0], F.lit("scoring").alias("side"), *cols[1:])))
@@ -654,7 +654,7 @@ def q_label_encode_apply(spark, sf):
     t = _not_waived(_labelled(spark, sf))
     s = _not_waived(scoring_tickets(spark, sf))
     codes = encode.fit_label_codes(t, ENCODE_VIEW, always_include=["NaN"])
-    return encode.apply_label_codes(s, codes, ENCODE_VIEW, handle_unseen="null").select(
+    return encode.apply_label_codes(s, codes, ENCODE_VIEW, handle_unseen="null", key="ticket_id").select(
         "ticket_id", *ENCODE_VIEW)
 
 

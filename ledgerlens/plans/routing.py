@@ -72,22 +72,21 @@ def encoded_segments(train: DataFrame, scoring: DataFrame, spec: RouteSpec,
         t = materialize(t, "train_prepared", wide=True)
         s = materialize(s, "scoring_prepared", wide=True)
     # fold + encode fused: one vocabulary aggregate over both tables gives
-    # the shared values and the codes; then one lookup join per attribute
+    # the shared values and the codes; then one lookup of all attributes
     attrs = list(dict.fromkeys([*spec.fold_attributes, *spec.encoded_attributes]))
     voc = vocab.vocabulary(t, s, attrs, persist=True)
     codes, nan_codes = encode.fit_folded_codes(voc, spec.fold_attributes,
                                                spec.encoded_attributes, NULL_SENTINEL)
     # hot values for the (rare) salted join path come from the vocabulary's
     # per-table counts, not from another pass over the rows
-    t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes,
-                                  hot_for=lambda a: vocab.hot_value_counts(voc, a, "n_left"))
-    s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes,
-                                  hot_for=lambda a: vocab.hot_value_counts(voc, a, "n_right"))
+    hot = {side: (lambda side=side: vocab.hot_values(voc, attrs, side)) for side in ("n_left", "n_right")}
+    t = encode.apply_folded_codes(t, codes, spec.encoded_attributes, nan_codes, hot_for=hot["n_left"], key="ticket_id")
+    s = encode.apply_folded_codes(s, codes, spec.encoded_attributes, nan_codes, hot_for=hot["n_right"], key="ticket_id")
     fold_only = [a for a in spec.fold_attributes if a not in set(spec.encoded_attributes)]
     if fold_only:
-        common = vocab.shared(voc)
-        t = vocab.fold_to_shared(t, common, fold_only)
-        s = vocab.fold_to_shared(s, common, fold_only)
+        common = materialize(vocab.shared(voc), "shared_vocabulary")
+        t = vocab.fold_to_shared(t, common, fold_only, key="ticket_id")
+        s = vocab.fold_to_shared(s, common, fold_only, key="ticket_id")
     t = filters.with_time_to_hearing(t)
     s = filters.with_time_to_hearing(s)
     return (materialize(models.with_label(t), "train_encoded", wide=True),

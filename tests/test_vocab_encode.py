@@ -116,18 +116,74 @@ def test_fused_fold_encode_equals_fold_then_encode(spark):
 
 
 def test_hot_values_from_vocabulary_and_salted_codes(spark, monkeypatch):
-    import ledgerlens.operators.encode as EN
     from ledgerlens.plans import joins
     rows = [("HOT" if i % 3 else f"v{i % 11}",) for i in range(900)]
     df = spark.createDataFrame(rows, "c string")
     voc = vocab.vocabulary(df, df.limit(1), ["c"])
-    assert vocab.hot_values(voc, "c", "n_left", partitions=4) == [("HOT",)]
+    assert vocab.hot_values(voc, ["c"], "n_left", partitions=4) == [("c", "HOT", 600)]
     codes = encode.fit_label_codes(df, ["c"])
     want = sorted(encode.apply_label_codes(df, codes, ["c"]).collect())
-    # force the salted path: the lookup is "too big" to broadcast
-    monkeypatch.setattr(EN, "MAX_BROADCAST_BYTES", 0)
-    orig = joins.lookup_join
-    monkeypatch.setattr(EN, "lookup_join", lambda *a, **k: orig(*a, **{**k, "max_broadcast_bytes": 0}))
+    # force the shuffled path: the lookup is "too big" to broadcast
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
     got = sorted(encode.apply_label_codes(
-        df, codes, ["c"], hot_for=lambda a: vocab.hot_values(voc, a, "n_left")).collect())
+        df, codes, ["c"], hot_for=lambda: vocab.hot_values(voc, ["c"], "n_left")).collect())
     assert got == want
+
+
+SIX = ["disposition", *VIEW_FOLD_ATTRIBUTES[:5]]
+
+
+def test_shuffled_lookup_gives_the_rows_of_the_broadcast_one(spark, monkeypatch):
+    from ledgerlens.plans import joins
+    t, s = (df.select("ticket_id", "judgment_amount", *SIX) for df in _tables(spark))
+    s = s.withColumn("violation_code", F.when(F.col("ticket_id") % 7 != 0, F.col("violation_code")))
+    t = t.withColumn("city", F.when(F.col("ticket_id") % 3 != 0, F.lit("HOT")).otherwise(F.col("city")))
+    codes = encode.fit_label_codes(t, SIX, always_include=["NaN"])
+
+    def run():
+        out = [sorted(df.collect(), key=repr) for key in ("ticket_id", None) for df in (
+            *vocab.mutual_vocab(t, s, SIX, key=key), encode.apply_label_codes(t, codes, SIX, key=key),
+            encode.apply_label_codes(s, codes, SIX, "null", "_code", key=key), encode.apply_label_codes(s, codes, SIX, "keep", key=key),
+            encode.decode_label_codes(encode.apply_label_codes(t, codes, SIX), codes, SIX, key=key))]
+        return [[r.asDict() for r in rows] for rows in out]
+
+    want = run()
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", -1)
+    assert run() == want
+    with pytest.raises(Exception, match="unseen label"):
+        encode.apply_label_codes(s, codes.filter("code > 0"), SIX, "error", key="ticket_id").collect()
+
+
+def test_rows_of_equal_content_stay_apart_without_a_key(spark, monkeypatch):
+    from ledgerlens.plans import joins
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), (None, None), ("b", None)], "c string, d string")
+    codes = encode.fit_label_codes(df, ["c", "d"])
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", -1)
+    got = encode.apply_label_codes(df, codes, ["c", "d"])
+    assert got.columns == ["c", "d"]
+    assert sorted(map(tuple, got.collect()), key=repr) == [(0, 0), (0, 0), (1, None), (None, None)]
+
+
+def test_shuffled_lookup_reads_the_input_a_fixed_number_of_times(spark, monkeypatch):
+    """Six attributes: two joins of rows, the input read twice with a key and once (to be written) without."""
+    from ledgerlens.plans import joins
+    t, _ = _tables(spark)
+    t.select("ticket_id", "judgment_amount", *SIX).write.mode("overwrite").parquet(path := f"{spark.sparkContext.getCheckpointDir()}/six")
+    df = spark.read.parquet(path)
+    codes = encode.fit_label_codes(df, SIX)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", -1)
+    sizes = {}
+    for n in (1, 2, 3, 6):
+        out = encode.apply_label_codes(df, codes, SIX[:n], key="ticket_id", hot_for=lambda: [("disposition", "1-URGENT", 400)])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [ticket_id") == 2
+        sizes[n] = len(plan.splitlines())
+    assert sizes[6] == sizes[1]  # only expressions grow
+    written = encode.apply_label_codes(df, codes, SIX, hot_for=lambda: [])._jdf.queryExecution().optimizedPlan().toString()
+    assert written.count("Relation") == 2 and "/six" not in written  # both read the written rows
+
+
+def test_sizes_count_nested_values(spark):
+    from ledgerlens.plans.joins import size_at_most
+    big = spark.createDataFrame([(1, ["x" * 1000], {"k": "y" * 1000})], "a int, b array<string>, c map<string,string>")
+    assert not size_at_most(big, 1500) and size_at_most(big, 4000)
