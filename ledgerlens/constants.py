@@ -347,6 +347,10 @@ GBT_PARAMS = dict(
 # Final logistic regression: L1 penalty, inverse strength C.
 LOGREG_L1_C = 0.1
 
+# Inverse strengths tried for the tickets with and without a hearing date.
+LOGREG_C_GRID = [0.001, 0.01, 0.05, 0.1, 1, 10, 100]
+LOGREG_C_GRID_UNDATED = [0.001, 0.01, 0.05, 0.1, 1, 10, 100, 500, 1000]
+
 # Random forest used for feature importance and the depth grid.
 FOREST_TREES_IMPORTANCE = 100
 FOREST_TREES_GRID = 50

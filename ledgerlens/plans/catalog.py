@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import (MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
+from ..constants import (LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
                          SCORING_CITY_ALIASES, SCORING_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES,
                          TRAIN_CITY_REPLACEMENTS, COUNTRY_FROM_CITY, DAY_PARTS, SENTINEL_DATE)
 from ..functions import text as TX
@@ -25,7 +26,7 @@ from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
                                    geo_lookup, scoring_tickets, tickets, train_tickets,
                                    with_tickets)
-from . import metrics, models
+from . import logistic_path, metrics, models
 from .routing import RouteSpec, encoded_segments, prepare_scoring, prepare_train, routed_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -681,6 +682,14 @@ def q_fold_assign(spark, sf):
     return _labelled(spark, sf).select("ticket_id", segment.fold_of().alias("fold"))
 
 
+@query("fold_stratified", with_tickets("""
+SELECT ticket_id, compliance, CAST((row_number() OVER (PARTITION BY compliance
+  ORDER BY md5('1:' || CAST(ticket_id AS VARCHAR)), CAST(ticket_id AS VARCHAR)) - 1) % 5 AS INTEGER) AS fold FROM lt""", LABELLED_CTE))
+def q_fold_stratified(spark, sf):
+    labelled = _labelled(spark, sf).select("ticket_id", "compliance")
+    return segment.stratified_folds(labelled, "compliance")
+
+
 @query("roc_auc", with_tickets(metrics.roc_auc_sql("lt", "judgment_amount", "compliance"),
                                LABELLED_CTE))
 def q_roc_auc(spark, sf):
@@ -834,6 +843,52 @@ def q_cv_scores(spark, sf):
     return models.cv_scores(lambda n: models.logistic(n_rows=n), t, feats)
 
 
+# ===================================================================== many logistic fits at once
+GRADIENT_FEATURES = ["judgment_amount", "fine_amount", "discount_amount"]
+# Intercept and weights of two fixed models, the second blind to tickets of the first fold.
+GRADIENT_AT = [[0.25, -0.5], [0.000002, -0.000001], [0.00003, 0.0001], [-0.00002, 0.0]]
+
+
+def _gradient_sql() -> str:
+    rows = []
+    for j, held in enumerate((None, 0)):
+        margin = f"({GRADIENT_AT[0][j]}" + "".join(
+            f" + {GRADIENT_AT[i + 1][j]} * {f}" for i, f in enumerate(GRADIENT_FEATURES)) + ")"
+        seen = "TRUE" if held is None else f"fold <> {held}"
+        off = f"(1.0 / (1.0 + exp(-{margin})) - compliance)"
+        rows.append(f"SELECT {j} AS fit, 'loss' AS term, round(sum(ln(1.0 + exp({margin})) - compliance * {margin}), 4) AS value "
+                    f"FROM g WHERE {seen}")
+        for name, x in [("intercept", "1.0"), *[(f, f) for f in GRADIENT_FEATURES]]:
+            rows.append(f"SELECT {j}, '{name}', round(sum({x} * {off}) / 100000.0, 4) FROM g WHERE {seen}")
+    return "\nUNION ALL\n".join(rows)
+
+
+@query("logistic_gradient", with_tickets(_gradient_sql(), LABELLED_CTE + """,
+g AS (SELECT *, (row_number() OVER (PARTITION BY compliance
+  ORDER BY md5('1:' || CAST(ticket_id AS VARCHAR)), CAST(ticket_id AS VARCHAR)) - 1) % 5 AS fold FROM lt)"""))
+def q_logistic_gradient(spark, sf):
+    """Loss and gradient (in 100,000s) of two logistic models in one pass: the step that fits a whole grid."""
+    labelled = _labelled(spark, sf).select("ticket_id", "compliance", *GRADIENT_FEATURES)
+    data = logistic_path.rows_for(segment.stratified_folds(labelled, "compliance"), GRADIENT_FEATURES, "compliance", "fold")
+    loss, gradient = logistic_path.loss_and_gradient(data, np.array(GRADIENT_AT), [None, 0])
+    rows = [(j, "loss", round(float(loss[j]), 4)) for j in range(2)]
+    rows += [(j, name, round(float(gradient[i, j]) / 100000.0, 4))
+             for j in range(2) for i, name in enumerate(["intercept", *GRADIENT_FEATURES])]
+    return spark.createDataFrame(rows, "fit int, term string, value double")
+
+
+@query("logistic_grid")
+def q_logistic_grid(spark, sf):
+    """Hold-out AUC of every inverse strength, penalty and fold, for the dated and the undated tickets; each
+    segment's fits share their passes."""
+    t, _, spec = model_frames(spark, sf)
+    parts = [logistic_path.grid_scores(t.filter(hearing), list(features), strengths).select(F.lit(name).alias("segment"), "*")
+             for name, hearing, features, strengths in (
+                 ("dated", F.col("hearing_date").isNotNull(), spec.dated_features, LOGREG_C_GRID),
+                 ("undated", F.col("hearing_date").isNull(), spec.undated_features, LOGREG_C_GRID_UNDATED))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("score_tickets")
 def q_score_tickets(spark, sf):
     t, s, feats = _dated(spark, sf)
