@@ -347,6 +347,9 @@ GBT_PARAMS = dict(
 # Final logistic regression: L1 penalty, inverse strength C.
 LOGREG_L1_C = 0.1
 
+# Tree counts tried for the boosted trees.
+GBT_TREE_GRID = [90, 100, 110, 120, 130, 140, 150, 160, 170, 180, 190]
+
 # Inverse strengths tried for the tickets with and without a hearing date.
 LOGREG_C_GRID = [0.001, 0.01, 0.05, 0.1, 1, 10, 100]
 LOGREG_C_GRID_UNDATED = [0.001, 0.01, 0.05, 0.1, 1, 10, 100, 500, 1000]

@@ -8,10 +8,11 @@ Scale notes
   partial aggregate runs before the shuffle, so a hot value (one city with a
   third of the rows) is pre-summed on every mapper and crosses the network
   as one row per mapper.
-* Quantiles are exact without holding a group in one task: rows are first
-  reduced to a ``(group, value, count)`` frequency table (distributed,
-  map-side combined); running counts then come from a range-partitioned
-  ranking (``plans.ranking``), balanced even when one group is huge.
+* Quantiles are exact by repeated counting in shrinking ranges
+  (``plans.selection``): no value is sorted or shuffled, and no group sits in
+  one task.  The ranges are held by the driver; with more groups than that
+  allows, rows are reduced to a ``(group, value, count)`` frequency table and
+  positions come from a range-partitioned ranking (``plans.ranking``).
 * Means are plain double means unless the caller states the number of
   decimals (see ``functions.numeric``); nothing is rounded here.
 """
@@ -22,11 +23,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import HISTOGRAM_BINS
 from ..functions.numeric import exact_mean
-from ..session import materialize
+from ..plans import selection
 from ..plans.ranking import ordered_positions
+from ..session import materialize
 
 
 def unpivot_as_text(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = (),
@@ -110,29 +113,78 @@ def quantiles_from_frequencies(freq: DataFrame, value: str, groups: Sequence[str
         for i in range(len(probs))])
 
 
+# Groups whose quantiles are found by counting at most; the driver holds a few ranges for each.  More groups take
+# the frequency table.
+MOST_COUNTED_GROUPS = 2_000
+
+
+def _summaries(df: DataFrame, value: str, groups: Sequence[str], probs: Sequence[float],
+               scale: int | None) -> tuple[list[tuple], DataFrame] | None:
+    """(group values..., count, mean, std, min, max, quantiles...) of each group and the groups' rows, or None if
+    there are more than ``MOST_COUNTED_GROUPS``.  Null groups, null and NaN values are left out."""
+    g = list(groups)
+    data = df.select(*g, selection.number(value).alias("_v"), F.col(value).alias("_raw")).dropna(subset=["_v", *g])
+    data = materialize(data, "values", wide=True)  # read once a pass; a narrow copy, no shuffle
+    mean = F.avg("_v") if scale is None else exact_mean("_raw", scale)
+    moments = data.groupBy(*g).agg(F.count("_v").alias("n"), mean.alias("mean"), F.stddev_samp("_v").alias("std"),
+                                   F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    rows = moments.limit(MOST_COUNTED_GROUPS + 1).collect()
+    if len(rows) > MOST_COUNTED_GROUPS:
+        return None
+    rows = [r for r in rows if r["n"]]
+    key = lambda r: tuple(r[c] for c in g)
+    places = {key(r): selection.quantile_ranks(r["n"], probs) for r in rows}
+    ranks = {k: sorted({r for p in ps for r in p[:2]}) for k, ps in places.items()}
+    found = selection.select_ranks(data, "_v", g, ranks, {key(r): (r["n"], r["lo"], r["hi"]) for r in rows})
+    out = [(*key(r), r["n"], r["mean"], r["std"], r["lo"], r["hi"],
+            *selection.interpolated(found[key(r)], places[key(r)])) for r in rows]
+    return out, data
+
+
 def grouped_quantiles(df: DataFrame, value: str, groups: Sequence[str],
                       probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per group.
 
-    Returns groups + ``q0..qk`` columns.  Works on the frequency table and
-    finds positions with a range-partitioned running count, so neither a
-    group's rows nor its distinct values have to sit in one task.
+    Returns groups + ``q0..qk`` columns; no group's rows or distinct values sit
+    in one task.  Null groups and null or NaN values are left out.
     """
-    return quantiles_from_frequencies(value_frequencies(df, value, groups), value, groups, probs)
+    g = list(groups)
+    found = _summaries(df, value, g, probs, None)
+    if found is None:
+        known = df.filter(selection.number(value).isNotNull())
+        return quantiles_from_frequencies(value_frequencies(known, value, g), value, g, probs)
+    rows, data = found
+    schema = T.StructType([data.schema[c] for c in g] + [T.StructField(f"q{i}", T.DoubleType()) for i in range(len(probs))])
+    return df.sparkSession.createDataFrame([(*r[:len(g)], *r[len(g) + 5:]) for r in rows], schema)
 
 
 def describe_numeric(df: DataFrame, value: str, groups: Sequence[str] = (),
                      scale: int | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max — per group.
 
-    Everything comes from one frequency table (one pass over the rows); the
-    standard deviation is the two-pass centred form.  With ``scale`` the mean
-    is the exact one of amounts with so many decimals (decimal sum).
+    One aggregate and the counting passes of the quantiles.  With ``scale`` the
+    mean is the exact one of amounts with so many decimals (decimal sum).  Null
+    and NaN are no values; without groups and values there is one row of count 0.
     """
     g = list(groups)
-    if not g:
-        df = df.withColumn("_all", F.lit(1))
-        g = ["_all"]
+    kind = df.schema[value].dataType
+    found = _summaries(df, value, g, [0.25, 0.5, 0.75], scale)
+    if found is None:
+        return _describe_by_frequencies(df.filter(selection.number(value).isNotNull()), value, g, scale)
+    rows, data = found
+    rows = rows or ([] if g else [(0, *[None] * 7)])
+    names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    schema = T.StructType([data.schema[c] for c in g] + [
+        T.StructField(n, T.LongType() if n == "count" else T.DoubleType()) for n in names])
+    out = df.sparkSession.createDataFrame(
+        [(*r[:len(g) + 3], r[len(g) + 3], *r[len(g) + 5:], r[len(g) + 4]) for r in rows], schema)
+    return out.withColumns({c: F.col(c).cast(kind) for c in ("min", "max")})
+
+
+def _describe_by_frequencies(df: DataFrame, value: str, groups: Sequence[str], scale: int | None) -> DataFrame:
+    """:func:`describe_numeric` for any number of groups, from one frequency table; the standard deviation is the
+    two-pass centred form."""
+    g = list(groups)
     freq = value_frequencies(df, value, g)
     v = F.col(value).cast("double") if scale is None else F.col(value).cast(f"decimal(28,{scale})")
     moments = freq.groupBy(*g).agg(
@@ -145,12 +197,10 @@ def describe_numeric(df: DataFrame, value: str, groups: Sequence[str] = (),
         F.sum(F.col("_cnt") * (F.col(value) - F.col("_mean")) * (F.col(value) - F.col("_mean")))
         .alias("_ss"))
     qs = quantiles_from_frequencies(freq, value, g, [0.25, 0.5, 0.75])
-    out = (moments.join(spread, g, "inner").join(qs, g, "inner")
-           .select(*g, "count", "mean",
-                   F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
-                   "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"),
-                   "max"))
-    return out.drop("_all") if "_all" in out.columns else out
+    return (moments.join(spread, g, "inner").join(qs, g, "inner")
+            .select(*g, "count", "mean",
+                    F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
+                    "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"))
 
 
 def boxplot_summary(df: DataFrame, value: str, slice_col: str = "slice") -> DataFrame:

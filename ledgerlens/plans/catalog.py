@@ -781,9 +781,10 @@ def _dated(spark, sf):
 
 
 def _fit_and_holdout(spark, sf, make):
+    """``make(rows, bins)``: the estimator for so many rows, with a split point for each label code."""
     t, _, feats = _dated(spark, sf)
     fit_part, hold = segment.holdout_split(t)
-    model = models.fit(make(fit_part.count()), fit_part, feats)
+    model = models.fit(make(fit_part.count(), models.bins_for(fit_part, feats)), fit_part, feats)
     return models.score(model, hold).select("ticket_id", "score")
 
 
@@ -796,22 +797,22 @@ def q_feature_importance(spark, sf):
 
 @query("rf_model")
 def q_rf_model(spark, sf):
-    return _fit_and_holdout(spark, sf, lambda n: models.forest(n_trees=50, max_depth=10))
+    return _fit_and_holdout(spark, sf, lambda n, bins: models.forest(n_trees=50, max_depth=10, max_bins=bins))
 
 
 @query("gbt_model")
 def q_gbt_model(spark, sf):
-    return _fit_and_holdout(spark, sf, lambda n: models.boosted_trees())
+    return _fit_and_holdout(spark, sf, lambda n, bins: models.boosted_trees(max_bins=bins))
 
 
 @query("logreg_model")
 def q_logreg_model(spark, sf):
-    return _fit_and_holdout(spark, sf, lambda n: models.logistic(n_rows=n))
+    return _fit_and_holdout(spark, sf, lambda n, _: models.logistic(n_rows=n))
 
 
 @query("linear_svc")
 def q_linear_svc(spark, sf):
-    return _fit_and_holdout(spark, sf, lambda n: models.linear_svc(1.0, n))
+    return _fit_and_holdout(spark, sf, lambda n, _: models.linear_svc(1.0, n))
 
 
 @query("rff_svc")
@@ -840,7 +841,15 @@ def q_grid_search(spark, sf):
 @query("cv_scores")
 def q_cv_scores(spark, sf):
     t, _, feats = _dated(spark, sf)
-    return models.cv_scores(lambda n: models.logistic(n_rows=n), t, feats)
+    return models.cv_scores(lambda n: models.logistic(n_rows=n), t, feats, stratified=True)
+
+
+@query("gbt_staged")
+def q_gbt_staged(spark, sf):
+    """Held-out AUC after each tree count, one boosted ensemble a fold.  ``constants.GBT_TREE_GRID`` has the
+    analysis's own counts; each fold's fit takes the time of its largest one."""
+    t, _, feats = _dated(spark, sf)
+    return models.staged_cv(models.boosted_trees(max_bins=models.bins_for(t, feats)), t, feats, [10, 20, 30, 40])
 
 
 # ===================================================================== many logistic fits at once

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CV_FOLDS, GBT_PARAMS, LOGREG_L1_C
-from ..operators.segment import fold_of
+from ..operators.segment import fold_of, stratified_folds
 from ..session import materialize
 from .metrics import roc_auc
 
@@ -57,14 +57,18 @@ def checked(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: sure(c) for c in dict.fromkeys(features)})
 
 
-def bins_for(df: DataFrame, features: Sequence[str]) -> int:
-    """``maxBins`` that gives every distinct value of the label codes its own
-    split point: the largest number of distinct values of an integer feature."""
+MOST_BINS = 1024
+
+
+def bins_for(df: DataFrame, features: Sequence[str], most: int = MOST_BINS) -> int:
+    """``maxBins`` that gives every distinct value of the label codes its own split point: the largest code
+    plus one (codes are ranks), 32 at least.  Beyond ``most`` split points are quantiles of the codes, as
+    they are for amounts: a node's statistics take memory in proportion to the bins."""
     codes = [c for c, kind in df.select(*dict.fromkeys(features)).dtypes if kind in ("int", "bigint")]
     if not codes:
         return 32
-    top = df.agg(*[F.countDistinct(c).alias(c) for c in codes]).first()
-    return max(32, *[int(top[c]) for c in codes])
+    top = df.agg(*[F.max(c).alias(c) for c in codes]).first()
+    return max(32, min(most, max(int(top[c] or 0) + 1 for c in codes)))
 
 
 def with_label(df: DataFrame, target: str = "compliance") -> DataFrame:
@@ -138,6 +142,43 @@ def feature_importance(model: PipelineModel, features: Sequence[str], spark) ->
             .orderBy(F.desc("importance"), F.asc("feature")))
 
 
+def staged_scores(model: PipelineModel, df: DataFrame, stages: Sequence[int], keep: Sequence[str] = ("ticket_id",)) -> DataFrame:
+    """(keep..., trees, score): probability of class 1 by the first ``trees`` trees of a fitted boosted ensemble, for
+    each of ``stages``.  All trees score a row in one projection; a prefix of the ensemble is the ensemble that
+    fewer iterations would have given, so a grid of tree counts costs the fit of its largest."""
+    boosted = model.stages[-1]
+    trees, weights = boosted.trees, boosted.treeWeights
+    if not stages or min(stages) < 1 or max(stages) > len(trees):
+        raise ValueError(f"stages must be 1 to {len(trees)}")
+    out = model.stages[0].transform(checked(df, model.stages[0].getInputCols()))
+    for i, tree in enumerate(trees[:max(stages)]):
+        out = tree.setPredictionCol(f"_tree{i}").transform(out)
+    parts = F.array(*[F.col(f"_tree{i}") * F.lit(float(weights[i])) for i in range(max(stages))])
+    margin = lambda k: F.aggregate(F.slice("_parts", 1, k), F.lit(0.0), lambda a, v: a + v)
+    each = F.array(*[F.struct(F.lit(int(k)).alias("trees"), margin(k).alias("margin")) for k in sorted(set(stages))])
+    staged = out.select(*keep, parts.alias("_parts")).select(*keep, F.explode(each).alias("_s"))
+    return staged.select(*keep, "_s.trees", (1.0 / (1.0 + F.exp(-2.0 * F.col("_s.margin")))).alias("score"))
+
+
+def staged_cv(estimator, df: DataFrame, features: Sequence[str], stages: Sequence[int], folds: int = CV_FOLDS,
+              key: str = "ticket_id", label: str = LABEL, parallelism: int = 4) -> DataFrame:
+    """(trees, fold, auc, n_pos, n_neg) of a boosted ensemble's held-out scores after each of ``stages`` trees: one
+    fit a fold, whatever the stages.  Folds keep the classes' shares."""
+    data = materialize(stratified_folds(checked(df, features), label, key, folds).select(
+        key, label, "fold", *dict.fromkeys(features)), "staged_folds", wide=True)
+    most = estimator.copy({estimator.maxIter: max(stages)})
+
+    def one(k: int) -> DataFrame:
+        model = fit(most, data.filter(F.col("fold") != k), features)
+        return staged_scores(model, data.filter(F.col("fold") == k), stages, ("fold", label))
+
+    parts = run_concurrently([lambda k=k: one(k) for k in range(folds)], parallelism)
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    return roc_auc(scored, "score", label, ["trees", "fold"])
+
+
 # --------------------------------------------------------------------------- 70
 def rff_transform(df: DataFrame, input_col: str, n_features: int, n_components: int = 100,
                   gamma: float = 0.1, seed: int = 0, out: str = "rff") -> DataFrame:
@@ -221,15 +262,17 @@ def run_concurrently(tasks: Sequence, parallelism: int) -> list:
 
 def cv_scores(estimator_factory, df: DataFrame, features: Sequence[str],
               folds: int = CV_FOLDS, key: str = "ticket_id", parallelism: int = 4,
-              label: str = LABEL) -> DataFrame:
+              label: str = LABEL, stratified: bool = False) -> DataFrame:
     """(fold, auc, n_pos, n_neg) per held-out fold.  ``estimator_factory(n_rows)``
     builds the estimator for a fit set of ``n_rows`` rows.  A fold whose held-out
-    rows are all of one class has no AUC (null).
+    rows are all of one class has no AUC (null).  Folds follow from the key alone, or
+    keep the classes' shares (``stratified``; rows without a label are left out).
 
     The rows are assembled and written once; all folds' scores are ranked in
     one pass."""
-    data = materialize(assembler(features).transform(checked(df, features)).select(
-        key, label, FEATURES, fold_of(key, folds).alias("fold")), "folds", wide=True)
+    rows = checked(df, features).select(key, label, *dict.fromkeys(features))
+    dealt = stratified_folds(rows, label, key, folds) if stratified else rows.withColumn("fold", fold_of(key, folds))
+    data = materialize(assembler(features).transform(dealt).select(key, label, FEATURES, "fold"), "folds", wide=True)
     n = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(n.values())
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import segment
@@ -29,6 +30,35 @@ def test_models_beat_threshold_on_planted_signal(spark):
         assert metrics.auc_value(models.score(m, hold), "score", "label") > 0.7
 
 
+def test_staged_scores_are_the_scores_of_shorter_ensembles(spark):
+    df = _planted(spark, 1200)
+    fit_part, hold = segment.holdout_split(df)
+    make = lambda n: models.boosted_trees(n_trees=n, subsample=0.8, min_samples_leaf=20)
+    staged = models.staged_scores(models.fit(make(12), fit_part, FEATS), hold, [12, 4, 1])
+    got = {(r["ticket_id"], r["trees"]): r["score"] for r in staged.collect()}
+    for n in (1, 4, 12):
+        for r in models.score(models.fit(make(n), fit_part, FEATS), hold).collect():
+            assert abs(got.pop((r["ticket_id"], n)) - r["score"]) < 1e-12
+    assert not got
+    with pytest.raises(ValueError, match="stages"):
+        models.staged_scores(models.fit(make(2), fit_part, FEATS), hold, [3])
+
+
+def test_staged_cv_last_stage_is_the_fold_score(spark):
+    df = _planted(spark, 1200).withColumn("code", (F.col("ticket_id") % 50).cast("int"))
+    feats = [*FEATS, "code"]
+    assert models.bins_for(df, feats) == 50 and models.bins_for(df, feats, most=40) == 40 and models.bins_for(df, FEATS) == 32
+    est = models.boosted_trees(n_trees=99, min_samples_leaf=20)
+    staged = models.staged_cv(est, df, feats, [2, 8], folds=3).collect()
+    assert sorted((r["trees"], r["fold"]) for r in staged) == [(t, f) for t in (2, 8) for f in range(3)]
+    whole = {r["fold"]: r for r in models.cv_scores(lambda n: models.boosted_trees(n_trees=8, min_samples_leaf=20), df, feats, 3,
+                                                    stratified=True).collect()}
+    for r in staged:
+        assert abs(r["n_pos"] - whole[0]["n_pos"]) <= 1
+        if r["trees"] == 8:
+            assert abs(r["auc"] - whole[r["fold"]]["auc"]) < 1e-9
+
+
 def test_rff_svc_and_importance(spark):
     df = _planted(spark, 1500)
     scaler, svc = models.fit_rff_svc(df, FEATS, c=1.0, gamma=0.2, n_components=32)
