@@ -347,6 +347,19 @@ GBT_PARAMS = dict(
 # Final logistic regression: L1 penalty, inverse strength C.
 LOGREG_L1_C = 0.1
 
+# Changes tried to the regularised boosting, one at a time.
+BOOSTING_GRID = [
+    {},
+    {"max_depth": 3},
+    {"max_depth": 6},
+    {"min_child_weight": 5.0},
+    {"gamma": 0.2},
+    {"subsample": 0.6},
+    {"colsample": 0.7},
+    {"reg_alpha": 0.1},
+    {"reg_alpha": 1.0},
+]
+
 # Tree counts tried for the boosted trees.
 GBT_TREE_GRID = [90, 100, 110, 120, 130, 140, 150, 160, 170, 180, 190]
 

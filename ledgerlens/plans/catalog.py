@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import (LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
+from ..constants import (BOOSTING_GRID, LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
                          SCORING_CITY_ALIASES, SCORING_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES,
                          TRAIN_CITY_REPLACEMENTS, COUNTRY_FROM_CITY, DAY_PARTS, SENTINEL_DATE)
 from ..functions import text as TX
@@ -26,7 +26,7 @@ from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
                                    geo_lookup, scoring_tickets, tickets, train_tickets,
                                    with_tickets)
-from . import logistic_path, metrics, models
+from . import boosting, logistic_path, metrics, models
 from .routing import RouteSpec, encoded_segments, prepare_scoring, prepare_train, routed_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -898,6 +898,52 @@ def q_logistic_grid(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+# ===================================================================== second-order boosting
+HISTOGRAM_EDGES = {"judgment_amount": [50000.0, 100000.0, 150000.0, 200000.0, 300000.0], "fine_amount": [0.0, 2500.0, 5000.0, 7500.0],
+                   "discount_amount": [0.0, 500.0]}
+
+
+def _boosting_histogram_sql() -> str:
+    parts = []
+    for f, edges in HISTOGRAM_EDGES.items():
+        place = " + ".join(f"CASE WHEN {f} > {e} THEN 1 ELSE 0 END" for e in edges)
+        parts.append(f"SELECT '{f}' AS feature, CAST({place} AS INTEGER) AS bin, CAST(sum(floor((p - compliance) * 16777216.0 + 0.5)) AS BIGINT) AS g, "
+                     f"CAST(sum(floor(p * (1.0 - p) * 16777216.0 + 0.5)) AS BIGINT) AS h FROM q GROUP BY 2")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("boosting_histogram", with_tickets(_boosting_histogram_sql(), LABELLED_CTE + """,
+q AS (SELECT *, (SELECT avg(compliance) FROM lt) AS p FROM lt)"""))
+def q_boosting_histogram(spark, sf):
+    """Gradient and hessian sums of the first node of a boosted tree, by feature and bin: the step that grows trees."""
+    names = list(HISTOGRAM_EDGES)
+    data = boosting.rows_for(_labelled(spark, sf).select("ticket_id", "compliance", *names), names,
+                             [np.array(e) for e in HISTOGRAM_EDGES.values()], "compliance")
+    base = data.agg(F.avg("y")).first()[0]
+    fit = boosting.Fit(boosting.Params(subsample=1.0))
+    model = boosting.Ensemble(names, [np.array(e) for e in HISTOGRAM_EDGES.values()], fit, float(np.log(base / (1.0 - base))))
+    sums = boosting.histograms(data, [model], [boosting.Tree(1)], 0, 0, [range(len(names))])
+    return sums.select(F.element_at(F.array(*map(F.lit, names)), F.col("feature") + 1).alias("feature"), "bin", "g", "h")
+
+
+@query("second_order_boosting")
+def q_second_order_boosting(spark, sf):
+    """Hold-out scores of regularised second-order boosting."""
+    t, _, feats = _dated(spark, sf)
+    fit_part, hold = segment.holdout_split(t)
+    edges = boosting.bin_edges(fit_part, feats)
+    params = boosting.Params(trees=10, max_depth=5, gamma=0.2, colsample=0.7, reg_alpha=0.1)
+    (model,) = boosting.fit_many(boosting.rows_for(fit_part, feats, edges), feats, edges, [boosting.Fit(params)])
+    return boosting.score(hold, model).select("ticket_id", "score")
+
+
+@query("second_order_grid")
+def q_second_order_grid(spark, sf):
+    """Held-out AUC of one change at a time of the regularised boosting's parameters, all fits grown side by side."""
+    t, _, feats = _dated(spark, sf)
+    return boosting.grid_scores(t, feats, BOOSTING_GRID, boosting.Params(trees=4, max_depth=4))
+
+
 @query("score_tickets")
 def q_score_tickets(spark, sf):
     t, s, feats = _dated(spark, sf)
