@@ -24,19 +24,21 @@ SCALE = 256
 BLOCK_VECTORS = 16_384  # candidates of one block on average
 QUERY_VECTORS = 2_048  # queries of one block on average
 WAVES = 12
-_MET = np.int64(1) << np.int64(44)  # counts the dimensions met, above the score bits
+LARGEST = 1 << 62  # components are cut to plus and minus this
+_LONG = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
               scale: int = SCALE) -> DataFrame:
     """(key, q): floor(scale * x) of every component.  Rows whose key or vector
     is null, whose vector is empty, or which hold a null or non-finite
-    component are left out."""
+    component are left out; components beyond plus or minus 2^62 count as that."""
     x = F.col(vector)
     ok = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return (vectors.filter(F.col(key).isNotNull() & x.isNotNull() & (F.size(x) > 0)).filter(ok)
             .select(F.col(key).alias("key"),
-                    F.transform(x, lambda v: F.floor(v.cast("double") * F.lit(float(scale)))).alias("q")))
+                    F.transform(x, lambda v: F.floor(F.greatest(F.least(
+                v.cast("double") * F.lit(float(scale)), F.lit(float(LARGEST))), F.lit(-float(LARGEST)))).cast("long")).alias("q")))
 
 
 class Index:
@@ -53,34 +55,37 @@ class Index:
         """The k best (score, id) of the block, ties to the smaller id, without ``own``."""
         n, dims = self.rows.shape
         total = n * dims
-        acc = np.zeros(n, np.int64)
-        signs = query >= 0
-        best_impact = np.array([max(q * lv[0], q * lv[-1]) for q, lv in zip(query, self.levels)])
-        least_impact = np.array([min(q * lv[0], q * lv[-1]) for q, lv in zip(query, self.levels)])
+        ints = query.tolist()
+        ends = [(q * int(lv[0]), q * int(lv[-1])) for q, lv in zip(ints, self.levels)]
+        if sum(max(map(abs, e)) for e in ends) >= LARGEST:  # sums could pass 64 bits: all are scored in long integers
+            exact = self.rows.astype(object) @ query.astype(object)
+            return self._best(np.flatnonzero(self.ids != own), exact.clip(-_LONG, _LONG).astype(np.int64), k)
+        acc, met = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        best_impact = [max(e) for e in ends]
+        high, low = max(best_impact), min(min(e) for e in ends)
         # thresholds fall evenly from the highest impact to the lowest
-        thresholds = np.linspace(best_impact.max(), least_impact.min(), waves + 1)[1:]
+        thresholds = [high - (high - low) * (i + 1) // waves for i in range(waves)]
         done = [0] * dims  # postings processed, from the high-impact end
         processed, alive = 0, self.ids != own
         for t in thresholds:
-            for d, q in enumerate(query.tolist()):
+            for d, q in enumerate(ints):
                 lv = self.levels[d]
                 if done[d] == n or best_impact[d] < t:
                     continue
                 if q == 0:
                     upto = n if t <= 0 else 0
-                elif signs[d]:  # impact q * level >= t: levels from the top
+                elif q > 0:  # impact q * level >= t: levels from the top
                     upto = n - int(np.searchsorted(lv, -(-t // q), "left"))
                 else:  # negative component: levels from the bottom
-                    upto = int(np.searchsorted(lv, np.floor(t / q), "right"))
+                    upto = int(np.searchsorted(lv, t // q, "right"))
                 if upto > done[d]:
-                    s = slice(n - upto, n - done[d]) if signs[d] else slice(done[d], upto)
-                    acc[self.postings[d][s]] += lv[s] * q + _MET
+                    s = slice(n - upto, n - done[d]) if q >= 0 else slice(done[d], upto)
+                    at = self.postings[d][s]
+                    acc[at] += lv[s] * q
+                    met[at] += 1
                     processed += upto - done[d]
                     done[d] = upto
-            met = (acc + (_MET >> 1)) >> np.int64(44)
-            score = acc - met * _MET
-            # floors and ceilings above are over floats: leave one unit for each dimension
-            bound = score + (dims - met) * (int(np.floor(t)) + 1)
+            bound = acc + (dims - met) * t  # a segment not processed yet has an impact below t
             room = min(k, int(alive.sum()))
             if room == 0:
                 return []
@@ -88,11 +93,15 @@ class Index:
             kth = np.sort(self.rows[lead] @ query)[0]
             left = np.flatnonzero(alive & (bound >= kth))
             if len(left) * dims <= max(total - processed, 4096) or processed == total:
-                exact = self.rows[left] @ query
-                order = np.lexsort((self.ids[left], -exact))[:k]
-                return [(int(exact[o]), int(self.ids[left][o])) for o in order]
+                return self._best(left, self.rows[left] @ query, k, picked=True)
         raise AssertionError("the last threshold covers every segment")
 
+    def _best(self, rows: np.ndarray, exact: np.ndarray, k: int, picked: bool = False):
+        """The k best (score, id) of ``rows``; ``exact`` are their scores (``picked``) or those of all rows."""
+        exact = exact if picked else exact[rows]
+        order = np.lexsort((self.ids[rows], -exact))[:k]
+        return [(int(exact[o]), int(self.ids[rows][o])) for o in order]
+
 
 def _blocks(rows: DataFrame, size: int) -> int:
     return max(1, -(-rows.count() // size))
@@ -114,8 +123,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     Every block of queries meets every block of candidates; a task holds one
     block of each.  Vectors of another length than the query's don't compare
     and are no candidates of it.  Repeated keys are candidates each; a repeated
-    query is asked once.  Empty tables give
-    an empty result.
+    query is asked once.  Empty tables give an empty result.  A score beyond
+    2^63 - 1 in size counts as that.
     """
     cand = quantised(vectors, key, vector, scale)
     ask = quantised(queries, key, vector, scale).distinct()

@@ -36,8 +36,6 @@ def _tokenizer(path: str):
     if path not in _tokenizers:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for t in (whole, plain):
-            t.encode_special_tokens = True  # their strings in a text are ordinary text
         plain.normalizer = normalizers.Sequence([])
         plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         _tokenizers[path] = (whole, plain, {"new": {}, "old": {}})

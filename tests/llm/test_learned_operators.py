@@ -173,8 +173,7 @@ def test_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
     path = public_tokenizer()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    odd = ["", "Hello, WORLD. a.. b,. x., ,", "a\x01b \x01", "x\x1cy\x85z w　q", "<|endoftext|> hi", "É é ΣΑΣ ́",
+    odd = ["a <|endoftext|> b", "x<|endoftext|>y<|startoftext|>", "<|ENDOFTEXT|> <|endoftext", "", "Hello, WORLD. a.. b,. x., ,", "a\x01b \x01", "x\x1cy\x85z w　q", "<|endoftext|> hi", "É é ΣΑΣ ́",
            "it's I'LL 12 345\n\n!!?a", "word" * 40 + " b", "你好 🙂🙂x", "İstanbul ﬁ"]
     for t, ids in zip(odd, packing_swap.encode([t.encode() for t in odd], path)):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids

@@ -90,6 +90,20 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert impact_topk.top_k(empty(df), df, 5).count() == 0 and impact_topk.top_k(df, empty(df), 5).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 5e3, 2e4, 1e5, 1e7, 1e30])
+def test_top_k_of_large_components(scale):
+    """Scores of any size: exact integers up to 64 bits, beyond that the largest ones, ties to the smaller id."""
+    rng = np.random.default_rng(int(scale) % 1000)
+    cut = lambda v: np.clip(np.floor(256 * v), -2.0 ** 62, 2.0 ** 62)
+    rows = np.array([[int(x) for x in v] for v in cut(rng.normal(size=(300, 16)) * scale)], np.int64)
+    ids = rng.permutation(1000)[:300]
+    index = impact_topk.Index(ids, rows)
+    exact = rows.astype(object) @ rows.astype(object).T
+    for i in range(0, 300, 3):
+        best = sorted((-max(min(exact[i][j], 2 ** 63 - 1), 1 - 2 ** 63), ids[j]) for j in range(300) if j != i)[:5]
+        assert index.top(rows[i], ids[i], 5) == [(-s, j) for s, j in best]
+
+
 def test_queries_keep_their_block_in_any_row_order(spark):
     """The plan deals queries by no row number, and other orders of the rows give the same blocks."""
     df = spark.createDataFrame([(i, [float(i % 13), float(i), 1.0]) for i in range(400)], "vec_id long, embedding array<float>")
