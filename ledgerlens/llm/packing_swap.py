@@ -24,7 +24,7 @@ CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 16_384  # pieces of one group on average
 REPACK_BELOW = 0.98  # bins filled less than this are dealt again
-WORD_CACHE = 400_000  # words whose ids a worker remembers in each of two generations
+WORD_CACHE = 900_000  # words whose ids a worker remembers in each of two generations
 LONG_WORD = 48  # longer words are not remembered
 
 _tokenizers: dict = {}
