@@ -4,7 +4,9 @@
 joined by key like any fact table (Spark/AQE choose the strategy from real
 sizes).  ``latlons`` has one row per distinct address; it is the lookup side
 and goes through the size-checked lookup join (broadcast when small, salted
-when not: one address can be on a large share of tickets).
+when not: one address can be on a large share of tickets).  Tickets and
+addresses that lie bucketed by ticket (``session.bucketed``) are joined
+without a shuffle.
 """
 
 from __future__ import annotations

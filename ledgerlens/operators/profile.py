@@ -75,6 +75,23 @@ def rate_by_attributes(df: DataFrame, attributes: Sequence[str],
             .orderBy("attribute", F.desc("rate"), "value"))
 
 
+def rate_by_sets(df: DataFrame, sets: Sequence[Sequence[str]], target: str = "compliance") -> DataFrame:
+    """(grouping, value, rate, n): mean target and count per value of each attribute or combination of attributes
+    (``sets``), in one Expand and one aggregate.  ``grouping`` names the attributes and ``value`` their values as text,
+    joined by " * "; a combination with a null value is no group."""
+    columns = sorted({c for s in sets for c in s})
+    found = df.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.grouping_id().alias("_set"), F.avg(F.col(target)).alias("rate"), F.count(F.col(target)).alias("n"))
+    name = value = F.lit(None).cast("string")
+    for s in sets:
+        # bit i from the right: the i-th column from the end is not in the set
+        this = F.col("_set") == sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s)
+        name = F.when(this, F.lit(" * ".join(s))).otherwise(name)
+        joined = [x for c in s for x in (F.lit(" * "), F.col(c).cast("string"))][1:]
+        value = F.when(this, F.concat(*joined)).otherwise(value)
+    return found.select(name.alias("grouping"), value.alias("value"), "rate", "n").filter(F.col("value").isNotNull())
+
+
 def frequency_by(df: DataFrame, attribute: str, measure: str, scale: int | None = None) -> DataFrame:
     """Mean of ``measure`` and count per value, most frequent first."""
     return (df.filter(F.col(attribute).isNotNull())

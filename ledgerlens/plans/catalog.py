@@ -21,7 +21,8 @@ from ..constants import (BOOSTING_GRID, LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MI
 from ..functions import text as TX
 from ..functions.numeric import unit_hash_sql
 from ..functions.temporal import calendar_parts, day_part_flags, parse_timestamp, sentinel_date
-from ..operators import clean, encode, filters, profile, segment, vocab
+from ..operators import clean, encode, filters, geo, profile, segment, vocab
+from ..session import bucketed
 from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
                                    geo_lookup, scoring_tickets, tickets, train_tickets,
@@ -86,6 +87,21 @@ def q_geo_lookup(spark, sf):
     return geo_lookup(spark, sf)
 
 
+@query("ticket_coordinates", """
+SELECT o.o_orderkey AS ticket_id, c.c_name AS address, n.n_nationkey * 1.5 AS lat, n.n_regionkey * 10.0 AS lon
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def q_ticket_coordinates(spark, sf):
+    """Ticket -> address -> coordinates: tickets and addresses lie bucketed by ticket, so neither is shuffled to be joined."""
+    orders = read_table(spark, sf, "orders")
+    customer = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    addresses = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
+        F.col("o_orderkey").alias("ticket_id"), F.col("c_name").alias("address"))
+    latlons = customer.join(read_table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey").select(
+        F.col("c_name").alias("address"), (F.col("c_nationkey") * 1.5).alias("lat"), (F.col("n_regionkey") * 10.0).alias("lon"))
+    return geo.attach_coordinates(bucketed(orders.select(F.col("o_orderkey").alias("ticket_id")), "ticket_id"),
+                                  bucketed(addresses, "ticket_id"), latlons)
+
+
 # ===================================================================== projections / filters
 @query("drop_leakage", with_tickets("SELECT * EXCLUDE (payment_status) FROM train_tickets"))
 def q_drop_leakage(spark, sf):
@@ -278,6 +294,27 @@ def q_rate_by_attribute(spark, sf):
     return profile.rate_by_attributes(df, RATE_VIEW_ATTRIBUTES)
 
 
+RATE_SETS = [["agency_name"], ["city"], ["disposition"], ["state"], ["violation_code"], ["agency_name", "disposition"], ["state", "violation_code"],
+             ["city", "disposition"]]
+
+
+def _grouping_sets_sql(sets) -> str:
+    columns = sorted({c for s in sets for c in s})
+    bits = {c: len(columns) - 1 - i for i, c in enumerate(columns)}
+    whens = " ".join(f"WHEN {sum(1 << bits[c] for c in columns if c not in s)} THEN {_q(' * '.join(s))}" for s in sets)
+    values = " ".join(f"WHEN {sum(1 << bits[c] for c in columns if c not in s)} THEN " + " || ' * ' || ".join(
+        f"CAST({c} AS VARCHAR)" for c in s) for s in sets)
+    return (f"SELECT CASE g {whens} END AS grouping, CASE g {values} END AS value, rate, n FROM (SELECT {', '.join(columns)}, "
+            f"grouping({', '.join(columns)}) AS g, avg(compliance) AS rate, count(compliance) AS n FROM lt GROUP BY GROUPING SETS ("
+            + ", ".join(f"({', '.join(s)})" for s in sets) + ")) WHERE value IS NOT NULL")
+
+
+@query("rate_by_pairs", with_tickets(_grouping_sets_sql(RATE_SETS), LABELLED_CTE))
+def q_rate_by_pairs(spark, sf):
+    """Single attributes and chosen pairs in one Expand and one aggregate."""
+    return profile.rate_by_sets(_labelled(spark, sf), RATE_SETS)
+
+
 @query("freq_by_category", with_tickets("""
 SELECT city, round(avg(judgment_amount), 6) AS mean,
        count(judgment_amount) AS n
@@ -542,6 +579,43 @@ def q_country_from_city(spark, sf):
     return clean.country_from_city(part).select("p_partkey", "country")
 
 
+# Spellings as clerks write them; every rule table has values that hit.
+CITY_SPELLINGS = ["Detroit", "det roit", "Deteoit", "DETROIT,", "LOS ANGLES", "las vagas", "San Dieego", "Windsor Canada", "Sydney, Austria",
+                  "London England", "TAIWAN", "Singaproe", "New Your", "Sterling Heights", None, "Cleve.land"]
+
+
+def _address_sql() -> str:
+    spelled = "(['" + "', '".join(c or "?" for c in CITY_SPELLINGS) + f"'])[c_custkey % {len(CITY_SPELLINGS)} + 1]"
+    return f"""
+WITH a AS (SELECT c_custkey, nullif({spelled}, '?') AS city,
+  CASE c_custkey % 4 WHEN 0 THEN 'P.O. bOx ' || c_custkey WHEN 1 THEN c_custkey || ' Mile Rd' WHEN 2 THEN n_name END AS address
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, {_city_sql('city', TRAIN_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES)} AS city_train,
+  {_city_sql("coalesce(city, 'DETROIT')", SCORING_CITY_REPLACEMENTS, SCORING_CITY_ALIASES)} AS city_scoring,
+  {_alias_sql("replace(upper(city), ' ', '')", SCORING_CITY_ALIASES)} AS city_alias,
+  {_last_wins_sql("upper(city)", COUNTRY_FROM_CITY, "'USA'")} AS country,
+  CASE WHEN coalesce(regexp_matches(address, {_q(PO_BOX_PATTERN)}), false) THEN 1 ELSE 0 END AS address_BOX,
+  CASE WHEN coalesce(regexp_matches(address, {_q(MILE_PATTERN)}), false) THEN 1 ELSE 0 END AS address_MILE FROM a"""
+
+
+@query("address_rules", _address_sql())
+def q_address_rules(spark, sf):
+    """City, alias, country, PO-box and mile rules on customers whose city and address are written in many ways."""
+    customer = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    key, spelled = F.col("c_custkey"), F.array(*map(F.lit, CITY_SPELLINGS))
+    address = (F.when(key % 4 == 0, F.concat(F.lit("P.O. bOx "), key.cast("string")))
+               .when(key % 4 == 1, F.concat(key.cast("string"), F.lit(" Mile Rd"))).when(key % 4 == 2, F.col("n_name")))
+    a = customer.join(nation, "c_nationkey", "left").select(
+        "c_custkey", F.get(spelled, (key % len(CITY_SPELLINGS)).cast("int")).alias("city"), address.alias("mailing_address_str_name"))
+    a = a.withColumns({"city_train": F.col("city"), "city_scoring": F.col("city"), "country": F.lit("USA"),
+                       "upper_city": F.upper("city"), "city_alias": F.replace(F.upper("city"), F.lit(" "), F.lit(""))})
+    a = clean.normalise_city(a, "city_train", "train")
+    a = clean.normalise_city(clean.fill_default(a, "city_scoring"), "city_scoring", "scoring")
+    a = clean.country_from_city(clean.apply_aliases(a, "city_alias", SCORING_CITY_ALIASES), "upper_city")
+    return clean.add_text_flags(a).select("c_custkey", "city_train", "city_scoring", "city_alias", "country", "address_BOX", "address_MILE")
+
+
 # ===================================================================== time
 @query("seconds_between", with_tickets(
     f"SELECT ticket_id, {TTH_SQL} AS time_to_hearing FROM tickets"))
@@ -742,22 +816,45 @@ def _view_spec() -> RouteSpec:
         collapse_rules=[], city_rules=True)
 
 
-def _fixed_scorer(t_seg, s_seg, feats, seg):
-    s1 = F.col("judgment_amount") / (F.col("judgment_amount") + F.lit(100000.0))
-    s2 = F.col("late_fee") / (F.col("late_fee") + F.lit(20000.0))
-    score = (s1 + s2) / F.lit(2.0) if seg == "dated" else s1
-    return s_seg.select("ticket_id", score.alias("compliance"))
+# A fixed formula in place of the models, over every encoded column: wrong folding, fitting, codes or seconds show.
+MIX = [2, 3, 5, 7, 11, 13, 17]  # a factor for each encoded column
+MIX_MOD = 1009
 
 
-@query("routed_score", with_tickets(f"""
-SELECT ticket_id, CAST(1.0 AS DOUBLE) AS compliance FROM scoring_tickets
-  WHERE coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false)
-UNION ALL
-SELECT ticket_id, (({S1_SQL}) + ({S2_SQL})) / 2.0 FROM scoring_tickets
-  WHERE NOT coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false) AND hearing_date IS NOT NULL
+def _fixed_scorer(t_seg, s_seg, feats, seg):
+    mixed = sum((F.col(a) * m for a, m in zip(ENCODE_VIEW[1:], MIX[1:])), F.col(ENCODE_VIEW[0]) * MIX[0])
+    by_code = F.pmod(mixed, F.lit(MIX_MOD)).cast("double") / F.lit(float(MIX_MOD))
+    time = F.col("time_to_hearing").cast("double")
+    s2 = time / (F.abs(time) + F.lit(1000000.0)) if seg == "dated" else F.col("judgment_amount") / (
+        F.col("judgment_amount") + F.lit(100000.0))
+    return s_seg.select("ticket_id", ((by_code + s2) / F.lit(2.0)).alias("compliance"))
+
+
+def _routed_sql() -> str:
+    city = {side: _city_sql(c, r, a) for side, c, r, a in (
+        ("t", "city", TRAIN_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES),
+        ("s", "coalesce(city, 'DETROIT')", SCORING_CITY_REPLACEMENTS, SCORING_CITY_ALIASES))}
+    plain = [a for a in ENCODE_VIEW if a not in ("city", "zip_code")]
+    ctes = [f"p{x} AS (SELECT ticket_id, hearing_date, judgment_amount, {TTH_SQL} AS tth, {city[x]} AS city, "
+            f"coalesce(zip_code, 'NaN') AS zip_code, {', '.join(plain)} FROM {x})" for x in "ts"]
+    for x, y in ("ts", "st"):
+        folded = ", ".join(f"CASE WHEN {a} IN (SELECT {a} FROM p{y} WHERE {a} IS NOT NULL) THEN {a} ELSE 'NaN' END AS {a}"
+                           for a in VIEW_FOLD_ATTRIBUTES)
+        ctes.append(f"f{x} AS (SELECT ticket_id, hearing_date, judgment_amount, tth, disposition, {folded} FROM p{x})")
+    values = " UNION ".join(f"SELECT '{a}' AS attribute, {a} AS value FROM ft UNION SELECT '{a}', 'NaN'" for a in ENCODE_VIEW)
+    ctes.append(f"codes AS (SELECT attribute, value, dense_rank() OVER (PARTITION BY attribute ORDER BY value) - 1 AS code FROM ({values}))")
+    joins = " ".join(f"JOIN codes c{i} ON c{i}.attribute = '{a}' AND c{i}.value = fs.{a}" for i, a in enumerate(ENCODE_VIEW))
+    mixed = " + ".join(f"{m} * c{i}.code" for i, m in enumerate(MIX[:len(ENCODE_VIEW)]))
+    ctes.append(f"m AS (SELECT fs.ticket_id, hearing_date, judgment_amount, CAST(tth AS DOUBLE) AS tth, "
+                f"CAST(({mixed}) % {MIX_MOD} AS DOUBLE) / {MIX_MOD}.0 AS by_code FROM fs {joins})")
+    return with_tickets(f"""
+SELECT ticket_id, CAST(1.0 AS DOUBLE) AS compliance FROM scoring_tickets WHERE NOT ({NOT_WAIVED_SQL})
 UNION ALL
-SELECT ticket_id, {S1_SQL} FROM scoring_tickets
-  WHERE NOT coalesce(contains(disposition, {_q(WAIVED_DISPOSITION)}), false) AND hearing_date IS NULL"""))
+SELECT ticket_id, (by_code + CASE WHEN hearing_date IS NOT NULL THEN tth / (abs(tth) + 1000000.0) ELSE {S1_SQL} END) / 2.0 FROM m""",
+                        NW_CTE + ",\n" + ",\n".join(ctes))
+
+
+@query("routed_score", _routed_sql())
 def q_routed_score(spark, sf):
     tr, sc = both_periods(spark, sf)
     return routed_scores(tr, sc, _view_spec(), scorer=_fixed_scorer, inputs_materialized=True)

@@ -111,3 +111,16 @@ def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataF
     path = f"{_own_folder(spark, root)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int | None = None, name: str = "bucketed") -> DataFrame:
+    """``df`` written to the shared folder as a table bucketed and sorted by ``key`` (one file a bucket) and read
+    back.  Tables with as many buckets (the shuffle partitions, if not given) are joined and grouped by ``key``
+    without a shuffle, as often as they are read; writing shuffles once."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark, ensure_checkpoint_dir(spark).rstrip('/'))}/{table}"
+    (df.repartition(buckets, key).write.mode("error").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)

@@ -68,3 +68,55 @@ def test_salted_join_spreads_null_and_hot_keys(spark):
         assert max(sizes) <= 2 * sum(sizes) / len(sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_pairs_are_one_expand_and_one_aggregate(spark):
+    from ledgerlens.operators import profile
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 0.0), ("b", None, 1.0), (None, "x", None)], "k string, v string, compliance double")
+    out = profile.rate_by_sets(df, [["k"], ["v"], ["k", "v"]])
+    plan = _plan(out)
+    assert plan.count("Expand") == 1 and plan.count("Exchange hashpartitioning") == 1
+    rows = {(r["grouping"], r["value"]): (r["rate"], r["n"]) for r in out.collect()}
+    assert rows == {("k", "a"): (0.5, 2), ("k", "b"): (1.0, 1), ("v", "x"): (1.0, 1), ("v", "y"): (0.0, 1),
+                    ("k * v", "a * x"): (1.0, 1), ("k * v", "a * y"): (0.0, 1)}
+
+
+def test_bucketed_tickets_meet_addresses_without_a_shuffle(spark):
+    from ledgerlens.operators.geo import attach_coordinates
+    from ledgerlens.session import bucketed
+    tickets = spark.range(500).withColumnRenamed("id", "ticket_id")
+    addresses = spark.range(0, 600, 2).select(F.col("id").alias("ticket_id"), (F.col("id") % 7).cast("string").alias("address"))
+    latlons = spark.range(5).select(F.col("id").cast("string").alias("address"), F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_coordinates(bucketed(tickets, "ticket_id", 4), bucketed(addresses, "ticket_id", 4), latlons)
+        assert "Exchange hashpartitioning(ticket_id" not in _plan(out)
+        shuffled = attach_coordinates(tickets, addresses, latlons)
+        assert "Exchange hashpartitioning(ticket_id" in _plan(shuffled)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert sorted(out.collect(), key=repr) == sorted(shuffled.select(out.columns).collect(), key=repr)
+    rows = {r["ticket_id"]: r["lat"] for r in out.collect()}
+    assert len(rows) == 500 and rows[4] == 1.5 and rows[6] is None and rows[3] is None
+
+
+def test_routed_score_shows_broken_folding_fitting_and_coding(spark, monkeypatch):
+    from ledgerlens.operators import encode, filters
+    from ledgerlens.plans import catalog, routing
+    run = lambda: sorted(map(tuple, catalog.QUERIES["routed_score"](spark, SF001).collect()))
+    right = run()
+    fit, apply, seconds = encode.fit_folded_codes, encode.apply_folded_codes, filters.with_time_to_hearing
+    broken = {
+        "fold": (routing.encode, "fit_folded_codes", lambda voc, fold, enc, s: fit(voc.withColumn("n_right", F.col("n_left")), fold, enc, s)),
+        "codes": (routing.encode, "fit_folded_codes", lambda *a: (fit(*a)[0].withColumn("code", F.col("code") + 1), fit(*a)[1])),
+        "apply": (routing.encode, "apply_folded_codes", lambda df, c, enc, n, **k: apply(df, c, enc, n, **k).withColumn(enc[0], F.lit(0))),
+        "time": (routing.filters, "with_time_to_hearing", lambda df: seconds(df).withColumn("time_to_hearing", F.lit(5)))}
+    for what, (module, name, wrong) in broken.items():
+        with monkeypatch.context() as m:
+            m.setattr(module, name, wrong)
+            try:
+                assert run() != right, what
+            except AssertionError:
+                raise
+            except Exception:  # noqa: BLE001 - an error is as good as a difference
+                pass
