@@ -15,19 +15,19 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import (BOOSTING_GRID, LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
+from ..constants import (BOOSTING_GRID, FOREST_TREES_GRID, FOREST_TREES_IMPORTANCE, LOGREG_C_GRID, LOGREG_C_GRID_UNDATED, MILE_PATTERN, ORGANISATION_PATTERNS, PO_BOX_PATTERN,
                          SCORING_CITY_ALIASES, SCORING_CITY_REPLACEMENTS, TRAIN_CITY_ALIASES,
                          TRAIN_CITY_REPLACEMENTS, COUNTRY_FROM_CITY, DAY_PARTS, SENTINEL_DATE)
 from ..functions import text as TX
 from ..functions.numeric import unit_hash_sql
 from ..functions.temporal import calendar_parts, day_part_flags, parse_timestamp, sentinel_date
 from ..operators import clean, encode, filters, geo, profile, segment, vocab
-from ..session import bucketed
+from ..session import bucketed, materialize
 from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
                                    geo_lookup, scoring_tickets, tickets, train_tickets,
                                    with_tickets)
-from . import boosting, logistic_path, metrics, models
+from . import boosting, deep_forest, logistic_path, metrics, models
 from .routing import RouteSpec, encoded_segments, prepare_scoring, prepare_train, routed_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -885,11 +885,35 @@ def _fit_and_holdout(spark, sf, make):
     return models.score(model, hold).select("ticket_id", "score")
 
 
+AMOUNTS_VIEW = ["fine_amount", "late_fee", "discount_amount", "judgment_amount"]
+RAW_ATTRIBUTES = ["agency_name", "violator_name", "state", *ENCODE_VIEW]
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
+    """Importances in forests of 100 fully grown trees, for the dated and the undated tickets, before cleaning (all
+    labelled tickets, codes of the values as they are) and after it."""
+    t, _, spec = model_frames(spark, sf)
+    raw = filters.with_time_to_hearing(models.with_label(clean.fill_sentinel(_labelled(spark, sf), RAW_ATTRIBUTES)))
+    raw = materialize(raw, "raw_tickets", wide=True)
+    raw = encode.apply_label_codes(raw, encode.fit_label_codes(raw, RAW_ATTRIBUTES), RAW_ATTRIBUTES, key="ticket_id")
+    dated = F.col("hearing_date").isNotNull()
+    rows = []
+    for name, df, features in (
+            ("dated, before cleaning", raw.filter(dated), [*RAW_ATTRIBUTES, *AMOUNTS_VIEW, "time_to_hearing"]),
+            ("undated, before cleaning", raw.filter(~dated), [*RAW_ATTRIBUTES, *AMOUNTS_VIEW]),
+            ("dated, after cleaning", t.filter(dated), spec.dated_features),
+            ("undated, after cleaning", t.filter(~dated), spec.undated_features)):
+        rows += [(name, f, v) for f, v in deep_forest.fit_forest(df, list(features), FOREST_TREES_IMPORTANCE).importance()]
+    return spark.createDataFrame(rows, "slice string, feature string, importance double").orderBy("slice", F.desc("importance"), "feature")
+
+
+@query("rf_unlimited")
+def q_rf_unlimited(spark, sf):
+    """Hold-out scores of 50 fully grown trees."""
     t, _, feats = _dated(spark, sf)
-    model = models.fit(models.forest(n_trees=100, max_depth=10), t, feats)
-    return models.feature_importance(model, feats, spark)
+    fit_part, hold = segment.holdout_split(t)
+    return deep_forest.score(hold, deep_forest.fit_forest(fit_part, feats, FOREST_TREES_GRID)).select("ticket_id", "score")
 
 
 @query("rf_model")
