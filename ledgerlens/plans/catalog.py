@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from ..sources.tables import read_table
 from ..sources.ticket_view import (VIEW_FOLD_ATTRIBUTES, WAIVED_DISPOSITION, both_periods,
                                    geo_lookup, scoring_tickets, tickets, train_tickets,
                                    with_tickets)
-from . import boosting, deep_forest, logistic_path, metrics, models
+from . import boosting, deep_forest, dummies, logistic_path, metrics, models
 from .routing import RouteSpec, encoded_segments, prepare_scoring, prepare_train, routed_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -692,12 +694,48 @@ SELECT ticket_id,
 FROM scoring_tickets"""))
 def q_one_hot_merge(spark, sf):
     df = scoring_tickets(spark, sf).select("ticket_id", "disposition")
-    dummies = encode.one_hot(df, ["disposition"])
     return encode.align_dummies(
-        dummies, ["ticket_id"] + ALIGNED,
+        encode.one_hot(df, ["disposition"]), ["ticket_id"] + ALIGNED,
         merges={"disposition_urgent_or_high": ["disposition_1-URGENT", "disposition_2-HIGH"]})
 
 
+# ===================================================================== the one-hot baseline as one pipeline
+BASELINE_DUMMIES = ["disposition", "agency_name", "month", "weekday"]
+BASELINE_MERGES = {"disposition": {"1-URGENT": "1-2 PRESSING", "2-HIGH": "1-2 PRESSING"}}
+BASELINE_COLUMNS = ["ticket_id", "fine_amount", "judgment_amount", "agency_name", "ticket_issued_date", "disposition"]
+
+
+def _baseline_dummies() -> list:
+    return [dummies.CalendarFeatures(inputCol="ticket_issued_date"), dummies.SparseDummies(BASELINE_DUMMIES, "dummies", BASELINE_MERGES, "ticket_id")]
+
+
+def _baseline_values_sql(src: str) -> str:
+    value = {"disposition": "CASE WHEN disposition IN ('1-URGENT', '2-HIGH') THEN '1-2 PRESSING' ELSE disposition END", "agency_name": "agency_name",
+             "month": "CAST(month(ticket_issued_date) AS VARCHAR)", "weekday": "CAST(isodow(ticket_issued_date) - 1 AS VARCHAR)"}
+    return " UNION ALL ".join(f"SELECT ticket_id, {i} AS place, {value[a]} AS value FROM {src}" for i, a in enumerate(BASELINE_DUMMIES))
+
+
+@query("one_hot_sparse", with_tickets("SELECT ticket_id, CAST(num AS INTEGER) AS dummy FROM scored JOIN vocabulary USING (place, value)", LABELLED_CTE + f""",
+labelled AS ({_baseline_values_sql('lt')}), scored AS ({_baseline_values_sql('scoring_tickets')}),
+vocabulary AS (SELECT place, value, row_number() OVER (ORDER BY place, value) - 1 AS num FROM (SELECT DISTINCT place, value FROM labelled WHERE value IS NOT NULL))"""))
+def q_one_hot_sparse(spark, sf):
+    """Scoring tickets' sparse dummies as (ticket, place) pairs, aligned with the training vocabulary by the fitted stages."""
+    fitted = Pipeline(stages=_baseline_dummies()).fit(_labelled(spark, sf).select(*BASELINE_COLUMNS))
+    rows = fitted.transform(scoring_tickets(spark, sf).select(*BASELINE_COLUMNS))
+    return rows.select("ticket_id", F.posexplode(vector_to_array("dummies")).alias("dummy", "v")).filter("v = 1").select("ticket_id", "dummy")
+
+
+@query("one_hot_baseline")
+def q_one_hot_baseline(spark, sf):
+    """The one-hot baseline from raw tickets to scores as one pipeline: calendar parts, sparse dummies, forest."""
+    train = materialize(models.with_label(_labelled(spark, sf)).select("label", *BASELINE_COLUMNS), "baseline_train", wide=True)
+    numbers = ["fine_amount", "judgment_amount", *[name for name, _, _ in DAY_PARTS]]
+    stages = [*_baseline_dummies(), models.assembler([*numbers, "dummies"]), models.forest(n_trees=FOREST_TREES_GRID, max_depth=10)]
+    fitted = Pipeline(stages=stages).fit(train)
+    scoring = fitted.transform(scoring_tickets(spark, sf).select(*BASELINE_COLUMNS))
+    return models.positive_probability(scoring).select("ticket_id", "score")
+
+
 ENCODE_VIEW = ["disposition", *VIEW_FOLD_ATTRIBUTES]
 
 
