@@ -13,16 +13,27 @@ CORRUPT = "_corrupt_record"
 _TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
 
-def _raw(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
+def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of the files goes over several lines: then a line holds an odd number of quotes.  Reads
+    the files as lines, each in as many tasks as it has blocks; quotes are one byte in Latin-1 and UTF-8 alike."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def _raw(spark: SparkSession, path: str, encoding: str, multi_line: bool | None, pruned: bool = True) -> DataFrame:
     """All columns of the files as text, in the files' order, plus the record
-    itself where it doesn't have as many fields as the header."""
+    itself where it doesn't have as many fields as the header (told only if
+    not ``pruned``: else the parser skips columns nobody asks for)."""
+    if multi_line is None:
+        multi_line = has_line_breaks_in_fields(spark, path)
+
     def reader():
         return (spark.read.option("header", "true").option("encoding", encoding)
                 .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower()))
     names = reader().csv(path).columns  # reads the header only
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     return (reader().schema(schema).option("mode", "PERMISSIVE").option("enforceSchema", "false")
-            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+            .option("columnPruning", str(pruned).lower()).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
 def _parsed(field: T.StructField) -> Column:
@@ -37,14 +48,15 @@ def _parsed(field: T.StructField) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+             encoding: str = "UTF-8", multi_line: bool | None = None) -> DataFrame:
     """Header CSV as the columns of ``schema`` (no inference pass).
 
     Columns are taken by their header name, whatever their order; a column the
     file lacks is an error, further columns are ignored.  Fields may be quoted
     with ``"`` (a quote inside is doubled) and hold commas and, with
-    ``multi_line``, line breaks; then a file is read by one task, so give big
-    tables as many files or set it to False.  ``encoding='ISO-8859-1'`` reads
+    ``multi_line``, line breaks.  Such a file is read by one task, others in
+    blocks; if not given, a pass over the files' lines tells which they are
+    (see :func:`has_line_breaks_in_fields`).  ``encoding='ISO-8859-1'`` reads
     Latin-1 files.  A value that isn't of its type becomes null; see
     :func:`bad_rows` for their number.
     """
@@ -56,10 +68,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def bad_rows(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8",
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool | None = None) -> DataFrame:
     """One row: ``n_rows``, ``n_misshaped`` (another number of fields than the
     header) and, by column, the values that are not of its type."""
-    raw = _raw(spark, path, encoding, multi_line)
+    raw = _raw(spark, path, encoding, multi_line, pruned=False)
     wrong = [F.sum((F.col(f.name).isNotNull() & _parsed(f).isNull()).cast("long")).alias(f.name)
              for f in schema if f.name in raw.columns and not isinstance(f.dataType, T.StringType)]
     return raw.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT).alias("n_misshaped"), *wrong)

@@ -159,3 +159,25 @@ def test_order_without_customer_or_date_is_one_scored_ticket(spark):
         "payment_status", F.lit("F"))
     assert [r[0] for r in train_part(t).select("ticket_id").collect()] == [1]
     assert sorted(r[0] for r in scoring_part(t).select("ticket_id").collect()) == [2, 3]
+
+
+def test_line_breaks_in_fields_are_found(spark, tmp_path):
+    """Files without them are read in blocks, others whole; a quote inside a field is doubled."""
+    from pyspark.sql import types as T
+    from ledgerlens.sources import csv_io
+    schema = T.StructType.fromDDL("a long, b string")
+    plain, broken = tmp_path / "plain.csv", tmp_path / "broken.csv"
+    plain.write_text("a,b\n" + "".join(f'{i},"say ""x"", {i}"\n' for i in range(3000)))
+    broken.write_text('a,b\n1,"one\ntwo"\n2,three\n')
+    assert not csv_io.has_line_breaks_in_fields(spark, str(plain)) and csv_io.has_line_breaks_in_fields(spark, str(broken))
+    assert [tuple(r) for r in csv_io.read_csv(spark, str(broken), schema).collect()] == [(1, "one\ntwo"), (2, "three")]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        df = csv_io.read_csv(spark, str(plain), schema)
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 3000 and df.filter("b = concat('say \"x\", ', a)").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
