@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BINS = 512
+# Bins of a range: as many as fit the counts that the driver takes in a pass, in these limits.
+COUNTS_A_PASS, FEWEST_BINS, MOST_BINS = 400_000, 64, 4096
 WIDE = 1e4  # ranges whose ends differ by more than this factor are binned by logarithm
 
 
@@ -29,19 +30,23 @@ def number(value: str | Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _bin(v: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin of ``v`` in [lo, hi], lo < hi: never falling in ``v``; 0 at ``lo``, the last at ``hi``, also if
-    the ends are infinite or so far apart that their difference is."""
-    near = F.greatest(F.abs(lo), F.abs(hi)) / F.lit(WIDE * WIDE)  # below this, logarithms are flat
-    bent = lambda c: F.signum(c) * F.log1p(F.abs(c) / near)
-    straight = lambda c: c / 2
-    far = (near > 0) & (near < F.lit(float("inf"))) & (
-        (F.signum(lo) != F.signum(hi)) | (F.greatest(F.abs(lo), F.abs(hi)) > F.least(F.abs(lo), F.abs(hi)) * WIDE))
-    share = F.when(far, F.try_divide(bent(v) - bent(lo), bent(hi) - bent(lo))).otherwise(
-        F.try_divide(straight(v) - straight(lo), straight(hi) - straight(lo)))
-    inner = F.coalesce(F.when(~F.isnan(share), share), F.lit(0.5))
-    place = F.least(F.greatest(F.floor(inner * bins), F.lit(0)), F.lit(bins - 1))
-    return F.when(v <= lo, F.lit(0)).when(v >= hi, F.lit(bins - 1)).otherwise(place).cast("int")
+def _shape(lo: float, hi: float, bins: int) -> tuple[float, float, float]:
+    """How a range, lo < hi, is cut: (unit of the logarithm or 0 for equal steps, place of ``lo`` on that scale, bins to a
+    unit of it or 0 if its width can't be written: then all values between the ends share a bin)."""
+    big, small = max(abs(lo), abs(hi)), min(abs(lo), abs(hi))
+    near = big / (WIDE * WIDE) if math.isfinite(big) and (lo < 0 < hi or big > small * WIDE) else 0.0
+    place = (lambda v: math.copysign(math.log1p(abs(v) / near), v)) if near > 0 else (lambda v: v / 2)
+    width = place(hi) - place(lo)
+    steps = bins / width if width > 0 and math.isfinite(width) else 0.0
+    return near, place(lo), steps if math.isfinite(steps) else 0.0
+
+
+def _bin(v: Column, bins: int) -> Column:
+    """Bin of ``v`` in its range's shape: never falling in ``v``, 0 at the lower end and the last at the upper."""
+    near, start, steps = F.col("_near"), F.col("_start"), F.col("_steps")
+    at = F.when(near > 0, F.signum(v) * F.log1p(F.abs(v) / near)).otherwise(v / 2)
+    place = F.when(steps > 0, F.least(F.greatest(F.floor((at - start) * steps), F.lit(0)), F.lit(bins - 1))).otherwise(F.lit(bins // 2))
+    return F.when(v <= F.col("_lo"), F.lit(0)).when(v >= F.col("_hi"), F.lit(bins - 1)).otherwise(place).cast("int")
 
 
 class _Target:
@@ -64,25 +69,26 @@ class _Target:
 
 
 def select_ranks(data: DataFrame, value: str, groups: Sequence[str], ranks: dict[tuple, Sequence[int]],
-                 totals: dict[tuple, tuple[int, float, float]], bins: int = BINS) -> dict[tuple, dict[int, float]]:
+                 totals: dict[tuple, tuple[int, float, float]], bins: int | None = None) -> dict[tuple, dict[int, float]]:
     """The values at ``ranks`` (group -> ranks from 0, ascending order) of a column of doubles without NaN.
 
     ``totals``: group -> (rows, minimum, maximum).  ``data`` is scanned once a pass, two to four times as a rule; the
-    driver holds a range for each rank and, a pass, at most ``bins`` counts for each range."""
+    driver holds a range for each rank and, a pass, at most ``bins`` counts for each range (more bins, fewer passes)."""
     g = list(groups)
     targets = [_Target(k, r, totals[k][1], totals[k][2], totals[k][0]) for k, rs in ranks.items() for r in rs]
-    schema = T.StructType([data.schema[c] for c in g] + [T.StructField("_range", T.IntegerType()),
-                                                         T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())])
+    numbers = [T.StructField(c, T.DoubleType()) for c in ("_lo", "_hi", "_near", "_start", "_steps")]
+    schema = T.StructType([data.schema[c] for c in g] + [T.StructField("_range", T.IntegerType()), *numbers])
     while any(t.open for t in targets):
         ranges: dict[tuple, int] = {}
         for t in targets:
             if t.open:
                 ranges.setdefault((t.group, t.lo, t.hi), len(ranges))
-        table = data.sparkSession.createDataFrame([(*k, i, lo, hi) for (k, lo, hi), i in ranges.items()], schema)
+        wide = bins or max(FEWEST_BINS, min(MOST_BINS, COUNTS_A_PASS // len(ranges)))
+        table = data.sparkSession.createDataFrame([(*k, i, lo, hi, *_shape(lo, hi, wide)) for (k, lo, hi), i in ranges.items()], schema)
         v = F.col(value)
         inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
         met = data.select(*g, value).join(F.broadcast(table), g, "inner") if g else data.select(value).join(F.broadcast(table), inside)
-        counted = (met.filter(inside).groupBy("_range", _bin(v, F.col("_lo"), F.col("_hi"), bins).alias("_bin"))
+        counted = (met.filter(inside).groupBy("_range", _bin(v, wide).alias("_bin"))
                    .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).collect())
         found: dict[int, list] = {}
         for r in sorted(counted, key=lambda r: r["_bin"]):
@@ -115,7 +121,7 @@ def interpolated(values: dict[int, float], places: Sequence[tuple[int, int, floa
     return [values[lo] if lo == hi else values[lo] + (values[hi] - values[lo]) * share for lo, hi, share in places]
 
 
-def exact_quantiles(data: DataFrame, value: str, probs: Sequence[float], bins: int = BINS) -> list[float] | None:
+def exact_quantiles(data: DataFrame, value: str, probs: Sequence[float], bins: int | None = None) -> list[float] | None:
     """Exact quantiles of a whole column; null and NaN are no values; None without any."""
     rows = data.select(number(value).alias("v")).filter(F.col("v").isNotNull())
     n, lo, hi = rows.agg(F.count("v"), F.min("v"), F.max("v")).first()
