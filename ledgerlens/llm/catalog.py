@@ -123,7 +123,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     gone = F.coalesce(F.size("__removed"), F.lit(0)).cast("long")
-    return fuzzy_lines.with_removed(docs, rule=fuzzy_lines.EDIT).select(
+    return fuzzy_lines.with_removed(docs, rule=fuzzy_lines.WIDE).select(
         "doc_id", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(counted).alias("n_lines"),
         F.when(F.col("__removed").isNull(), F.lit(0).cast("long")).otherwise(gone).alias("n_removed"),
         F.coalesce(F.array_join(F.transform("__removed", lambda i: i.cast("string")), ","), F.lit("")).alias("removed"))

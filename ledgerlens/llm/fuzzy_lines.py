@@ -3,9 +3,16 @@
 Lines are normalised (lower case, anything but letters, digits and non-ASCII
 characters one space).  Distinct lines that may be alike meet, and pairs are
 verified by edit similarity on the normalised text.  Of each connected group
-of lines the first occurrence stays.  Two rules say which lines meet:
+of lines the first occurrence stays.  Three rules say which lines meet:
 
-``EDIT``, the rule of the queries: a line's sketch is the ``SKETCH`` smallest
+``WIDE``, the rule of the queries: a SimHash of 98 bits in seven blocks, over the
+words of a line, or over runs of three characters if it is short (near the limit
+both, so that lines of a similar length always have one in common).  Distinct
+lines whose fingerprints agree on two blocks of 14 bits meet (pigeonhole: five
+differing bits leave two blocks untouched), and are verified if at most
+``WIDE_BITS`` bits differ.
+
+``EDIT``: a line's sketch is the ``SKETCH`` smallest
 hashes of its grams, runs of 3 or 5 characters of a short line and of three
 words of a longer one (near a limit both kinds, so that lines of a similar
 length always have one in common).  Lines that share one of the first
@@ -30,13 +37,18 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import lookup_join
 from ..session import materialize
 from .common import checkpointed, connected_components, release
 
 MAX_BITS = 3
 BLOCKS = 5  # bit blocks of a fingerprint
 CLEAN = 2  # blocks that must agree (BLOCKS - MAX_BITS)
-EDIT, SIMHASH = "edit", "simhash"
+EDIT, SIMHASH, WIDE = "edit", "simhash", "wide"
+WIDE_BLOCKS, WIDE_SIZE = 7, 14  # bit blocks of a wide fingerprint and their bits
+WIDE_BITS = 24  # of its 98 bits, those that a pair may differ in to be verified
+LONG = 64  # characters: runs of three up to LONG, words beyond
+KEYS_A_PASS = 11  # choices of two blocks that are shuffled at once (21 in all)
 SKETCH = 10  # smallest gram hashes of a line
 SKETCH_KEYS = 6  # of them, those by which lines meet
 SHARED = 2  # hashes of the sketch that a pair must share (fewer, if a line has fewer)
@@ -169,7 +181,10 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, key: str,
     # and after the last difference don't count, and neither what is left between
     # them nor the differing words of lines with as many words can need more
     # edits than it has characters.
-    split = both.withColumn("most", limit).select("a", "b", "most", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    # Distances cost far more than their bytes say, so the pairs are dealt to a
+    # fixed number of tasks.
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    split = both.withColumn("most", limit).repartition(spread, "a", "b").select("a", "b", "most", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
     first = "array_position(zip_with({0}, {1}, (p, q) -> p <=> q), false)"
     part = (split.withColumn("head", F.expr(f"coalesce(nullif({first.format('x', 'y')}, 0) - 1, size(x))").cast("int"))
             .withColumn("tail", F.expr(f"coalesce(nullif({first.format('reverse(x)', 'reverse(y)')}, 0) - 1, size(x))").cast("int"))
@@ -213,9 +228,135 @@ def _groups(distinct: DataFrame, docs: DataFrame, key: str, text: str, rule: str
     return groups.select(F.col("node").alias("id"), F.col("component").alias("grp"))
 
 
+def _hashed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, th, pos, norm, k1, k2) of every line that has a word."""
+    lines = (docs.select(F.col(key).alias("doc"), _row_hash(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+             .select("doc", "th", "pos", normalised(F.col("line")).alias("norm")))
+    return lines.withColumn("k1", F.xxhash64("norm")).withColumn("k2", F.xxhash64(F.lit(1), "norm"))
+
+
+def wide_fingerprints(lines: DataFrame) -> DataFrame:
+    """(k1, k2, kind, len, f1, f2) of the distinct lines among (k1, k2, norm).
+
+    ``f1`` holds the first four blocks, ``f2`` the other three.  Copies of a
+    line add their words up, which moves no bit: the sums and the count grow
+    alike, and a hot line is summed before the shuffle.  A line whose copies
+    have 2^32 words or more in all has no fingerprint (its exact copies are
+    found all the same)."""
+    runs = F.expr("transform(sequence(1, length(pad) - 2), i -> substring(pad, i, 3))")
+    n = F.col("len")
+    kinds = F.filter(F.array(
+        F.when(n <= LONG, F.struct(F.lit(0).alias("kind"), runs.alias("parts"))),
+        F.when(n > LONG * SIMILARITY, F.struct(F.lit(1).alias("kind"), F.split("norm", " ").alias("parts")))), lambda s: s.isNotNull())
+    own = lines.select("k1", "k2", "norm", F.length("norm").alias("len"), F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad")).filter("len > 0")
+    parts = own.select("k1", "k2", "len", F.explode(kinds).alias("s")).select(
+        "k1", "k2", "len", "s.kind", F.explode("s.parts").alias("part"))
+    h = parts.select("k1", "k2", "len", "kind", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit(1), "part").alias("h2"))
+    lanes, low = F.lit(0x0000000100000001), F.lit(0xFFFFFFFF)
+    widths = {"1": 4 * WIDE_SIZE // 2, "2": (WIDE_BLOCKS - 4) * WIDE_SIZE // 2}  # two bits a sum: i and 32 + i
+    sums = [F.sum(F.shiftrightunsigned("h" + w, i).bitwiseAND(lanes)).alias(f"s{w}_{i}") for w, bits in widths.items() for i in range(bits)]
+    counted = h.groupBy("k1", "k2", "len", "kind").agg(F.count(F.lit(1)).alias("n"), *sums)
+    fps = []
+    for w, bits in widths.items():
+        one = [F.when(part * 2 > F.col("n"), F.lit(1 << at).cast("long")).otherwise(F.lit(0).cast("long"))
+               for i in range(bits)
+               for part, at in ((F.col(f"s{w}_{i}").bitwiseAND(low), i), (F.shiftrightunsigned(f"s{w}_{i}", 32), bits + i))]
+        fps.append(reduce(lambda a, b: a.bitwiseOR(b), one).alias("f" + w))
+    return counted.filter(F.col("n") <= F.lit(0xFFFFFFFF)).select("k1", "k2", "kind", "len", *fps)
+
+
+def _wide_keys(choices) -> Column:
+    """One key for each of the choices of two blocks: kind, choice and the bits."""
+    mask = F.lit((1 << WIDE_SIZE) - 1)
+    block = [F.shiftrightunsigned("f1" if b < 4 else "f2", WIDE_SIZE * (b % 4)).bitwiseAND(mask) for b in range(WIDE_BLOCKS)]
+    first = F.shiftleft(F.col("kind").cast("long"), 40)
+    return F.explode(F.array(*[
+        first.bitwiseOR(F.lit(number << 2 * WIDE_SIZE)).bitwiseOR(F.shiftleft(block[a], WIDE_SIZE)).bitwiseOR(block[b])
+        for number, (a, b) in choices])).alias("key")
+
+
+def _wide_near(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """The distinct (a, b, kind) pairs within ``WIDE_BITS`` bits and of a like length, as (a, b)."""
+    side = lambda c: prints.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("len", "f1", "f2")])
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+    bits = F.bit_count(F.col("f1_a").bitwiseXOR(F.col("f1_b"))) + F.bit_count(F.col("f2_a").bitwiseXOR(F.col("f2_b")))
+    return both.filter((bits <= WIDE_BITS) & (F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * SIMILARITY - 1e-9)).select("a", "b")
+
+
+def _wide_links(prints: DataFrame, lines: DataFrame, docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) of lines' numbers, and (number, first place) of the lines in them."""
+    spark = docs.sparkSession
+    numbered = list(enumerate(combinations(range(WIDE_BLOCKS), 2)))
+    passes = [numbered[i:i + KEYS_A_PASS] for i in range(0, len(numbered), KEYS_A_PASS)]
+    near, crowds = [], []
+    for choices in passes:
+        keyed = prints.select("id", _wide_keys(choices))
+        # a bucket of two is its pair; only larger ones are read again
+        buckets = checkpointed(keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+                               .filter("n > 1"))
+        release(spark)
+        large = buckets.filter("n > 2").select("key", "lo")
+        members = checkpointed(keyed.join(_bounded(large), "key"))
+        pairs = buckets.select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(
+            members.filter("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b")))
+        near.append(checkpointed(_wide_near(pairs, prints)))
+        crowds.append(members.select("key", "id"))
+        release(spark)
+    near = checkpointed(reduce(DataFrame.unionByName, near).distinct())
+    # a line has one number for each kind of fingerprint; its text is told by its hashes
+    places = lambda ids: checkpointed(
+        lines.join(_bounded(checkpointed(prints.join(ids, "id").select("id", "k1", "k2"))), ["k1", "k2"])
+        .groupBy("id").agg(F.min(_place()).alias("first")))
+    ends = lambda links: links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    links = _verified(near, places(ends(near)), docs, key, text)
+    groups = checkpointed(connected_components(links))
+    # members of a bucket that are in different groups still: compare them with each other
+    named = (reduce(DataFrame.unionByName, crowds).join(groups.withColumnRenamed("node", "id"), "id", "left")
+             .select("key", "id", F.coalesce("component", "id").alias("grp")))
+    mixed = named.groupBy("key").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).filter("g1 <> g2").select("key")
+    left = checkpointed(named.join(mixed, "key").join(prints.select("id", "len", "f1", "f2"), "id"))
+    right = left.select("key", *[F.col(c).alias(c + "2") for c in ("id", "len", "f1", "f2", "grp")])
+    bits = F.bit_count(F.col("f1").bitwiseXOR(F.col("f12"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("f22")))
+    more = checkpointed(
+        left.join(right, (left["key"] == right["key"]) & (F.col("grp") < F.col("grp2")) & (bits <= WIDE_BITS)
+                  & (F.least("len", "len2") >= F.greatest("len", "len2") * SIMILARITY - 1e-9))
+        .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+    if more.isEmpty():
+        return links, groups
+    links = links.unionByName(_verified(more, places(ends(more)), docs, key, text))
+    return links, checkpointed(connected_components(links))
+
+
+def _removed_wide(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """:func:`removed_lines` for the rule ``WIDE``."""
+    spark = docs.sparkSession
+    hashed = _hashed_lines(docs, key, text)
+    prints = materialize(wide_fingerprints(hashed.select("k1", "k2", "norm")).withColumn("id", F.monotonically_increasing_id()),
+                         "fingerprints", wide=True)
+    lines = materialize(hashed.filter("norm <> ''").select("doc", "th", "pos", "k1", "k2"), "lines", wide=True)
+    release(spark)
+    _, groups = _wide_links(prints, lines, docs, key, text)
+    release(spark)
+    # the two numbers of a line near the length limit may be in two groups: they are one
+    own = checkpointed(prints.join(groups.withColumnRenamed("node", "id"), "id").select("k1", "k2", "component"))
+    tied = own.groupBy("k1", "k2").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    joined = connected_components(tied.select("a", "b")).select(F.col("node").alias("a"), "component")
+    grouped = tied.join(joined, "a", "left").select("k1", "k2", F.coalesce("component", "a").alias("grp"))
+    copied = lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
+    wanted = checkpointed(copied.join(grouped, ["k1", "k2"], "full").select(
+        "k1", "k2", F.coalesce("grp", "k1").alias("g1"), F.when(F.col("grp").isNull(), F.col("k2")).otherwise(F.lit(0)).alias("g2"),
+        F.col("grp").isNull().alias("g3")))
+    met = materialize(lookup_join(lines, wanted, ["k1", "k2"], "inner"), "repeated-lines", wide=True)
+    keep = checkpointed(met.groupBy("g1", "g2", "g3").agg(F.min(_place()).alias("keep")))
+    gone = lookup_join(met.drop("k1", "k2"), keep, ["g1", "g2", "g3"], "inner").filter(_place() != F.col("keep"))
+    return checkpointed(gone.groupBy("doc", "th").agg(F.array_sort(F.collect_set("pos")).alias("removed")))
+
+
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: str = SIMHASH) -> DataFrame:
     """(doc, th, removed): sorted numbers (from 0) of the lines to remove from the
     rows with key ``doc`` and text hash ``th``; rows that lose no line are absent."""
+    if rule == WIDE:
+        return _removed_wide(docs, key, text)
     marked = materialize(occurrences(docs, key, text, rule), "lines", wide=True)
     release(docs.sparkSession)
     distinct = materialize(
