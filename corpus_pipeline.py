@@ -28,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; those left without any line go.
     ``n_chars`` counts the characters of the new text."""
-    out = fuzzy_lines.dedup_lines(docs, rule=fuzzy_lines.EDIT)
+    out = fuzzy_lines.dedup_lines(docs, rule=fuzzy_lines.WIDE)
     if "n_chars" not in docs.columns:
         return out
     kind = dict(docs.dtypes)["n_chars"]
