@@ -6,8 +6,9 @@ verified by edit similarity on the normalised text.  Of each connected group
 of lines the first occurrence stays.  Three rules say which lines meet:
 
 ``WIDE``, the rule of the queries: a SimHash of 98 bits in seven blocks, over the
-words of a line, or over runs of three characters if it is short (near the limit
-both, so that lines of a similar length always have one in common).  Distinct
+different words of a line (counted once each, or the commonest ones make all lines
+of a language alike), or over runs of three characters if it is short (near the
+limit both, so that lines of a similar length always have one in common).  Distinct
 lines whose fingerprints agree on two blocks of 14 bits meet (pigeonhole: five
 differing bits leave two blocks untouched), and are verified if at most
 ``WIDE_BITS`` bits differ.
@@ -46,7 +47,7 @@ BLOCKS = 5  # bit blocks of a fingerprint
 CLEAN = 2  # blocks that must agree (BLOCKS - MAX_BITS)
 EDIT, SIMHASH, WIDE = "edit", "simhash", "wide"
 WIDE_BLOCKS, WIDE_SIZE = 7, 14  # bit blocks of a wide fingerprint and their bits
-WIDE_BITS = 24  # of its 98 bits, those that a pair may differ in to be verified
+WIDE_BITS = 30  # of its 98 bits, those that a pair may differ in to be verified
 LONG = 64  # characters: runs of three up to LONG, words beyond
 KEYS_A_PASS = 11  # choices of two blocks that are shuffled at once (21 in all)
 SKETCH = 10  # smallest gram hashes of a line
@@ -246,8 +247,8 @@ def wide_fingerprints(lines: DataFrame) -> DataFrame:
     runs = F.expr("transform(sequence(1, length(pad) - 2), i -> substring(pad, i, 3))")
     n = F.col("len")
     kinds = F.filter(F.array(
-        F.when(n <= LONG, F.struct(F.lit(0).alias("kind"), runs.alias("parts"))),
-        F.when(n > LONG * SIMILARITY, F.struct(F.lit(1).alias("kind"), F.split("norm", " ").alias("parts")))), lambda s: s.isNotNull())
+        F.when(n <= LONG, F.struct(F.lit(0).alias("kind"), F.array_distinct(runs).alias("parts"))),
+        F.when(n > LONG * SIMILARITY, F.struct(F.lit(1).alias("kind"), F.array_distinct(F.split("norm", " ")).alias("parts")))), lambda s: s.isNotNull())
     own = lines.select("k1", "k2", "norm", F.length("norm").alias("len"), F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad")).filter("len > 0")
     parts = own.select("k1", "k2", "len", F.explode(kinds).alias("s")).select(
         "k1", "k2", "len", "s.kind", F.explode("s.parts").alias("part"))
