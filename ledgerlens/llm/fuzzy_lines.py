@@ -7,8 +7,8 @@ of lines the first occurrence stays.  Three rules say which lines meet:
 
 ``WIDE``, the rule of the queries: a SimHash of 98 bits in seven blocks, over the
 different words of a line (counted once each, or the commonest ones make all lines
-of a language alike), or over runs of three characters if it is short (near the
-limit both, so that lines of a similar length always have one in common).  Distinct
+of a language alike), or over the different runs of three characters if it has at most
+64 characters.  Distinct
 lines whose fingerprints agree on two blocks of 14 bits meet (pigeonhole: five
 differing bits leave two blocks untouched), and are verified if at most
 ``WIDE_BITS`` bits differ.
@@ -47,7 +47,7 @@ BLOCKS = 5  # bit blocks of a fingerprint
 CLEAN = 2  # blocks that must agree (BLOCKS - MAX_BITS)
 EDIT, SIMHASH, WIDE = "edit", "simhash", "wide"
 WIDE_BLOCKS, WIDE_SIZE = 7, 14  # bit blocks of a wide fingerprint and their bits
-WIDE_BITS = 30  # of its 98 bits, those that a pair may differ in to be verified
+WIDE_BITS = 26  # of its 98 bits, those that a pair may differ in to be verified
 LONG = 64  # characters: runs of three up to LONG, words beyond
 KEYS_A_PASS = 11  # choices of two blocks that are shuffled at once (21 in all)
 SKETCH = 10  # smallest gram hashes of a line
@@ -60,7 +60,9 @@ BROADCAST_NUMBERS = 4_000_000  # line numbers in such a side, likewise
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^0-9a-z\x{80}-\x{10ffff}]+", " "))
+    # a lone space between words is no match: it would be replaced by itself
+    other = r" *[^0-9a-z \x{80}-\x{10ffff}][^0-9a-z\x{80}-\x{10ffff}]*| {2,}"
+    return F.trim(F.regexp_replace(F.lower(line), other, " "))
 
 
 def _row_hash(text: str) -> Column:
@@ -173,7 +175,11 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, key: str,
              .withColumn("lines", F.split("t", "\n"))
              .select(F.explode("wanted").alias("w"), "lines")
              .select("w.id", normalised(F.get("lines", F.col("w.pos"))).alias("norm")).dropDuplicates(["id"]))
-    texts = checkpointed(found)
+    return _edit_near(pairs, checkpointed(found))
+
+
+def _edit_near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) pairs whose ``texts`` (id, norm) have an edit similarity of at least ``SIMILARITY``."""
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("norm").alias("x")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("norm").alias("y")), "b"))
     longer = F.greatest(F.length("x"), F.length("y"))
@@ -184,7 +190,7 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, key: str,
     # edits than it has characters.
     # Distances cost far more than their bytes say, so the pairs are dealt to a
     # fixed number of tasks.
-    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     split = both.withColumn("most", limit).repartition(spread, "a", "b").select("a", "b", "most", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
     first = "array_position(zip_with({0}, {1}, (p, q) -> p <=> q), false)"
     part = (split.withColumn("head", F.expr(f"coalesce(nullif({first.format('x', 'y')}, 0) - 1, size(x))").cast("int"))
@@ -237,7 +243,7 @@ def _hashed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def wide_fingerprints(lines: DataFrame) -> DataFrame:
-    """(k1, k2, kind, len, f1, f2) of the distinct lines among (k1, k2, norm).
+    """(k1, k2, len, f1, f2) of the distinct lines among (k1, k2, norm).
 
     ``f1`` holds the first four blocks, ``f2`` the other three.  Copies of a
     line add their words up, which moves no bit: the sums and the count grow
@@ -245,48 +251,44 @@ def wide_fingerprints(lines: DataFrame) -> DataFrame:
     have 2^32 words or more in all has no fingerprint (its exact copies are
     found all the same)."""
     runs = F.expr("transform(sequence(1, length(pad) - 2), i -> substring(pad, i, 3))")
-    n = F.col("len")
-    kinds = F.filter(F.array(
-        F.when(n <= LONG, F.struct(F.lit(0).alias("kind"), F.array_distinct(runs).alias("parts"))),
-        F.when(n > LONG * SIMILARITY, F.struct(F.lit(1).alias("kind"), F.array_distinct(F.split("norm", " ")).alias("parts")))), lambda s: s.isNotNull())
     own = lines.select("k1", "k2", "norm", F.length("norm").alias("len"), F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad")).filter("len > 0")
-    parts = own.select("k1", "k2", "len", F.explode(kinds).alias("s")).select(
-        "k1", "k2", "len", "s.kind", F.explode("s.parts").alias("part"))
-    h = parts.select("k1", "k2", "len", "kind", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit(1), "part").alias("h2"))
+    parts = own.select("k1", "k2", "len", F.explode(F.array_distinct(
+        F.when(F.col("len") <= LONG, runs).otherwise(F.split("norm", " ")))).alias("part"))
+    h = parts.select("k1", "k2", "len", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit(1), "part").alias("h2"))
     lanes, low = F.lit(0x0000000100000001), F.lit(0xFFFFFFFF)
     widths = {"1": 4 * WIDE_SIZE // 2, "2": (WIDE_BLOCKS - 4) * WIDE_SIZE // 2}  # two bits a sum: i and 32 + i
     sums = [F.sum(F.shiftrightunsigned("h" + w, i).bitwiseAND(lanes)).alias(f"s{w}_{i}") for w, bits in widths.items() for i in range(bits)]
-    counted = h.groupBy("k1", "k2", "len", "kind").agg(F.count(F.lit(1)).alias("n"), *sums)
+    counted = h.groupBy("k1", "k2", "len").agg(F.count(F.lit(1)).alias("n"), *sums)
     fps = []
     for w, bits in widths.items():
         one = [F.when(part * 2 > F.col("n"), F.lit(1 << at).cast("long")).otherwise(F.lit(0).cast("long"))
                for i in range(bits)
                for part, at in ((F.col(f"s{w}_{i}").bitwiseAND(low), i), (F.shiftrightunsigned(f"s{w}_{i}", 32), bits + i))]
         fps.append(reduce(lambda a, b: a.bitwiseOR(b), one).alias("f" + w))
-    return counted.filter(F.col("n") <= F.lit(0xFFFFFFFF)).select("k1", "k2", "kind", "len", *fps)
+    return counted.filter(F.col("n") <= F.lit(0xFFFFFFFF)).select("k1", "k2", "len", *fps)
 
 
 def _wide_keys(choices) -> Column:
-    """One key for each of the choices of two blocks: kind, choice and the bits."""
+    """One key for each of the choices of two blocks: kind of features, choice and the bits."""
     mask = F.lit((1 << WIDE_SIZE) - 1)
     block = [F.shiftrightunsigned("f1" if b < 4 else "f2", WIDE_SIZE * (b % 4)).bitwiseAND(mask) for b in range(WIDE_BLOCKS)]
-    first = F.shiftleft(F.col("kind").cast("long"), 40)
+    first = F.shiftleft((F.col("len") > LONG).cast("long"), 40)
     return F.explode(F.array(*[
         first.bitwiseOR(F.lit(number << 2 * WIDE_SIZE)).bitwiseOR(F.shiftleft(block[a], WIDE_SIZE)).bitwiseOR(block[b])
         for number, (a, b) in choices])).alias("key")
 
 
 def _wide_near(pairs: DataFrame, prints: DataFrame) -> DataFrame:
-    """The distinct (a, b, kind) pairs within ``WIDE_BITS`` bits and of a like length, as (a, b)."""
+    """The distinct (a, b) pairs within ``WIDE_BITS`` bits and of a like length."""
     side = lambda c: prints.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("len", "f1", "f2")])
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     bits = F.bit_count(F.col("f1_a").bitwiseXOR(F.col("f1_b"))) + F.bit_count(F.col("f2_a").bitwiseXOR(F.col("f2_b")))
     return both.filter((bits <= WIDE_BITS) & (F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * SIMILARITY - 1e-9)).select("a", "b")
 
 
-def _wide_links(prints: DataFrame, lines: DataFrame, docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) of lines' numbers, and (number, first place) of the lines in them."""
-    spark = docs.sparkSession
+def _wide_groups(prints: DataFrame, lines: DataFrame) -> DataFrame:
+    """(node, component) of the numbers of the distinct lines that are linked to another one."""
+    spark = lines.sparkSession
     numbered = list(enumerate(combinations(range(WIDE_BLOCKS), 2)))
     passes = [numbered[i:i + KEYS_A_PASS] for i in range(0, len(numbered), KEYS_A_PASS)]
     near, crowds = [], []
@@ -304,12 +306,7 @@ def _wide_links(prints: DataFrame, lines: DataFrame, docs: DataFrame, key: str,
         crowds.append(members.select("key", "id"))
         release(spark)
     near = checkpointed(reduce(DataFrame.unionByName, near).distinct())
-    # a line has one number for each kind of fingerprint; its text is told by its hashes
-    places = lambda ids: checkpointed(
-        lines.join(_bounded(checkpointed(prints.join(ids, "id").select("id", "k1", "k2"))), ["k1", "k2"])
-        .groupBy("id").agg(F.min(_place()).alias("first")))
-    ends = lambda links: links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    links = _verified(near, places(ends(near)), docs, key, text)
+    links = _edit_near(near, _texts(near, prints, lines))
     groups = checkpointed(connected_components(links))
     # members of a bucket that are in different groups still: compare them with each other
     named = (reduce(DataFrame.unionByName, crowds).join(groups.withColumnRenamed("node", "id"), "id", "left")
@@ -323,26 +320,27 @@ def _wide_links(prints: DataFrame, lines: DataFrame, docs: DataFrame, key: str,
                   & (F.least("len", "len2") >= F.greatest("len", "len2") * SIMILARITY - 1e-9))
         .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
     if more.isEmpty():
-        return links, groups
-    links = links.unionByName(_verified(more, places(ends(more)), docs, key, text))
-    return links, checkpointed(connected_components(links))
+        return groups
+    return checkpointed(connected_components(links.unionByName(_edit_near(more, _texts(more, prints, lines)))))
+
+
+def _texts(pairs: DataFrame, prints: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, norm) of the lines in the pairs."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = _bounded(checkpointed(prints.join(ids, "id").select("id", "k1", "k2")))
+    return checkpointed(lines.select("k1", "k2", "norm").join(wanted, ["k1", "k2"]).select("id", "norm").dropDuplicates(["id"]))
 
 
 def _removed_wide(docs: DataFrame, key: str, text: str) -> DataFrame:
     """:func:`removed_lines` for the rule ``WIDE``."""
     spark = docs.sparkSession
-    hashed = _hashed_lines(docs, key, text)
-    prints = materialize(wide_fingerprints(hashed.select("k1", "k2", "norm")).withColumn("id", F.monotonically_increasing_id()),
-                         "fingerprints", wide=True)
-    lines = materialize(hashed.filter("norm <> ''").select("doc", "th", "pos", "k1", "k2"), "lines", wide=True)
+    lines = materialize(_hashed_lines(docs, key, text).filter("norm <> ''"), "lines", wide=True)
+    prints = materialize(wide_fingerprints(lines).withColumn("id", F.monotonically_increasing_id()), "fingerprints", wide=True)
     release(spark)
-    _, groups = _wide_links(prints, lines, docs, key, text)
+    groups = _wide_groups(prints, lines)
     release(spark)
-    # the two numbers of a line near the length limit may be in two groups: they are one
-    own = checkpointed(prints.join(groups.withColumnRenamed("node", "id"), "id").select("k1", "k2", "component"))
-    tied = own.groupBy("k1", "k2").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    joined = connected_components(tied.select("a", "b")).select(F.col("node").alias("a"), "component")
-    grouped = tied.join(joined, "a", "left").select("k1", "k2", F.coalesce("component", "a").alias("grp"))
+    lines = lines.drop("norm")
+    grouped = checkpointed(prints.join(groups.withColumnRenamed("node", "id"), "id").select("k1", "k2", F.col("component").alias("grp")))
     copied = lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
     wanted = checkpointed(copied.join(grouped, ["k1", "k2"], "full").select(
         "k1", "k2", F.coalesce("grp", "k1").alias("g1"), F.when(F.col("grp").isNull(), F.col("k2")).otherwise(F.lit(0)).alias("g2"),
