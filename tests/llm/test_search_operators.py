@@ -378,3 +378,76 @@ def test_alike_rejects_what_is_not_similar():
 def test_shingles_of_joined_texts(least):
     h, n = compact_windows.shingle_hashes([b"a b c d e f", b"", b"x", b"A,b;c d  e", b"b c d e f"])
     assert n.tolist() == [2, 0, 0, 1, 1] and h[0] == h[2] and h[1] == h[3] and h[0] != h[1]
+
+
+def _wide_print(line):
+    """The fingerprint of the rule WIDE as one number, by counting bits one by one."""
+    import xxhash
+    pad = f" {line} "
+    parts = set(line.split(" ")) if len(line) > fuzzy_lines.LONG else {pad[i:i + 3] for i in range(len(pad) - 2)}
+    seed = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), 42)
+    out = 0
+    for shift, size, own in ((0, 4 * fuzzy_lines.WIDE_SIZE, 42), (4 * fuzzy_lines.WIDE_SIZE, 3 * fuzzy_lines.WIDE_SIZE, seed)):
+        hs = [xxhash.xxh64_intdigest(p.encode(), own) for p in parts]
+        for i in range(size // 2):  # a sum holds the bits i and 32 + i of the hashes
+            for at, bit in ((i, i), (size // 2 + i, 32 + i)):
+                out |= (2 * sum(h >> bit & 1 for h in hs) > len(hs)) << shift + at
+    return out
+
+
+def test_wide_lines_equal_brute_force(spark):
+    """Lines that meet, by blocks counted here one by one, and are alike: the same groups."""
+    rows = [r for seed, edit in ((5, _typo), (6, _replaced)) for r in _line_copies(edit, seed, 4)[0]]
+    rows = [(i, line) for i, (_, line) in enumerate(rows)]
+    rows += [(len(rows) + i, line.upper() + " !\n" + line) for i, (_, line) in enumerate(rows[:6])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    norm = lambda s: re.sub(r"[^0-9a-z\x80-\U0010ffff]+", " ", s.lower()).strip(" ")
+    occ = [(d, p, norm(x)) for d, t in rows for p, x in enumerate(t.split("\n"))]
+    bits = {n: _wide_print(n) for _, _, n in occ}
+    parent = {n: n for n in bits}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    block = lambda v, b: v >> fuzzy_lines.WIDE_SIZE * b & (1 << fuzzy_lines.WIDE_SIZE) - 1
+    for a, b in itertools.combinations(bits, 2):
+        meet = sum(block(bits[a], k) == block(bits[b], k) for k in range(fuzzy_lines.WIDE_BLOCKS)) >= 2
+        if (meet and (len(a) > fuzzy_lines.LONG) == (len(b) > fuzzy_lines.LONG)
+                and (bits[a] ^ bits[b]).bit_count() <= fuzzy_lines.WIDE_BITS
+                and _distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)):
+            parent[root(a)] = root(b)
+    keep = {}
+    for d, p, n in occ:
+        keep[root(n)] = min(keep.get(root(n), (d, p)), (d, p))
+    expected = {(d, p) for d, p, n in occ if keep[root(n)] != (d, p)}
+    got = {(r["doc"], p) for r in fuzzy_lines.removed_lines(docs, rule=fuzzy_lines.WIDE).collect() for p in r["removed"]}
+    assert got == expected and len(got) > 12
+
+
+def test_wide_lines_recall_by_length(spark):
+    """Copies with one changed letter: nearly all of the long lines are found, and nothing else."""
+    rows, wanted = _line_copies(_typo)
+    gone = fuzzy_lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string"), rule=fuzzy_lines.WIDE)
+    got = {r["doc"] for r in gone.collect()}
+    found = {size: sum(d in got for d, s in wanted.items() if s == size) / sum(s == size for s in wanted.values())
+             for size in sorted(set(wanted.values()))}
+    print("wide", found)
+    assert got <= set(wanted) and found[30] >= 0.8 and found[60] >= 0.8
+
+
+def test_wide_lines_on_awkward_rows(spark, monkeypatch):
+    docs = with_clashes(awkward(spark), "th", "doc", "removed", "pos")
+    out = fuzzy_lines.dedup_lines(docs, rule=fuzzy_lines.WIDE)
+    rows = out.collect()
+    assert out.columns == docs.columns
+    ids = [r["doc_id"] for r in rows]
+    assert 2 not in ids and {1, 3, 4, 5, 6, 8} <= set(ids)
+    assert next(r["text"] for r in rows if r["doc_id"] == 3) is None
+    assert fuzzy_lines.dedup_lines(empty(docs), rule=fuzzy_lines.WIDE).count() == 0
+    monkeypatch.setattr(fuzzy_lines, "BROADCAST_ROWS", 0)  # the way without broadcast gives the same
+    assert sorted(map(str, fuzzy_lines.dedup_lines(docs, rule=fuzzy_lines.WIDE).collect())) == sorted(map(str, rows))
+    lines = fuzzy_lines._hashed_lines(docs, "doc_id", "text")
+    plan = fuzzy_lines.wide_fingerprints(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan
