@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from ..constants import CV_FOLDS
 from ..operators.segment import stratified_folds
-from ..session import materialize
+from ..session import materialize, spread
 from .metrics import roc_auc
 from .models import LABEL, checked
+from .ranking import ROWS_PER_TASK
 
 L1, L2 = "l1", "l2"
 
@@ -56,8 +57,8 @@ def rows_for(df: DataFrame, features: Sequence[str], label: str = LABEL, fold: s
     Written once: every pass reads it again."""
     x = F.array(*[F.col(f).cast("double") for f in features])
     held = F.col(fold).cast("int") if fold else F.lit(-1)
-    return materialize(checked(df, features).select(*keep, x.alias("x"), F.col(label).cast("double").alias("y"),
-                                                    held.alias("fold")), "logistic_rows", wide=True)
+    return materialize(spread(checked(df, features).select(*keep, x.alias("x"), F.col(label).cast("double").alias("y"),
+                                                           held.alias("fold"))), "logistic_rows", wide=True)
 
 
 def _summed(data: DataFrame, per_batch) -> np.ndarray:
@@ -205,6 +206,11 @@ def scores(data: DataFrame, fitted: Fitted, keep: Sequence[str] = ()) -> DataFra
     return data.select("x", "y", "fold", *keep).mapInArrow(run, schema)
 
 
+def score_parts(data: DataFrame, each: int, most: int = ROWS_PER_TASK) -> DataFrame:
+    """``data`` in enough partitions that ``each`` scores of every row are at most about ``most`` scores a task."""
+    return data.repartition(max(1, -(-data.count() * each // most)))
+
+
 def grid_scores(df: DataFrame, features: Sequence[str], strengths: Sequence[float], penalties: Sequence[str] = (L1, L2),
                 folds: int = CV_FOLDS, key: str = "ticket_id", label: str = LABEL) -> DataFrame:
     """(penalty, c, fold, auc, n_pos, n_neg) of every combination and held-out fold (folds keep the classes'
@@ -213,6 +219,8 @@ def grid_scores(df: DataFrame, features: Sequence[str], strengths: Sequence[floa
     data = rows_for(dealt, features, label, "fold")
     fits = [Fit(float(c), p, k) for p in penalties for c in strengths for k in range(folds)]
     fitted = fit_many(data, features, fits)
+    # scores hardly repeat, so a task that counts them holds as many as it makes
+    data = score_parts(data, len(fits) // folds)
     names = df.sparkSession.createDataFrame([(i, f.penalty, f.c) for i, f in enumerate(fits)], "fit int, penalty string, c double")
     found = roc_auc(scores(data, fitted).select("fit", "fold", "score", "label"), "score", "label", ["fit", "fold"])
     return found.join(F.broadcast(names), "fit").select("penalty", "c", "fold", "auc", "n_pos", "n_neg")

@@ -65,3 +65,12 @@ def test_stratified_folds_differ_by_one_row_a_class(spark):
     assert set(counts) == {0.0, 1.0} and all(len(c) == 5 and max(c) - min(c) <= 1 for c in counts.values())
     assert out.count() == df.filter("label is not null").count()
     assert segment.stratified_folds(df.filter("false"), "label").count() == 0
+
+
+def test_tasks_that_count_scores_are_bounded(spark):
+    """The scores of a grid are made by more tasks as rows and fits grow, whatever files the rows lie in."""
+    data = spark.range(1000).coalesce(1)
+    parts = lp.score_parts(data, 14, most=2000)
+    assert parts.rdd.getNumPartitions() == 7 and parts.count() == 1000
+    assert max(parts.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) * 14 <= 2100
+    assert lp.score_parts(data.filter("id < 0"), 14).count() == 0
