@@ -153,6 +153,30 @@ def test_every_block_is_trained(spark, monkeypatch):
     assert not np.allclose(model.flat(), some.flat(), atol=1e-5)
 
 
+def test_weights_of_a_large_corpus_come_from_all_blocks(spark, monkeypatch, tmp_path):
+    """Above START_TOKENS no block starts the weights alone: all train, each in a round, and the driver reads no tokens."""
+    monkeypatch.setattr(lbl_lm, "START_TOKENS", 700)
+    monkeypatch.setattr(lbl_lm, "PART_TOKENS", 700)
+    monkeypatch.setattr(lbl_lm, "JOIN_TOKENS", 1)
+    monkeypatch.setattr(lbl_lm, "_first_tokens", lambda *_: pytest.fail("a sample of the tokens"))
+    words, rows = [b"", *(b"w%d" % i for i in range(20))], []
+    for block in range(24):
+        ids = [1 + (7 * i + block) % 20 for i in range(300)] + [0]
+        rows.append(([block], [False], [301], ids, words, np.bincount(ids, minlength=21).tolist(), block))
+    made = spark.createDataFrame(rows, "keys array<long>, held array<boolean>, sizes array<int>, ids array<int>, "
+                                       "words array<binary>, counts array<long>, block long")
+    made.repartition(24, "block").write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/blocks")
+    table = spark.read.parquet(f"{tmp_path}/blocks")
+    for blocks in (made, table):  # by hash, by file
+        parts = [{r[0] for r in p.select("block").collect()} for p in lbl_lm._dealt(blocks, 6)]
+        assert sum(map(len, parts)) == 24 and set().union(*parts) == set(range(24))
+    sh = lbl_lm.shares(lbl_lm._pairs(made).groupBy("word").agg(F.sum("n").alias("c")))
+    assert np.isfinite(lbl_lm.fit(table, sh).flat()).all()
+    whole = lbl_lm.fit(made, sh).flat()
+    for gone in (0, 11, 23):
+        assert not np.allclose(whole, lbl_lm.fit(made.filter(F.col("block") != gone), sh).flat(), atol=1e-6)
+
+
 def test_noise_contrastive_training_learns_context():
     rng = np.random.default_rng(0)
     ids = np.zeros(60_000, np.int32)
