@@ -357,6 +357,40 @@ def test_passages_of_common_shingles_are_found(spark):
     assert all(r["n_passages"] == 0 for d, r in out.items() if d >= 1000)
 
 
+def test_passages_behind_foreign_first_texts_are_found(spark):
+    """Parts of the passage, too short to be alike, lie in many other texts, one of which is the first of most buckets."""
+    rng = random.Random(11)
+    prose = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    passages = [prose(52) for _ in range(4)]
+    docs = []
+    for i, p in enumerate(passages):
+        whole = prose(40) + p + prose(40)
+        docs += [(10 * i, whole), (10 * i + 1, prose(45) + p + prose(45)), (10 * i + 2, whole)]
+        docs += [(1000 * (i + 1) + 100 * at + n, prose(45) + p[at:at + 44] + prose(45)) for at in range(9) for n in range(25)]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in compact_windows.repeated_passages(df).collect()}
+    for i in range(4):
+        assert [out[10 * i + k]["component"] for k in range(3)] == [10 * i] * 3, i
+        assert out[10 * i + 1]["n_words_repeated"] >= 50 and out[10 * i + 2]["n_words_repeated"] == 132
+    assert all(r["n_passages"] == 0 for d, r in out.items() if d >= 1000)
+
+
+def test_rest_of_a_bucket_is_all_other_pairs(monkeypatch):
+    monkeypatch.setattr(compact_windows, "PAIRS_AT_ONCE", 7)
+    rng = np.random.default_rng(2)
+    key = np.sort(rng.integers(0, 6, 60)) * 8
+    group, ref = rng.integers(0, 4, 60), rng.integers(0, 30, 60)
+    reach, centre = np.full(60, (0 << 32) | 90), np.arange(60, dtype=np.int32)
+    got = [(r["ref"], r["rep"], r["centre"], r["diag"]) for b in compact_windows._rest_of(key, group, ref, reach, centre) for r in b.to_pylist()]
+    want = []
+    for i in range(60):
+        for j in range(i + 1, 60):
+            if key[i] == key[j] and group[i] != group[j] and ref[i] != ref[j]:
+                a, b = (i, j) if ref[i] > ref[j] else (j, i)
+                want.append((ref[a], ref[b], centre[a], centre[a] - centre[b]))
+    assert sorted(got) == sorted(want)
+
+
 def test_passages_on_awkward_rows(spark):
     docs = with_clashes(awkward(spark), "ref", "spans", "key", "grp")
     out = compact_windows.repeated_passages(docs)
