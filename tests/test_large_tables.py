@@ -1,7 +1,8 @@
-"""What large tables need: lookups past the broadcast bound."""
+"""What large tables need: lookups past the broadcast bound, rows dealt over the cores."""
 
 from ledgerlens.plans import joins
 from ledgerlens.plans.joins import lookup_attributes
+from ledgerlens.session import in_one_wave
 
 
 def test_only_large_slices_leave_the_broadcast(spark, monkeypatch):
@@ -31,3 +32,11 @@ def test_slices_fill_the_bound_together(spark):
     assert joins._past_limit(table, ["c", "b", "a", "none"], 50) == ["c"]  # 18, 18 and 20 bytes
     assert joins._past_limit(table, ["c", "b", "a", "none"], 30) == ["c", "a"]
     assert joins._past_limit(table, ["c", "b", "a", "none"], -1) == ["c", "b", "a", "none"]
+
+
+def test_rows_are_dealt_into_one_wave(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for parts, wanted in ((1, 1), (cores, cores), (cores + 1, cores), (4 * cores - 1, cores), (4 * cores, 4 * cores)):
+        df = in_one_wave(spark.range(0, 1000, 1, parts))
+        assert df.rdd.getNumPartitions() == wanted and df.count() == 1000
+        assert max(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) <= -(-1000 // wanted) + cores
