@@ -1,6 +1,8 @@
-"""What large tables need: lookups past the broadcast bound, rows dealt over the cores."""
+"""What large tables need: lookups past the broadcast bound, rows dealt over the cores, narrow caches."""
 
-from ledgerlens.plans import joins
+from pyspark.ml.tuning import CrossValidator
+
+from ledgerlens.plans import joins, models
 from ledgerlens.plans.joins import lookup_attributes
 from ledgerlens.session import in_one_wave
 
@@ -40,3 +42,14 @@ def test_rows_are_dealt_into_one_wave(spark):
         df = in_one_wave(spark.range(0, 1000, 1, parts))
         assert df.rdd.getNumPartitions() == wanted and df.count() == 1000
         assert max(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) <= -(-1000 // wanted) + cores
+
+
+def test_grid_folds_hold_the_model_columns_only(spark, monkeypatch):
+    """The validator caches both parts of each fold: texts of the table are not among them."""
+    seen = []
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, data, whole=CrossValidator.fit: seen.append(data.columns) or whole(self, data))
+    df = spark.createDataFrame([(i, "long text" * 9, float(i % 5), float(i % 2)) for i in range(200)],
+                               "ticket_id long, text string, x double, label double")
+    out = models.grid_search(models.boosted_trees(n_trees=2, min_samples_leaf=1), {"maxDepth": [1, 2]}, df, ["x"], folds=2)
+    assert out.count() == 2
+    assert seen == [[models.FEATURES, models.LABEL, "_fold"]]
