@@ -35,6 +35,15 @@ def test_components_of_a_random_graph(spark):
     assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
 
 
+def test_planner_sizes_of_components_stay_small(spark):
+    """The planner's size estimate doesn't grow with the rounds: its digits tripled with each one."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    for _ in range(2):  # links that follow from components, as a second round of operators has
+        comp = connected_components(edges)
+        assert comp._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 2000
+        edges = edges.join(comp, edges.a == comp.node).select("a", "b")
+
+
 def test_remainder_is_crc32_of_the_text(spark):
     rows = spark.createDataFrame([(i,) for i in (0, 5, 123456, None)], "doc_id long").select("doc_id", remainder("doc_id", 4).alias("r")).collect()
     assert [r["r"] for r in rows] == [*(zlib.crc32(str(i).encode()) % 4 for i in (0, 5, 123456)), -1]
