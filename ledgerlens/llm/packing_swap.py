@@ -11,6 +11,8 @@ clearly underfull are dealt again, together with those of other groups.
 
 from __future__ import annotations
 
+import threading
+import time
 import zlib
 
 import numpy as np
@@ -26,6 +28,7 @@ GROUP_PIECES = 16_384  # pieces of one group on average
 REPACK_BELOW = 0.98  # bins filled less than this are dealt again
 WORD_CACHE = 900_000  # words whose ids a worker remembers in each of two generations
 LONG_WORD = 48  # longer words are not remembered
+FORGET_AFTER = 3.0  # seconds without a text after which a worker forgets its words
 
 _tokenizers: dict = {}
 
@@ -38,10 +41,25 @@ def _tokenizer(path: str):
         whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         plain.normalizer = normalizers.Sequence([])
         plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        _tokenizers[path] = (whole, plain, {"new": {}, "old": {}})
+        _tokenizers[path] = (whole, plain, {"new": {}, "old": {}, "used": 0.0, "watch": None})
     return _tokenizers[path]
 
 
+def _forget_when_idle(memory: dict) -> None:
+    """Drops a worker's words when it has met no text for ``FORGET_AFTER`` seconds: workers outlive
+    a stage, and their memory is the executor's that the next stage's tasks share."""
+    while (left := memory["used"] + FORGET_AFTER - time.monotonic()) > 0:
+        time.sleep(left)
+    memory["old"], memory["new"] = {}, {}
+
+
+def _in_use(memory: dict) -> None:
+    memory["used"] = time.monotonic()
+    if memory["watch"] is None or not memory["watch"].is_alive():
+        memory["watch"] = threading.Thread(target=_forget_when_idle, args=(memory,), daemon=True)
+        memory["watch"].start()
+
+
 def _encode_runs(words: list[str], mark: str, tokenizer) -> list[bytes]:
     """Ids of each word, little-endian 32-bit.  Words are encoded in runs with a
     mark between them that is in none of them; its id cuts the runs' ids again."""
@@ -86,6 +104,7 @@ def encode(texts: list[bytes], path: str) -> list[bytes]:
     it drops, so a text's ids are those of its words between ASCII white
     space; each word is encoded once and looked up afterwards."""
     whole, plain, memory = _tokenizer(path)
+    _in_use(memory)
     split = [t.split() for t in texts]
     if len(memory["new"]) > WORD_CACHE:  # forget words not met since the last time
         memory["old"], memory["new"] = memory["new"], {}

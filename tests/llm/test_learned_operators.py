@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -212,6 +213,17 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_idle_workers_forget_their_words(monkeypatch):
+    monkeypatch.setattr(packing_swap, "FORGET_AFTER", 0.2)
+    path, texts = public_tokenizer(), [b"some words, some of them twice", b"words"]
+    first, memory = packing_swap.encode(texts, path), packing_swap._tokenizer(path)[2]
+    until = time.monotonic() + 20
+    while (memory["new"] or memory["old"]) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not memory["new"] and not memory["old"]
+    assert packing_swap.encode(texts, path) == first and memory["new"]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_local_search_packs_all_within_capacity(seed):
     rng = random.Random(seed)
