@@ -28,7 +28,7 @@ GROUP_PIECES = 16_384  # pieces of one group on average
 REPACK_BELOW = 0.98  # bins filled less than this are dealt again
 WORD_CACHE = 900_000  # words whose ids a worker remembers in each of two generations
 LONG_WORD = 48  # longer words are not remembered
-FORGET_AFTER = 3.0  # seconds without a text after which a worker forgets its words
+FORGET_AFTER = 15.0  # seconds without a text after which a worker forgets its words
 
 _tokenizers: dict = {}
 
